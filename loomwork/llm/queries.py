@@ -4,18 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from loomwork.llm.byte_bpe import ByteBpe
+from loomwork.llm.html_text import HtmlText
+from loomwork.llm.language_id import LanguageId
+from loomwork.llm.license_scan import LicenseScan
 from loomwork.llm.near_dedup import NearDuplicates
+from loomwork.llm.toxicity import Toxicity
 from loomwork.storage import read_table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Toxicity(threshold=0.7).apply(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return codec.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(words=5, percent=85).apply(read_table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LicenseScan(threshold=0.8).apply(read_table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LanguageId().apply(read_table(spark, sf_dir, "documents"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return HtmlText().apply(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_near_dedup": op5_near_dedup,
+    "op6_license_scan": op6_license_scan,
+    "op8_language_id": op8_language_id,
+    "op9_html_text": op9_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}
