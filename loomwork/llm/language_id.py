@@ -107,6 +107,23 @@ class Model:
         return best, top[:, -1], gap
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS):
+            yield batch.slice(low, ROWS)
+
+
+def identify(model: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and gap to the next language of each text."""
+    lang, score, gap = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    at = [k for k, t in enumerate(texts) if t and model and LETTER.search(t)]
+    if at:
+        best, score[at], gap[at] = model.decode(np.stack([gram_counts(texts[k]) for k in at]))
+        for k, i in zip(at, best):
+            lang[k] = model.langs[i]
+    return lang, score, gap
+
+
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -152,21 +169,25 @@ class LanguageId:
         least_gap = self.least_gap
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for low in range(0, batch.num_rows, ROWS):
-                    part = batch.slice(low, ROWS)
-                    texts = part.column(1).to_pylist()
-                    lang, score, unsure = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-                    at = [k for k, t in enumerate(texts) if t and model and LETTER.search(t)]
-                    if at:
-                        best, p, gap = model.decode(np.stack([gram_counts(texts[k]) for k in at]))
-                        for k, i in zip(at, best):
-                            lang[k] = model.langs[i]
-                        score[at], unsure[at] = p, gap < least_gap
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang), pa.array(score), pa.array(unsure)], names=["doc_id", "lang_pred", "score", "ambiguous"])
+            for part in pieces(batches):
+                lang, score, gap = identify(model, part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(gap < least_gap)], names=["doc_id", "lang_pred", "score", "ambiguous"])
 
         found = docs.mapInArrow(run, "doc_id bigint, lang_pred string, score double, ambiguous boolean")
         return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
+    def keep(self, model: Model | None, docs: DataFrame) -> DataFrame:
+        """The rows of docs, all columns, with a language that can be told; where lang is null it is filled in."""
+        text_at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in pieces(batches):
+                lang, _, _ = identify(model, part.column(text_at).to_pylist())
+                columns = list(part.columns)
+                columns[lang_at] = pa.array([a if a is not None else b for a, b in zip(columns[lang_at].to_pylist(), lang)], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names).filter(pa.array([x != "und" for x in lang], pa.bool_()))
+
+        return docs.mapInArrow(run, docs.schema)
+
     def apply(self, docs: DataFrame) -> DataFrame:
         return self.predict(self.fit(docs), docs)

@@ -220,5 +220,17 @@ class Toxicity:
         found = self._features(lexicon, docs, "doc_id", "bigint").withColumnRenamed("key", "doc_id")
         return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= self.threshold).cast("int").alias("predicted"), "n_hits")
 
+    def keep(self, lexicon: Lexicon, docs: DataFrame) -> DataFrame:
+        """The rows of docs, all columns, whose whole text scores below the threshold."""
+        at, threshold = docs.columns.index("text"), self.threshold
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tree = lexicon.automaton()
+            for batch in batches:
+                good = [lexicon.score(*lexicon.features(tree, t.as_py())[:2]) < threshold for t in batch.column(at)]
+                yield batch.filter(pa.array(good, pa.bool_()))
+
+        return docs.mapInArrow(run, docs.schema)
+
     def apply(self, docs: DataFrame, labels: DataFrame) -> DataFrame:
         return self.score(self.fit(docs, labels), docs)
