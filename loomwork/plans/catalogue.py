@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from loomwork.plans import text_queries  # noqa: F401
+from loomwork.plans.base import ORACLE_SQL, QUERIES  # noqa: F401
