@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _absent_from(entries: Column) -> Callable[[Column, Column], Column]:
+    return lambda k, _: ~F.coalesce(F.map_contains_key(entries, k), F.lit(False))
+
+
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """First writer wins: rows whose keys are in the target change nothing."""
     new = rows.dropDuplicates(keys).join(target.select(*keys).distinct(), keys, "left_anti")
@@ -27,7 +32,7 @@ def upsert(target: DataFrame, rows: DataFrame, keys: list[str], merge_maps: tupl
     for c in target.columns:
         o, n = F.col(f"o.{c}"), F.col(f"n.{c}") if c in rows.columns else F.lit(None)
         if c in merge_maps:
-            merged = F.map_concat(F.map_filter(o, lambda k, _, n=n: ~F.coalesce(F.map_contains_key(n, k), F.lit(False))), n)
+            merged = F.map_concat(F.map_filter(o, _absent_from(n)), n)
             out.append(F.when(o.isNull(), n).when(n.isNull(), o).otherwise(merged).alias(c))
         else:
             out.append(F.coalesce(n, o).alias(c))
