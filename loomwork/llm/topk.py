@@ -1,11 +1,11 @@
 """Exact top-k search by Fagin's threshold algorithm.
 
 Index: the vectors of each input partition are packed into blocks of bounded size; a block holds, for
-every dimension, the list of its rows sorted by that component.  A query reads the lists side by side, from
-the end where its component makes products large; every row met is scored in full (random access), and the
-search of the block stops when no row that hasn't been met can beat the k-th best: when the score of
+every dimension, the list of its rows sorted by that component.  The lists are read side by side, from the
+ends where components make products large; every row met is scored in full (random access), and a query's
+search of the block stops when no row that hasn't been met can beat its k-th best: when the score of
 a row that had the last value read in every list is below the k-th best score.  A tie could still win by a
-smaller id, so the bound must be strictly below.
+smaller id, so the bound must be strictly below.  The queries of a group share what they read.
 
 Queries and blocks meet in a grid: queries in groups of QUERIES, blocks in groups of rows, one equal join
 on the cell.  Nothing is broadcast by this module and no task holds more than one block of either side at a
@@ -31,36 +31,54 @@ from pyspark.sql import functions as F
 
 #: Rows of a block of the index, rows for each group of blocks, queries of a group.
 ROWS, GROUP, QUERIES = 2048, 8192, 1024
-#: Ranks that all lists are read before the bound is checked first; doubled each time.
+#: Ranks that all lists are read before the bound is checked first; four times as many each next time.
 FIRST_DEPTH = 8
 
 
-def threshold_search(query: np.ndarray, values: np.ndarray, order: np.ndarray, ids: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best rows, best first. order: for each dimension, rows by ascending value."""
-    n = len(ids)
-    lists = np.flatnonzero(query)
-    q = query[lists]
-    ranked = order[:, lists]
-    ranked = np.where(q > 0, ranked[::-1], ranked)
+def threshold_search(queries: np.ndarray, owns: np.ndarray, values: np.ndarray, order: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query ids, row ids and scores of each query's k best rows of a block, best first.
+
+    order: for each dimension, rows by ascending value.  The lists are read from both ends, for all queries of
+    the group at once; a row met in any list is scored against every query that is still searching.  For a query
+    the bound takes, in each dimension, the last value read at the end that its component's sign asks for.
+    """
+    n, dim = values.shape
+    exact = not values.size or float(np.abs(values).max()) * float(np.abs(queries).max(initial=0)) * dim < 2**53
+    kind = np.float64 if exact else np.int64
+    low_score = -np.inf if exact else np.iinfo(np.int64).min
+    v, q = values.astype(kind), queries.astype(kind)
+    ranked = np.take_along_axis(v, order, axis=0)
     met = np.zeros(n, bool)
-    best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
+    active = np.arange(len(q))
+    found = [np.empty(0, np.int64)] * 3
     depth, step = 0, FIRST_DEPTH
-    while depth < n:
-        upto = min(n, depth + step)
-        if len(lists):
-            rows = np.unique(ranked[depth:upto])
-            rows = rows[~met[rows]]
-        else:
-            rows, upto = np.arange(n), n
+    while depth < n and len(active):
+        upto = min(n, depth + step) if dim else n
+        rows = np.unique(np.concatenate((order[depth:upto].ravel(), order[n - upto : n - depth].ravel()))) if dim else np.arange(n)
+        rows = rows[~met[rows]].astype(np.int64)
         met[rows] = True
-        rows = rows[ids[rows] != own]
-        best_ids, best = np.concatenate((best_ids, ids[rows])), np.concatenate((best, values[rows] @ query))
-        top = np.lexsort((best_ids, -best))[:k]
-        best_ids, best = best_ids[top], best[top]
-        if upto < n and len(best) == k and int(values[ranked[upto - 1, np.arange(len(lists))], lists] @ q) < best[-1]:
+        score = q[active] @ v[rows].T
+        score[owns[active][:, None] == ids[rows][None, :]] = low_score
+        if score.shape[1] > k:
+            at, row = np.nonzero(score >= np.partition(score, -k, axis=1)[:, -k][:, None])
+        else:
+            at, row = np.nonzero(np.ones(score.shape, bool))
+        real = owns[active[at]] != ids[rows[row]]
+        at, row = at[real], row[real]
+        query, row_ids, scores = (np.concatenate(x) for x in zip(found, (active[at], ids[rows[row]], score[at, row].astype(np.int64))))
+        best = np.lexsort((row_ids, -scores, query))
+        query, row_ids, scores = query[best], row_ids[best], scores[best]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        found = [x[place < k] for x in (query, row_ids, scores)]
+        if met.all():
             break
-        depth, step = upto, 2 * step
-    return best_ids, best
+        full = np.flatnonzero(place == k - 1)
+        kth = np.full(len(q), low_score, kind)
+        kth[query[full]] = scores[full]
+        bound = np.maximum(q[active], 0) @ ranked[n - upto] + np.minimum(q[active], 0) @ ranked[upto - 1]
+        active = active[~(bound < kth[active])]
+        depth, step = upto, 4 * step
+    return owns[found[0]], found[1], found[2]
 
 
 def _pack(rows: int, sort: bool):
@@ -130,14 +148,9 @@ class TopK:
                     dim, ids, vals, lists, q_ids, q_vals = (c[r].as_py() for c in batch.columns)
                     ids, values = _unpack(dim, ids, vals)
                     order = np.frombuffer(lists, np.uint16).reshape(values.shape)
-                    query, vec, score = [], [], []
-                    for own, q in zip(*_unpack(dim, q_ids, q_vals)):
-                        i, s = threshold_search(q, values, order, ids, k, own)
-                        query += [own] * len(i)
-                        vec.append(i)
-                        score.append(s)
-                    if query:
-                        yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(np.concatenate(vec)), pa.array(np.concatenate(score))], names=["query_id", "vec_id", "score"])
+                    owns, queries = _unpack(dim, q_ids, q_vals)
+                    columns = threshold_search(queries, owns, values, order, ids, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
         found = cells.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
         rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
