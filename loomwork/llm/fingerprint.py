@@ -88,34 +88,50 @@ def followers(ids: DataFrame) -> DataFrame:
     return inside.join(ends, "part").select("doc_id", "need", F.coalesce("inside", "after").alias("next_id"))
 
 
-def edited(base: DataFrame, order: DataFrame) -> DataFrame:
-    """doc_id, n_chars, text, edited_text. base: doc_id, text (not null); order: what followers() gives."""
-    wanted = order.select(F.col("next_id"), F.col("doc_id").alias("for_id"), "need").hint("shuffle_hash")
-    starts = base.join(wanted, base["doc_id"] == F.col("next_id")).select("for_id", F.substr("text", F.lit(1), F.col("need")).alias("start"))
-    starts = starts.groupBy("for_id").agg(F.min("start").alias("start"))
+def _with_edit(rows: DataFrame) -> DataFrame:
+    """doc_id, n_chars, text, edited_text, edited_sha256 from doc_id, text and start (of the next document)."""
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
-    whole = base.join(starts, base["doc_id"] == starts["for_id"], "left")
-    text = F.concat(F.substr("text", F.lit(1), n - quarter), F.substr(F.coalesce("start", F.lit("")), F.lit(1), quarter))
-    return whole.select("doc_id", n.cast("bigint").alias("n_chars"), "text", text.alias("edited_text"))
+    text = F.concat(F.substr("text", F.lit(1), n - quarter), F.substr("start", F.lit(1), quarter))
+    return rows.select("doc_id", n.cast("bigint").alias("n_chars"), "text", text.alias("edited_text")).withColumn("edited_sha256", F.sha2("edited_text", 256))
+
+
+def edited(known: DataFrame, order: DataFrame) -> DataFrame:
+    """The rows of known (doc_id and text, neither null) with their edited texts; order: what followers() gives.
+
+    Both joins read the same rows dealt by doc_id, so the texts are shuffled once and that exchange is reused;
+    what follows groups by doc_id and more, so it needs no other exchange.
+    """
+    wanted = order.select(F.col("next_id"), F.col("doc_id").alias("for_id"), "need").hint("shuffle_hash")
+    starts = known.join(wanted, known["doc_id"] == F.col("next_id")).select("for_id", F.substr("text", F.lit(1), F.col("need")).alias("start"))
+    starts = starts.groupBy("for_id").agg(F.min("start").alias("start"))
+    return _with_edit(known.join(starts, known["doc_id"] == starts["for_id"], "left").select("doc_id", "text", F.coalesce("start", F.lit("")).alias("start")))
+
+
+def both_fingerprints(rows: DataFrame) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, copies, own, new: fingerprints of the texts and of the edited texts."""
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited_text").alias("text")))
+    sides = rows.select("doc_id", "n_chars", "edited_sha256", F.explode(kinds).alias("x")).select("doc_id", "n_chars", "edited_sha256", "x.kind", "x.text")
+    found = fingerprints(sides, ["doc_id", "n_chars", "edited_sha256", "kind"])
+    side = lambda k: F.max(F.when(F.col("kind") == k, F.col("fingerprint")))
+    return found.groupBy("doc_id", "n_chars", "edited_sha256").agg(F.max("copies").alias("copies"), side(0).alias("own"), side(1).alias("new"))
 
 
 class Fingerprints:
     def apply(self, docs: DataFrame) -> DataFrame:
         """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next: one row for each row of docs."""
-        base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-        ids = base.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4).cast("int")).alias("need"))
+        # Only what isn't a bigint is cast: a renamed column on one side of the joins would keep their exchanges apart.
+        doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
+        base = docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        known = base.where("doc_id IS NOT NULL")
+        ids = known.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4).cast("int")).alias("need"))
         scratch = Scratch(docs.sparkSession, "fingerprints")
         order = scratch.keep(followers(ids), "order")
-        both = edited(base, order).withColumn("edited_sha256", F.sha2("edited_text", 256))
-        kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited_text").alias("text")))
-        sides = both.select("doc_id", "n_chars", "edited_sha256", F.explode(kinds).alias("x")).select("doc_id", "n_chars", "edited_sha256", "x.kind", "x.text")
-        found = fingerprints(sides, ["doc_id", "n_chars", "edited_sha256", "kind"])
-        side = lambda k: F.max(F.when(F.col("kind") == k, F.col("fingerprint")))
-        rows = scratch.keep(found.groupBy("doc_id", "n_chars", "edited_sha256").agg(F.max("copies").alias("copies"), side(0).alias("own"), side(1).alias("new")), "found")
+        rows = scratch.keep(both_fingerprints(edited(known, order)), "found")
         following = rows.groupBy("doc_id").agg(F.min("own").alias("following")).withColumnRenamed("doc_id", "next_id")
         nexts = order.select("doc_id", "next_id").join(following, "next_id").select("doc_id", "following")
-        every = rows.join(nexts, "doc_id", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+        placeless = both_fingerprints(_with_edit(base.where("doc_id IS NULL").select("doc_id", "text", F.lit("").alias("start"))))
+        every = rows.join(nexts, "doc_id", "left").unionByName(placeless, allowMissingColumns=True).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
         return every.select(
             "doc_id", "n_chars", "edited_sha256", as_hex(F.col("own")).alias("fingerprint"), as_hex(F.col("new")).alias("edited_fingerprint"),
             likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
