@@ -22,11 +22,15 @@ from loomwork.storage import Scratch
 
 
 class Refused(Exception):
-    """The service refused an input for its content."""
+    """The service refused an input for its content.  Any exception with this `kind` counts."""
+
+    kind = "refused"
 
 
 class Throttled(Exception):
-    """The service asks to come back later."""
+    """The service asks to come back later.  Any exception with this `kind` counts; `after`: seconds to wait."""
+
+    kind = "throttled"
 
     def __init__(self, after: float | None = None):
         super().__init__("throttled")
@@ -37,11 +41,12 @@ def with_retries(call: Callable[[list], list], items: list, tries: int, wait: Ca
     for n in range(tries):
         try:
             return call(items)
-        except Throttled as e:
-            if n + 1 == tries:
+        except Exception as e:
+            if getattr(e, "kind", "") != "throttled" or n + 1 == tries:
                 raise
-            wait(e.after if e.after is not None else min(60.0, 2.0**n))
-    raise Throttled
+            after = getattr(e, "after", None)
+            wait(min(60.0, 2.0**n) if after is None else after)
+    raise ValueError("tries must be positive")
 
 
 def called(rows: DataFrame, keys: list[str], text: str, provider: Callable[[], object], result: str, kind: pa.DataType, batch: int = 32, tries: int = 5) -> DataFrame:
@@ -56,10 +61,10 @@ def called(rows: DataFrame, keys: list[str], text: str, provider: Callable[[], o
         def safe(items: list) -> list[tuple[object, str]]:
             try:
                 return [(x, "ok") for x in with_retries(model.call, items, tries)]
-            except Refused:
+            except Exception as e:
+                if getattr(e, "kind", "") != "refused":
+                    return [(None, "error")] * len(items)
                 return [(None, "filtered")] if len(items) == 1 else [y for x in items for y in safe([x])]
-            except Exception:
-                return [(None, "error")] * len(items)
 
         for whole in batches:
             for low in range(0, whole.num_rows, batch):

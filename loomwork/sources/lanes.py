@@ -9,11 +9,16 @@ from pyspark.sql.types import StringType, StructType
 CORRUPT = "_corrupt"
 
 
+def plain_path(path: Column) -> Column:
+    """One spelling of a local path: `file:/x`, which listings and metadata write with one or three slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def read_records(spark: SparkSession, path: str, schema: StructType, pattern: str = "*.json") -> DataFrame:
     """One JSON record in each file, with its path; a broken file is a row with _corrupt set, never a failure."""
     full = StructType([*schema.fields]).add(CORRUPT, StringType())
     rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).json(path)
-    return rows.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"))
+    return rows.select("*", plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_modification_time").alias("modified"))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -22,7 +27,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def tolerant(expected: DataFrame, records: DataFrame, key: str = "path") -> DataFrame:
     """The expected paths with their records and a parse_status: missing, parse_error or ok."""
-    joined = expected.join(records, key, "left")
+    joined = expected.withColumn(key, plain_path(F.col(key))).join(records, key, "left")
     status = F.when(F.col("modified").isNull(), "missing").when(F.col(CORRUPT).isNotNull(), "parse_error").otherwise("ok")
     return joined.withColumn("parse_status", status)
 
