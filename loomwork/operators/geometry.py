@@ -127,3 +127,51 @@ def region_stats(pixels: pd.Series) -> pd.DataFrame:
 def clamped_dpi(width_pt: Column, height_pt: Column, dpi: int, most: int, least: int) -> Column:
     px = (width_pt * dpi / 72) * (height_pt * dpi / 72)
     return F.when(px > most, F.greatest(F.lit(least), F.floor(F.lit(float(dpi)) * F.sqrt(most / px)).cast("int"))).otherwise(dpi)
+
+
+@F.pandas_udf(DoubleType())
+def dark_fraction(pixels: pd.Series, width: pd.Series, box: pd.DataFrame, level: pd.Series) -> pd.Series:
+    """Share of the pixels of a box (clamped to the image, in pixels) that are darker than the level; 0 for an empty box."""
+    out = []
+    for p, w, x0, y0, x1, y1, at in zip(pixels, width, box["x0"], box["y0"], box["x1"], box["y1"], level):
+        image = np.frombuffer(p or b"", np.uint8).reshape(-1, w)
+        h = image.shape[0]
+        cut = image[max(0, min(int(y0), h)) : max(0, min(int(y1), h)), max(0, min(int(x0), w)) : max(0, min(int(x1), w))]
+        out.append(float((cut < at).mean()) if cut.size else 0.0)
+    return pd.Series(out)
+
+
+def points(box: Column, scale: Column, x: Column, y: Column) -> Column:
+    """A box of pixels in page points."""
+    return F.struct((box["x0"] / scale + x).alias("x0"), (box["y0"] / scale + y).alias("y0"), (box["x1"] / scale + x).alias("x1"), (box["y1"] / scale + y).alias("y1"))
+
+
+def merge_runs(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Boxes (x0, y0, x1, y1) of scanline runs (y, x0, x1): a run joins a box of the line before that it overlaps."""
+    open_: list[list[int]] = []
+    done: list[tuple[int, int, int, int]] = []
+    line = None
+    for y, x0, x1 in sorted(runs):
+        if y != line:
+            done += [tuple(b) for b in open_ if b[3] < y]
+            open_ = [b for b in open_ if b[3] >= y]
+            line = y
+        for b in open_:
+            if b[3] >= y and x0 < b[2] and x1 > b[0]:
+                b[0], b[2], b[3] = min(b[0], x0), max(b[2], x1), y + 1
+                break
+        else:
+            open_.append([x0, y, x1, y + 1])
+    return sorted(done + [tuple(b) for b in open_], key=lambda b: (b[1], b[0]))
+
+
+def vertical_runs(lines: DataFrame, key: str) -> DataFrame:
+    """key, boxes of the dark runs (y, x0, x1) of each page; a page's runs are one group of at most its height in lines."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            frame["boxes"] = [[dict(zip(("x0", "y0", "x1", "y1"), map(float, b))) for b in merge_runs([(r["y"], r["x0"], r["x1"]) for r in rows])] for rows in frame["runs"]]
+            yield frame[[key, "boxes"]]
+
+    grouped = lines.groupBy(key).agg(F.collect_list(F.struct(*(F.col(c).cast("int").alias(c) for c in ("y", "x0", "x1")))).alias("runs"))
+    return grouped.mapInPandas(run, f"`{key}` {grouped.schema[0].dataType.simpleString()}, boxes array<{BOX}>")

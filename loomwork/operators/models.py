@@ -13,7 +13,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -147,3 +147,42 @@ class KeywordVerdict:
             return json.dumps({"content_class": "photo" if t.strip() else "blank", "has_visual_content": bool(t.strip()), "confidence": min(1.0, len(t) / 100), "flag": "review" if "weapon" in t else "ok"})
 
         return [one(t) for t in items]
+
+
+# -- batch jobs: requests out as JSON lines, results back by id ----------------------------------------
+
+
+def batch_requests(rows: DataFrame, doc: str, page: str, text: str, most_chars: int = Summarise.max_chars) -> tuple[DataFrame, DataFrame]:
+    """Request lines (custom_id, body) for a batch job, and the rows that are too long for it and go one by one."""
+    custom = F.concat(F.lit("p"), F.col(doc).cast("string"), F.lit("_"), F.col(page).cast("string"))
+    fits = F.length(text) <= most_chars
+    return rows.where(fits).select(custom.alias("custom_id"), F.to_json(F.struct(F.col(text).alias("input"))).alias("body")), rows.where(~fits)
+
+
+def batch_results(lines: DataFrame) -> DataFrame:
+    """doc, page, result, status from result lines (value): JSON with custom_id and response or error; other lines are dropped."""
+    v = F.col("value")
+    parsed = lines.where(F.trim(v) != "").select(F.get_json_object(v, "$.custom_id").alias("id"), F.get_json_object(v, "$.response").alias("result"), F.get_json_object(v, "$.error.code").alias("code"))
+    known = parsed.where(F.col("id").rlike(r"^p\d+_\d+$"))
+    status = F.when(F.col("code") == "content_filter", "filtered").when(F.col("code").isNotNull() | F.col("result").isNull(), "error").otherwise("ok")
+    return known.select(F.regexp_extract("id", r"^p(\d+)_", 1).cast("bigint").alias("doc"), F.regexp_extract("id", r"_(\d+)$", 1).cast("bigint").alias("page"), "result", status.alias("status"))
+
+
+def passes(rows: DataFrame, key: str, run: Callable[[DataFrame], DataFrame], most: int = 3) -> DataFrame:
+    """Runs the rows, then those that ended in an error again, until none does or `most` passes are over; each pass is written."""
+    scratch = Scratch(rows.sparkSession, "passes")
+    done = scratch.keep(run(rows), "pass")
+    for _ in range(most - 1):
+        failed = done.where("status = 'error'").select(key)
+        if failed.isEmpty():
+            break
+        again = run(rows.join(failed, key, "left_semi"))
+        done = scratch.keep(done.where("status <> 'error'").unionByName(again), "pass")
+    return done
+
+
+def page_state(flags: Column, status: Column) -> Column:
+    """A page's flags after a run: stale marks go, a refusal or failure leaves its own."""
+    clean = F.array_except(flags, F.array(F.lit("content_filtered"), F.lit("summary_error")))
+    mark = F.when(status == "filtered", F.array(F.lit("content_filtered"))).when(status == "error", F.array(F.lit("summary_error"))).otherwise(F.array().cast("array<string>"))
+    return F.concat(clean, mark)

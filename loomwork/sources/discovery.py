@@ -75,3 +75,25 @@ def sidecars(files: DataFrame, suffix: str = ".json") -> DataFrame:
     docs = files.where(F.lower("path").endswith(".pdf")).select(F.col("path").alias("pdf"), F.concat(F.regexp_replace("path", r"\.[^.]*$", ""), F.lit(suffix)).alias("sidecar"))
     there = files.select(F.col("path").alias("sidecar"), F.col("modified").alias("sidecar_modified"), F.col("length").alias("sidecar_length"))
     return docs.join(there, "sidecar", "left").select("pdf", "sidecar", F.col("sidecar_length").isNotNull().alias("exists"), "sidecar_modified", "sidecar_length", in_pipeline(F.col("pdf")).alias("in_pipeline"))
+
+
+def first_existing(spark: SparkSession, candidates: list[str]) -> str | None:
+    """The first of the candidate folders that exists: explicit store, dataset, its image directories, corpus root, in the caller's order."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for c in candidates:
+        p = jvm.org.apache.hadoop.fs.Path(c)
+        if p.getFileSystem(conf).exists(p):
+            return c
+    return None
+
+
+def store_candidates(dataset_root: str, image_folders: list[str], explicit: str | None = None, corpus_root: str | None = None) -> list[str]:
+    at = [explicit] if explicit else []
+    at += [f"{dataset_root}/.embeddings", *(f"{dataset_root}/{d}/.embeddings" for d in image_folders)]
+    return at + ([f"{corpus_root}/.embeddings"] if corpus_root else [])
+
+
+def purge_plan(files: DataFrame, folder: str = "pages") -> DataFrame:
+    """What a purge of page renders would delete, by directory: files and bytes.  Nothing is deleted."""
+    inside = files.where(F.exists(F.split("path", "/"), lambda p: p == folder))
+    return inside.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("directory")).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
