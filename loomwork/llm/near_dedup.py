@@ -243,7 +243,8 @@ class NearDuplicates:
             "classes",
         )
         in_cell = classes.select("node", F.explode("cells").alias("cell"))
-        leaders = in_cell.groupBy("cell").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        # Written before it is joined: an aggregate's own rows can't be dealt anew, a table's can, so a hot cell is split.
+        leaders = scratch.keep(in_cell.groupBy("cell").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"), "leaders")
         members = scratch.keep(in_cell.join(leaders, "cell"), "members")
 
         stars = scratch.keep(members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
@@ -254,11 +255,12 @@ class NearDuplicates:
 
         rooted = members.where("n > 2").join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("root"))
         rooted = rooted.join(classes.select("node", "n_shingles"), "node")
-        open_cells = (
+        open_cells = scratch.keep(
             rooted.groupBy("cell")
             .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("all"))
             .where("low <> high")
-            .select("cell", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).alias("blocks"))
+            .select("cell", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).alias("blocks")),
+            "open",
         )
         mixed = rooted.select("cell", "node", "root").join(open_cells, "cell").join(payloads.select("node", "members"), "node")
         extra = scratch.keep(self._across(mixed), "extra")
@@ -278,6 +280,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, root (the smallest node it can reach) for every node with a link; links: a, b.
 
     Alternating large-star and small-star; each round is written to the shared folder, so lineage stays short.
+    The minima are written before they are joined, so that the edges of a star's centre can be dealt to many tasks.
     """
 
     def state(edges: DataFrame) -> tuple:
@@ -287,10 +290,10 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     before = state(edges)
     while before[0]:
         both = edges.union(edges.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = scratch.keep(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = scratch.keep(large, "large")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = scratch.keep(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         edges = scratch.keep(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "small")
         after = state(edges)
