@@ -164,8 +164,8 @@ class Toxicity:
         part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) < min(1.0, self.max_labelled / max(1, n)) * (1 << 20)
         known = known.where(part).groupBy("doc_id").agg((F.avg("toxic") >= 0.5).alias("toxic"))
         texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        # The sample has about max_labelled rows whatever the input, so sending it to all tasks is safe.
-        sample = Scratch(docs.sparkSession, "toxicity").keep(texts.join(F.broadcast(known), "doc_id").select("text", "toxic"), "sample")
+        # The sample has about max_labelled ids whatever the input, so sending it to all tasks is safe; rows that repeat count once.
+        sample = Scratch(docs.sparkSession, "toxicity").keep(texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id", "text"]).select("text", "toxic"), "sample")
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: dict[str, list[int]] = {}
