@@ -19,15 +19,24 @@ def pages_of(text: Column, size: int = Extract.page_chars) -> Column:
 
 
 def quality(text: Column, cfg: Extract = Extract()) -> Column:
-    """Struct of counts and the gate.  Ratios are compared as products of whole numbers, so no rounding enters the gate."""
+    """Struct of counts for the gate.  Ratios are compared as products of whole numbers, so no rounding enters the gate.
+
+    The words are bound to a lambda's variable, so that they are extracted once for the three counts made of them.
+    """
     words = F.regexp_extract_all(text, F.lit("[A-Za-z]{2,}"), F.lit(0))
-    return F.struct(
+    counts = lambda w: F.struct(
+        F.size(w).cast("bigint").alias("n_tokens"),
+        F.size(F.filter(w, lambda x: F.length(x) <= cfg.wordlike_max)).cast("bigint").alias("n_wordlike"),
+        chars(F.array_join(w, "")).alias("token_chars"),
+    )
+    told = lambda c: F.struct(
         chars(text).alias("n_chars"),
-        chars(F.regexp_replace(text, r"[^\p{L}]", "")).alias("n_alpha"),
-        F.size(words).cast("bigint").alias("n_tokens"),
-        F.size(F.filter(words, lambda w: F.length(w) <= cfg.wordlike_max)).cast("bigint").alias("n_wordlike"),
-        chars(F.array_join(words, "")).alias("token_chars"),
+        chars(F.regexp_replace(text, r"[^\p{L}]+", "")).alias("n_alpha"),
+        c["n_tokens"].alias("n_tokens"),
+        c["n_wordlike"].alias("n_wordlike"),
+        c["token_chars"].alias("token_chars"),
     )
+    return F.transform(F.transform(F.array(words), counts), told)[0]
 
 
 def quality_gate(q: Column, cfg: Extract = Extract()) -> Column:

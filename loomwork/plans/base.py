@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.functions import text as T
-from loomwork.storage import read_table
+from loomwork.storage import read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,7 +43,7 @@ def big(c: Column | str) -> Column:
 
 def pages(t: Tables, *keep: str) -> DataFrame:
     """doc_id, kept columns, page_number (from 1), content: slices of 2,000 characters."""
-    return t.documents.select("doc_id", *keep, F.posexplode(T.pages_of(F.col("text"))).alias("at", "content")).select("doc_id", *keep, big(F.col("at") + 1).alias("page_number"), "content")
+    return spread(t.documents, "doc_id").select("doc_id", *keep, F.posexplode(T.pages_of(F.col("text"))).alias("at", "content")).select("doc_id", *keep, big(F.col("at") + 1).alias("page_number"), "content")
 
 
 def judged(t: Tables) -> DataFrame:

@@ -41,3 +41,12 @@ class Scratch:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deals the rows of an input with fewer splits than the session has cores out by a key, before costly work on each row.
+
+    That is a small input, as a single file of one row group; an input of many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
