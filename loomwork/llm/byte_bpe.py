@@ -18,6 +18,7 @@ import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+@lru_cache(maxsize=4)
+def table_of(path: str) -> PerfectHash:
+    """The perfect hash of a rank file, built once in a driver."""
+    return PerfectHash.build(read_ranks(path))
+
+
 @dataclass
 class PerfectHash:
     """Minimal perfect hash by hash, displace and compress: as many slots as keys, one probe for each lookup.
@@ -57,12 +64,15 @@ class PerfectHash:
             bucket, f, g = cls._parts(key, n_buckets, n)
             buckets[bucket].append((f, g, key))
         shift, keys, values = np.zeros(n_buckets, np.int64), [b""] * n, [-1] * n
-        taken = bytearray(n)
+        taken, free = bytearray(n), 0
         for bucket in sorted(range(n_buckets), key=lambda b: -len(buckets[b])):
             members = buckets[bucket]
             if not members:
                 break
             d = 0
+            if len(members) == 1:  # any free slot will do: with d % n = 0 the slot is f + d // n
+                free = taken.index(0, free)
+                d = (free - members[0][0]) % n * n
             while True:
                 slots = [(f + d // n + g * (d % n)) % n for f, g, _ in members]
                 if len(set(slots)) == len(slots) and not any(taken[s] for s in slots):
@@ -166,7 +176,7 @@ class ByteBpe:
 
     def __init__(self, path: str, pattern: str):
         self.pattern = pattern
-        self.table = PerfectHash.build(read_ranks(path))
+        self.table = table_of(path)
 
     def _mapped(self, docs: DataFrame, row, schema: str) -> DataFrame:
         table, pattern = self.table, self.pattern
