@@ -19,11 +19,15 @@ from loomwork.llm.near_dedup import NearDuplicates
 from loomwork.llm.source_mix import SourceMix
 from loomwork.llm.topk import TopK
 from loomwork.llm.toxicity import Toxicity
-from loomwork.storage import read_table
+from loomwork.storage import read_table, spread
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "documents"), "doc_id")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Toxicity(threshold=0.7).apply(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return Toxicity(threshold=0.7).apply(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
 #: A conversation whose texts look like the template's control strings.
@@ -40,7 +44,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return codec.digests(read_table(spark, sf_dir, "documents"))
+    return codec.digests(documents(spark, sf_dir))
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,11 +52,11 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return NearDuplicates(words=5, percent=85).apply(read_table(spark, sf_dir, "documents"))
+    return NearDuplicates(words=5, percent=85).apply(documents(spark, sf_dir))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return LicenseScan(threshold=0.8).apply(read_table(spark, sf_dir, "documents"))
+    return LicenseScan(threshold=0.8).apply(documents(spark, sf_dir))
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,11 +64,11 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return LanguageId().apply(read_table(spark, sf_dir, "documents"))
+    return LanguageId().apply(documents(spark, sf_dir))
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return HtmlText().apply(read_table(spark, sf_dir, "pages"))
+    return HtmlText().apply(spread(read_table(spark, sf_dir, "pages"), "page_id"))
 
 
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
