@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -20,8 +21,9 @@ def json_int(text: Column, path: str) -> Column:
 
 
 # How a refused request is told.
-FILTER_CODES = ("content_filter", "responsibleaipolicyviolation")
-FILTER_MARKERS = ("content_filter", "responsibleaipolicyviolation", "content management policy")
+FILTER_CODES = ("content_filter", "content_policy_violation")
+INNER_CODES = ("responsibleaipolicyviolation",)
+FILTER_MARKERS = ("content management policy", "content safety system", "responsibleaipolicyviolation", "content_filter")
 
 
 def content_filtered(body: Column) -> Column:
@@ -31,41 +33,23 @@ def content_filtered(body: Column) -> Column:
     marked = F.lit(False)
     for m in FILTER_MARKERS:
         marked = marked | F.contains(F.lower(body), F.lit(m))
-    return F.coalesce(code.isin(*FILTER_CODES) | inner.isin(*FILTER_CODES) | marked, F.lit(False))
+    return F.coalesce(code.isin(*FILTER_CODES) | inner.isin(*INNER_CODES) | marked, F.lit(False))
 
 
 def first_object(text: str | None) -> str | None:
-    """The first balanced {...} outside strings, or None."""
-    start = (text or "").find("{")
-    while start >= 0:
-        depth, quoted, skip = 0, False, False
-        for at in range(start, len(text)):
-            c = text[at]
-            if skip:
-                skip = False
-            elif quoted:
-                skip, quoted = c == "\\", c != '"'
-            elif c == '"':
-                quoted = True
-            elif c in "{}":
-                depth += 1 if c == "{" else -1
-                if not depth:
-                    return text[start : at + 1]
-        start = text.find("{", start + 1)
+    """The first JSON object that stands whole somewhere in a text, or None."""
+    decode = json.JSONDecoder().raw_decode
+    for at in (m.start() for m in re.finditer(r"\{", text or "")):
+        try:
+            return text[at : decode(text, at)[1]]
+        except ValueError:
+            continue
     return None
 
 
-def _repair(text: str | None) -> str | None:
-    body = first_object(text)
-    try:
-        return json.dumps(json.loads(body)) if body else None
-    except ValueError:
-        return None
-
-
 @F.pandas_udf(StringType())
 def repaired_json(texts: pd.Series) -> pd.Series:
-    return texts.map(_repair)
+    return texts.map(first_object)
 
 
 def structured(text: Column, schema: str) -> Column:

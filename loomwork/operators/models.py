@@ -186,3 +186,21 @@ def page_state(flags: Column, status: Column) -> Column:
     clean = F.array_except(flags, F.array(F.lit("content_filtered"), F.lit("summary_error")))
     mark = F.when(status == "filtered", F.array(F.lit("content_filtered"))).when(status == "error", F.array(F.lit("summary_error"))).otherwise(F.array().cast("array<string>"))
     return F.concat(clean, mark)
+
+
+def vision_chain(assets: DataFrame, keys: list[str], look: Callable[[], object], embed: Callable[[], object]) -> DataFrame:
+    """keys, content_class, source (pregate or vision), verdict (JSON), status, vector for assets with caption_input and dark_coverage.
+
+    Blank and black images are decided without a call; only the rest goes to the model, and only what it finds worth seeing is embedded.
+    """
+    from loomwork.operators.routing import pregate
+
+    scratch = Scratch(assets.sparkSession, "vision")
+    gated = assets.withColumn("content_class", pregate(F.col("dark_coverage")))
+    none = F.lit(None)
+    decided = gated.where("content_class IS NOT NULL").select(*keys, "content_class", F.lit("pregate").alias("source"), none.cast("string").alias("verdict"), F.lit("ok").alias("status"))
+    seen = scratch.keep(called(gated.where("content_class IS NULL"), keys, "caption_input", look, "verdict", pa.string()), "seen")
+    seen = seen.select(*keys, F.get_json_object("verdict", "$.content_class").alias("content_class"), F.lit("vision").alias("source"), "verdict", "status")
+    worth = seen.where("status = 'ok' AND get_json_object(verdict, '$.has_visual_content') = 'true'")
+    vectors = called(worth, keys, "verdict", embed, "vector", pa.list_(pa.float32())).select(*keys, "vector")
+    return decided.unionByName(seen).join(vectors, keys, "left")

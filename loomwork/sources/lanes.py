@@ -68,3 +68,29 @@ def grouped_manifest(blobs: DataFrame) -> DataFrame:
 def ordered_shas(parents: Column) -> Column:
     """Content shas of all children of an array of parents, first occurrence kept, in order."""
     return F.array_distinct(F.flatten(F.transform(parents, lambda p: F.transform(p["children"], lambda c: c["content_sha"]))))
+
+
+def read_image_vectors(spark: SparkSession, path: str, default_model: str = "image-vectors") -> DataFrame:
+    """path, model, dim, vector of `*.emb.json` files; files that are broken or hold no vector are left out."""
+    schema = StructType.fromDDL("embedding_model string, model_version string, dim int, vector array<float>")
+    rows = read_records(spark, path, schema, "*.emb.json").where(F.col(CORRUPT).isNull() & (F.size("vector") > 0))
+    return rows.select("path", F.coalesce("embedding_model", F.lit(default_model)).alias("model"), F.coalesce("dim", F.size("vector")).alias("dim"), "vector")
+
+
+def occurrence_rows(rows: DataFrame) -> DataFrame:
+    """Image occurrences with -1 for page, time or frame that isn't a whole number."""
+    number = lambda c: F.coalesce(F.col(c).cast("string").try_cast("int"), F.lit(-1)).alias(c)
+    numbers = ("page_number", "timestamp_ms", "frame_index")
+    return rows.select(*(number(c) if c in numbers else F.col(c) for c in rows.columns))
+
+
+def escalated(pages: DataFrame, assets: DataFrame) -> DataFrame:
+    """New page assets for pages of low quality text that aren't assets yet; running it again adds nothing."""
+    low = pages.where(F.array_contains("flags", "low_quality_text")).select("doc_id", "page_number")
+    have = assets.where("kind = 'page'").select("doc_id", "page_number")
+    return low.join(have, ["doc_id", "page_number"], "left_anti").select("doc_id", F.lit("page").alias("kind"), "page_number", F.lit("low_quality_text").alias("route_reason"))
+
+
+def stale(blocks: DataFrame, versions: DataFrame, key: str) -> DataFrame:
+    """Keys whose block was made with other upstream versions than those given (stage, version)."""
+    return blocks.join(versions.withColumnRenamed("version", "_now"), "stage").where(~F.col("version").eqNullSafe(F.col("_now"))).select(key, "stage", "version")
