@@ -69,3 +69,26 @@ def children_of(pages: DataFrame, document: str, case: str, dataset: str, page:
         F.floor(F.length("text") / 4).cast("bigint").alias("token_count"), F.floor(F.col("parent_chars") / 4).cast("bigint").alias("parent_tokens"),
         T.content_sha(F.lit(Embed.model), prefix, F.col("text")).alias("content_sha"), F.lit(kind).alias("chunk_kind"),
     )
+
+
+def chunk_documents(docs: DataFrame, pages: DataFrame, force: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Children of all documents that may be chunked, and one result row for each document.
+
+    docs: doc_id, status, n_pages, chunked, document_name, case_key, dataset_key; pages: doc_id, page_number, content.
+    Results: doc_id, action (no_sidecar, skipped_status, no_stage1, skipped_done, error, chunked), parents, children,
+    skipped_pages (white space only), empty.
+    """
+    action = F.when(F.col("status").isNull(), "no_sidecar").when(F.col("status") != "ok", "skipped_status").when(F.coalesce("n_pages", F.lit(0)) == 0, "no_stage1")
+    if not force:
+        action = action.when(F.coalesce("chunked", F.lit(False)), "skipped_done")
+    unnamed = F.col("document_name").isNull() | F.col("case_key").isNull() | F.col("dataset_key").isNull()
+    gated = docs.withColumn("action", action.when(unnamed, "error").otherwise("chunked"))
+    run = gated.where("action = 'chunked'").select("doc_id", "document_name", "case_key", "dataset_key")
+    own = pages.join(run, "doc_id")
+    blank = F.regexp_replace(F.coalesce("content", F.lit("")), r"(?U)\s+", "") == ""
+    children = children_of(own.where(~blank), "document_name", "case_key", "dataset_key")
+    made = children.groupBy("document_name").agg(F.count(F.lit(1)).alias("children"), F.count_if(F.col("child_index") == 0).alias("parents"))
+    skipped = own.groupBy("doc_id").agg(F.count_if(blank).alias("skipped_pages"))
+    rows = gated.join(made, "document_name", "left").join(skipped, "doc_id", "left")
+    count = lambda c: F.when(F.col("action") == "chunked", F.coalesce(c, F.lit(0))).otherwise(0).alias(c)
+    return children, rows.select("doc_id", "action", count("parents"), count("children"), count("skipped_pages"), ((F.col("action") == "chunked") & F.col("children").isNull()).alias("empty"))
