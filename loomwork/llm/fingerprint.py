@@ -118,8 +118,22 @@ def both_fingerprints(rows: DataFrame) -> DataFrame:
 
 
 class Fingerprints:
+    """radius: Hamming distance within which fingerprints of different texts are linked."""
+
+    def __init__(self, radius: int = 3):
+        self.radius = radius
+
+    def links(self, rows: DataFrame, fingerprint: str, scratch: Scratch) -> DataFrame:
+        """fingerprint, n_links: how many other fingerprints are within the radius, for those that have any."""
+        pairs = scratch.keep(neighbours(rows.select(F.col(fingerprint).alias("fingerprint")), self.radius), "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint"))
+        return scratch.keep(ends.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_links")), "links")
+
     def apply(self, docs: DataFrame) -> DataFrame:
-        """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next: one row for each row of docs."""
+        """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_links: one row for each row of docs.
+
+        n_links counts the other fingerprints within the radius; documents with equal fingerprints are one class.
+        """
         # Only what isn't a bigint is cast: a renamed column on one side of the joins would keep their exchanges apart.
         doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
         base = docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -127,12 +141,13 @@ class Fingerprints:
         ids = known.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4).cast("int")).alias("need"))
         scratch = Scratch(docs.sparkSession, "fingerprints")
         order = scratch.keep(followers(ids), "order")
-        rows = scratch.keep(both_fingerprints(edited(known, order)), "found")
+        placeless = _with_edit(base.where("doc_id IS NULL").select("doc_id", "text", F.lit("").alias("start")))
+        rows = scratch.keep(both_fingerprints(edited(known, order)).unionByName(both_fingerprints(placeless)), "found")
         following = rows.groupBy("doc_id").agg(F.min("own").alias("following")).withColumnRenamed("doc_id", "next_id")
         nexts = order.select("doc_id", "next_id").join(following, "next_id").select("doc_id", "following")
-        placeless = both_fingerprints(_with_edit(base.where("doc_id IS NULL").select("doc_id", "text", F.lit("").alias("start"))))
-        every = rows.join(nexts, "doc_id", "left").unionByName(placeless, allowMissingColumns=True).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+        links = self.links(rows, "own", scratch).withColumnRenamed("fingerprint", "own")
+        every = rows.join(nexts, "doc_id", "left").join(links, "own", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
         return every.select(
             "doc_id", "n_chars", "edited_sha256", as_hex(F.col("own")).alias("fingerprint"), as_hex(F.col("new")).alias("edited_fingerprint"),
-            likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
+            likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         )
