@@ -425,7 +425,9 @@ def test_html_odd_rows(spark):
 
 
 def test_fingerprints_by_brute_force(spark):
-    rows = [(i * 3 % 101, t) for i, t in enumerate(word_texts(101, 9))] + [(500, ""), (501, None), (502, "🙂é漢" * 40)]
+    rows = [(i * 3 % 101, t) for i, t in enumerate(word_texts(101, 9))]
+    rows += [(200 + i, f"{t} and" * 9 + f" end {i}") for i, (_, t) in enumerate(rows[:60])] + [(300 + i, f"{t} and" * 9 + f" end {i + 7}") for i, (_, t) in enumerate(rows[:60])]
+    rows += [(500, ""), (501, None), (502, "🙂é漢" * 40)]
     frame = clashing(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS))
     got = {r["doc_id"]: r for r in fingerprint.Fingerprints().apply(frame).collect()}
     order = sorted(rows)
@@ -435,6 +437,8 @@ def test_fingerprints_by_brute_force(spark):
         m = len(t) // 4
         assert got[i]["n_chars"] == len(t) and got[i]["edited_sha256"] == hashlib.sha256((t[: len(t) - m] + following[:m]).encode()).hexdigest()
         one, edit, nxt = (int(x, 16) for x in (got[i]["fingerprint"], got[i]["edited_fingerprint"], got[order[(k + 1) % len(order)][0]]["fingerprint"]))
+        others = {int(x["fingerprint"], 16) for x in got.values()} - {one}
+        assert got[i]["n_links"] == sum(bin(one ^ x).count("1") <= 3 for x in others)
         assert got[i]["near_edited"] == 1 - bin(one ^ edit).count("1") / 64 and got[i]["near_next"] == 1 - bin(one ^ nxt).count("1") / 64
 
 
