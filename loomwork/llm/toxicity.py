@@ -30,6 +30,8 @@ from loomwork.storage import Scratch
 
 #: Bounds of the labelled rows that training reads and of the terms of the lexicon.
 MAX_LABELLED, MAX_TERMS = 12_000, 2000
+#: Documents that a term must be in to be tried.
+LEAST = 5
 #: Lengths of the stems that are tried beside whole words.
 STEMS = range(4, 9)
 #: Bound of the terms that a worker counts before it passes its counts on.
@@ -119,8 +121,8 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 1, F.lit(False))
 
 
-def choose(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """Weights of the terms whose documents are toxic far more often than chance among many candidates allows."""
+def choose(rows: list[tuple[str, int, int]], toxic: int, clean: int, tried: int) -> dict[str, float]:
+    """Weights of the terms whose documents are toxic far more often than chance allows among as many candidates as were tried."""
     if not toxic or not clean:
         return {}
     prior = toxic / (toxic + clean)
@@ -129,7 +131,7 @@ def choose(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str
         odds = float(np.log((a + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1)))
         p = a / (a + c)
         gain = a * np.log(p / prior) + (c * np.log((1 - p) / (1 - prior)) if c else 0.0)
-        if p > prior and odds >= 3 and gain >= 13.5:
+        if p > prior and odds >= 3 and gain >= np.log(max(tried, 1)) + 2.3:
             kept[term] = (a, odds)
     # A stem goes if one longer by a letter, or the whole word, is in nearly all of its toxic documents.
     longer = {t[:-1]: a for t, (a, _) in sorted(kept.items(), key=lambda x: x[1][0])}
@@ -165,7 +167,8 @@ class Toxicity:
         known = known.where(part).groupBy("doc_id").agg((F.avg("toxic") >= 0.5).alias("toxic"))
         texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         # The sample has about max_labelled ids whatever the input, so sending it to all tasks is safe; rows that repeat count once.
-        sample = Scratch(docs.sparkSession, "toxicity").keep(texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id", "text"]).select("text", "toxic"), "sample")
+        scratch = Scratch(docs.sparkSession, "toxicity")
+        sample = scratch.keep(texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id", "text"]).select("text", "toxic"), "sample")
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: dict[str, list[int]] = {}
@@ -185,16 +188,11 @@ class Toxicity:
             yield counted()
 
         sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-        found = (
-            sample.mapInArrow(count, "term string, a bigint, c bigint")
-            .groupBy("term")
-            .agg(F.sum("a").alias("a"), F.sum("c").alias("c"))
-            .where("a >= 5 AND a >= c")
-            .orderBy(F.desc("a"), "term")
-            .limit(20 * self.max_terms)
-            .collect()
+        counts = scratch.keep(
+            sample.mapInArrow(count, "term string, a bigint, c bigint").groupBy("term").agg(F.sum("a").alias("a"), F.sum("c").alias("c")).where(f"a + c >= {LEAST}"), "counts"
         )
-        weights = choose([tuple(r) for r in found], sizes.get(True, 0), sizes.get(False, 0))
+        found = counts.where(f"a >= {LEAST} AND a >= c").orderBy(F.desc("a"), "term").limit(20 * self.max_terms).collect()
+        weights = choose([tuple(r) for r in found], sizes.get(True, 0), sizes.get(False, 0), counts.count())
         weights = dict(sorted(weights.items(), key=lambda x: (-x[1], x[0]))[: self.max_terms])
         draft = Lexicon(weights, (0.0, 0.0, 0.0))
         rows = self._features(draft, sample, "toxic", "boolean").select("a", "b", "key").collect()
