@@ -25,18 +25,23 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        self.written: dict[str, list[str]] = {}
 
     def keep(self, df: DataFrame, label: str = "t") -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}-{label}"
         df.write.parquet(path)
+        self.written.setdefault(label, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, label_path: str) -> None:
+    def drop(self, *labels: str) -> None:
+        """Deletes the tables of these labels; nothing that is still to run may read them."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(label_path)
-        path.getFileSystem(conf).delete(path, True)
+        for label in labels:
+            for path in self.written.pop(label, []):
+                p = jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(conf).delete(p, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
