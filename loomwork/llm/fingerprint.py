@@ -127,7 +127,9 @@ class Fingerprints:
         """fingerprint, n_links: how many other fingerprints are within the radius, for those that have any."""
         pairs = scratch.keep(neighbours(rows.select(F.col(fingerprint).alias("fingerprint")), self.radius), "pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint"))
-        return scratch.keep(ends.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_links")), "links")
+        links = scratch.keep(ends.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_links")), "links")
+        scratch.drop("pairs")
+        return links
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_links: one row for each row of docs.

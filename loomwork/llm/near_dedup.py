@@ -267,6 +267,9 @@ class NearDuplicates:
         if not extra.isEmpty():
             roots = components(links.union(extra), scratch)
 
+        # What is left is read from the signatures, the classes and the last stars.
+        scratch.drop("leaders", "members", "stars", "sets", "links", "open", "extra")
+
         placed = classes.select("set_key", "node").join(roots, "node", "left").select("set_key", F.coalesce("root", "node").alias("root"))
         return signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(placed, "set_key", "left").select(
             "doc_id",
@@ -287,7 +290,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     edges = scratch.keep(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = state(edges)
+    before, label = state(edges), "edges"
     while before[0]:
         both = edges.union(edges.select("b", "a"))
         low = scratch.keep(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
@@ -295,7 +298,9 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         large = scratch.keep(large, "large")
         low = scratch.keep(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = scratch.keep(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "small")
+        old, label = label, f"small-{scratch.n}"
+        edges = scratch.keep(small.union(low.select("a", F.col("m").alias("b"))).distinct(), label)
+        scratch.drop("low", "large", old)
         after = state(edges)
         if after == before:
             break

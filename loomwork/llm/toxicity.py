@@ -197,6 +197,7 @@ class Toxicity:
         draft = Lexicon(weights, (0.0, 0.0, 0.0))
         rows = self._features(draft, sample, "toxic", "boolean").select("a", "b", "key").collect()
         x, y = np.array([(r["a"], r["b"]) for r in rows] or np.zeros((0, 2))), np.array([float(r["key"]) for r in rows])
+        scratch.drop("sample", "counts")
         return Lexicon(weights, fit_curve(x, y) if weights else (0.0, 0.0, 0.0))
 
     def _features(self, lexicon: Lexicon, texts: DataFrame, key: str, kind: str) -> DataFrame:
