@@ -413,6 +413,15 @@ def test_html_notices_inside_the_article():
     assert html_text.main_text(f"<body><article>{inner}</article></body>") == TEXT
 
 
+@pytest.mark.parametrize("piece", ["<a", '<a "', "<p>", "<div a='", "<!--", "<li>", "&amp", "</div>", "<tr><td>a", "<script>"])
+def test_html_hostile_pages_take_linear_time(piece):
+    import time
+
+    began = time.perf_counter()
+    html_text.main_text(piece * 50_000)
+    assert time.perf_counter() - began < 10
+
+
 def test_html_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<<<>>>"), (None, "u", "plain"), (5, "u", "<div>" * 5000 + "deep" + "</div>" * 5000), (6, "u", "<p>a<br>b&#233;&eacute;&bogus;"), (6, "u", "<p>a<br>b&#233;&eacute;&bogus;")]
     frame = clashing(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
