@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -98,12 +100,14 @@ class Lexicon:
             return 0.0, 0.0, 0
         hits, free = [], []
         for end, (n, weight) in tree.iter(folded):
-            (free if weight is None else hits).append((end - n + 1, end, weight))
-        if free:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in free)]
+            (free if weight is None else hits).append((end - n + 1, end, weight or 0.0))
+        if free and hits:
+            free.sort()
+            starts = [a for a, _, _ in free]
+            reach = list(accumulate((b for _, b, _ in free), max))  # how far the exceptions that start up to here go
+            hits = [h for h in hits if not ((k := bisect_right(starts, h[0])) and h[1] <= reach[k - 1])]
         if not hits:
             return 0.0, 0.0, 0
-        total = 0.0
         best: dict[int, float] = {}
         for a, _, w in hits:  # a word counts once, with its heaviest term
             best[a] = max(w, best.get(a, 0.0))

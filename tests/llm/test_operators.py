@@ -92,6 +92,7 @@ def test_exceptions_do_not_count():
     tree = lex.automaton()
     assert lex.features(tree, "put it in the trash can now")[2] == 0
     assert lex.features(tree, "put it in the trash now, tr4sh")[2] == 2
+    assert lex.features(tree, "trash can " * 100_000 + "trash")[2] == 1
     assert lex.score(*lex.features(tree, "trash")[:2]) > lex.score(*lex.features(tree, "trash " + "word " * 500)[:2])
 
 
