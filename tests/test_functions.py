@@ -38,7 +38,7 @@ def test_visible_chars(spark, text, n):
     assert one(spark, T.visible_chars(F.col("t").cast("string")), t=text) == n
 
 
-@pytest.mark.parametrize("text,stamp", [("x EFTA00012345 y", "EFTA00012345"), ("AB-1234567", "AB-1234567"), ("A1234567", None), ("AB12345", None), (None, None)])
+@pytest.mark.parametrize("text,stamp", [("x ABCD00012345 y", "ABCD00012345"), ("AB-1234567", "AB-1234567"), ("A1234567", None), ("AB12345", None), (None, None)])
 def test_bates(spark, text, stamp):
     assert one(spark, T.bates_stamp(F.col("t").cast("string")), t=text) == stamp
 
@@ -57,11 +57,11 @@ def test_content_sha_keeps_null_parts(spark):
 
 
 def test_identifiers(spark):
-    path = "/data/DataSet-9/VOL00009/IMAGES/0001/EFTA01.PDF"
+    path = "/data/DataSet-9/VOL00009/IMAGES/0001/ABCD01.PDF"
     assert one(spark, ids.dataset_key(F.col("p")), p=path) == "DataSet-9"
     assert one(spark, ids.case_key(F.col("p"), F.lit("own")), p=path) == "own"
     assert one(spark, ids.case_key(F.col("p")), p="/tmp/x.pdf") is None
-    assert one(spark, ids.stem(F.col("p")), p=path) == "EFTA01"
+    assert one(spark, ids.stem(F.col("p")), p=path) == "ABCD01"
     assert one(spark, ids.source_kind(F.col("p")), p="a/b.MP4") == "video"
     assert one(spark, ids.mime(F.col("p")), p="a/b.webp") == "image/webp"
     assert one(spark, ids.mime(F.col("p")), p="a/b") == "application/octet-stream"
@@ -90,7 +90,7 @@ def test_loose_values(spark):
     got = one(spark, parse.structured(F.col("v"), "a int"), v='Sure! ```json\n{"a": 3}\n```')
     assert got["a"] == 3
     assert one(spark, parse.structured(F.col("v"), "a int"), v='```json\n{"a": 4}\n```')["a"] == 4
-    for body, hit in (('{"error": {"code": "content_filter"}}', True), ("Azure content management policy", True), ('{"error": {"code": "429"}}', False), ("", False)):
+    for body, hit in (('{"error": {"code": "content_filter"}}', True), ("the content management policy", True), ('{"error": {"code": "429"}}', False), ("", False)):
         assert one(spark, parse.content_filtered(F.col("v")), v=body) is hit
 
 
