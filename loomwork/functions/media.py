@@ -57,17 +57,18 @@ def keyframe_times(scenes: Column, duration: Column, least: int = 2, most: int =
 def png_size(content: Column) -> Column:
     """Width and height from a PNG's header; null where it is none."""
     number = lambda at: F.conv(F.hex(F.substring(content, at, 4)), 16, 10).cast("int")
-    return F.when(F.hex(F.substring(content, 1, 8)) == "89504E470D0A1A0A", F.struct(number(17).alias("width"), number(21).alias("height")))
+    sound = (F.hex(F.substring(content, 1, 8)) == "89504E470D0A1A0A") & (F.hex(F.substring(content, 13, 4)) == "49484452")
+    return F.when(sound, F.struct(number(17).alias("width"), number(21).alias("height")))
 
 
 # -- answers of models, brought within their bounds ---------------------------------------------------
 
 # Names that a model may use.
-ENTITY_TYPES = ("person", "organization", "location", "date", "other")
-CLASSES = ("photo", "document_scan", "diagram", "chart", "handwriting", "screenshot", "mixed", "blank", "black_or_redacted", "decorative", "text_only", "indeterminate")
-NO_CONTENT = ("blank", "black_or_redacted", "decorative", "text_only")
+ENTITY_TYPES = ("person", "org", "place", "date", "other")
+CLASSES = ("photo", "document_scan", "diagram_chart", "handwriting", "blank", "black_or_redacted", "broken_placeholder", "text_only", "indeterminate")
+NO_CONTENT = ("blank", "black_or_redacted", "broken_placeholder", "text_only")
 FLAGS = ("ok", "review")
-CATEGORIES = ("sexual", "violence", "hate", "self_harm", "minor", "other")
+CATEGORIES = ("hate", "sexual", "violence", "self_harm", "csam_suspected")
 
 
 def _texts(items: Column, most: int) -> Column:

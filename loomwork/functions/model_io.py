@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Names by which reasoning models are told.
-REASONING = ("gpt-5", "o1", "o3", "o4")
+REASONING = ("gpt-5", "o1", "o3", "o4-mini")
 
 
 def is_reasoning(model: str, deployment: str | None = None, style: str = "auto") -> bool:

@@ -26,7 +26,7 @@ def asset_verdicts(assets: DataFrame, cfg: Ingest = Ingest()) -> DataFrame:
     flagged = F.transform(F.coalesce(c("safety.categories"), F.array().cast("array<string>")), F.lower)
     filtered = F.coalesce(c("content_filtered"), F.lit(False)) | (F.coalesce(c("error_code"), F.lit("")) == "content_filter")
     vetted = c("safety.flag").isNotNull() & c("error_code").isNull()
-    return assets.withColumn("v", S.verdict(filtered, c("safety.explicit"), c("safety.minor_indicator"), flagged, S.over_threshold(c("severities"), cfg.severity), c("has_visual_content"), vetted, cfg.withhold_unvetted))
+    return assets.withColumn("v", S.verdict(filtered, c("safety.explicit"), c("safety.minor_indicator"), flagged, S.over_threshold(c("severities"), cfg.severity), c("has_visual_content"), vetted, cfg.withhold_unvetted, S.severity_marks(c("severities"), cfg.severity)))
 
 
 def document_status(docs: DataFrame, judged: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def findings(pages: DataFrame, judged: DataFrame) -> DataFrame:
 def blobs(docs: DataFrame, pages: DataFrame, judged: DataFrame) -> DataFrame:
     """doc_id, artifact, action, source_path, content_type: what is copied and what a placeholder stands for."""
     is_page = (F.col("kind") == "page") & F.col("page_number").isNotNull()
-    artifact = F.when(is_page, F.concat(F.lit("ocr/page-"), "page_number", F.lit(".png"))).otherwise(F.concat(F.lit("artifacts/"), ids.document_uuid(F.coalesce("content_sha", "path")), F.lit("/image.png")))
+    artifact = F.when(is_page, F.concat(F.lit("ocr/page-"), "page_number", F.lit(".png"))).otherwise(F.concat(F.lit("artifacts/"), ids.document_uuid(F.coalesce("content_sha", "path"), namespace=ids.ARTIFACT_NAMESPACE), F.lit("/image.png")))
     source = docs.select("doc_id", F.lit("source.pdf").alias("artifact"), F.lit("upload").alias("action"), F.col("doc_id").alias("source_path"), F.lit("application/pdf").alias("content_type"))
     held = F.col("v.withhold")
     asset = judged.select("doc_id", artifact.alias("artifact"), F.when(held, "placeholder_redacted").otherwise("upload").alias("action"), F.when(~held, F.col("path")).alias("source_path"), F.when(~held, ids.mime(F.col("path"))).alias("content_type"))

@@ -39,9 +39,11 @@ def sounding(rows: DataFrame, silent: DataFrame, width: int = Media.window_s) ->
 
 
 def frame_verdicts(frames: DataFrame, cfg: Media = Media()) -> DataFrame:
-    """frames (asset, frame_index, severities array<struct<category, severity>>) with max_severity, flag, categories worth a review, and redacted: blocked imagery is never embedded."""
+    """frames (asset, frame_index, severities array<struct<category, severity>>) with max_severity, flag, categories worth a review (worst first), and redacted: blocked imagery is never embedded."""
     worst = F.coalesce(F.array_max(F.transform("severities", lambda s: F.coalesce(s["severity"].try_cast("int"), F.lit(0)))), F.lit(0))
-    kept = F.filter("severities", lambda s: F.coalesce(s["severity"].try_cast("int"), F.lit(0)) >= cfg.review)
+    number = lambda s: F.coalesce(s["severity"].try_cast("int"), F.lit(0))
+    listed = F.transform(F.filter("severities", lambda s: number(s) >= cfg.review), lambda s: F.struct((-number(s)).alias("order"), s["category"].alias("category")))
+    kept = F.transform(F.array_sort(listed), lambda s: F.struct(s["category"].alias("category"), (-s["order"]).alias("severity")))
     return frames.select("*", worst.alias("max_severity"), severity_flag(worst, cfg).alias("flag"), kept.alias("categories"), (worst >= cfg.block).alias("redacted"))
 
 

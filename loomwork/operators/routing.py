@@ -25,12 +25,12 @@ def page_class(text: Column, images: Column, cfg: Extract = Extract()) -> Column
 
 
 def text_layer(invisible: Column, total: Column, sizes: Column, cfg: Extract = Extract()) -> Column:
-    """none, ocr_layer, born_digital or mixed from the share of invisible glyphs and the number of font sizes."""
+    """none, ocr_layer (mostly invisible glyphs of many sizes), born_digital (few of both) or mixed."""
     share = F.try_divide(invisible.cast("double"), total.cast("double"))
     return ladder(
         [
             (total == 0, "none"),
-            ((share >= cfg.ocr_invisible_min) | (sizes >= cfg.ocr_sizes_min), "ocr_layer"),
+            ((share >= cfg.ocr_invisible_min) & (sizes >= cfg.ocr_sizes_min), "ocr_layer"),
             ((share < cfg.born_invisible_max) & (sizes <= cfg.born_sizes_max), "born_digital"),
         ],
         "mixed",

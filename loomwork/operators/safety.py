@@ -20,10 +20,22 @@ def over_threshold(categories: Column, threshold: int = Ingest.severity) -> Colu
     return F.transform(hit, lambda c: F.lower(F.coalesce(c["category"], F.lit(""))))
 
 
-def verdict(filtered: Column, explicit: Column, minor: Column, flagged: Column, severe: Column, visual: Column, vetted: Column, withhold_unvetted: bool = Ingest.withhold_unvetted) -> Column:
+def severity_marks(categories: Column, threshold: int = Ingest.severity) -> Column:
+    """`cs:category=severity` for the categories that withhold at or over the threshold, in their order."""
+    hit = F.filter(
+        F.coalesce(categories, F.array().cast("array<struct<category:string,severity:string>>")),
+        lambda c: (F.coalesce(c["severity"].try_cast("int"), F.lit(0)) >= threshold) & F.lower(c["category"]).isin(*WITHHOLD),
+    )
+    return F.transform(hit, lambda c: F.concat(F.lit("cs:"), F.lower(c["category"]), F.lit("="), c["severity"]))
+
+
+def verdict(
+    filtered: Column, explicit: Column, minor: Column, flagged: Column, severe: Column, visual: Column, vetted: Column, withhold_unvetted: bool = Ingest.withhold_unvetted, marks: Column | None = None
+) -> Column:
     """Struct (csam, withhold, reasons, tier).
 
-    flagged, severe: arrays of lower-case category names, from the model and over the severity threshold.
+    flagged, severe: arrays of lower-case category names, from the model and over the severity threshold;
+    marks: what severity_marks() gives, if the reasons are to name the severities.
     Signals for reporting come first; then a refused request, explicit content and categories in order of
     their names; last, content that was never vetted.  A bare flag for review withholds nothing.
     """
@@ -35,7 +47,7 @@ def verdict(filtered: Column, explicit: Column, minor: Column, flagged: Column,
     csam = yes(minor) | (F.size(report) > 0)
     named = lambda a: F.transform(a, lambda c: F.concat(F.lit("category:"), c))
     only = lambda c, name: F.when(yes(c), F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
-    held = F.concat(only(filtered, "content_filter"), only(explicit, "explicit"), named(hold))
+    held = F.concat(only(filtered, "content_filter"), only(explicit, "explicit"), named(hold), *([] if marks is None else [marks]))
     unvetted = (F.size(held) == 0) & yes(visual) & ~yes(vetted) & F.lit(withhold_unvetted)
     reasons = F.when(csam, F.concat(only(minor, "minor_indicator"), named(report))).otherwise(F.array_distinct(F.concat(held, only(unvetted, "unvetted_verdict"))))
     first = F.replace(F.replace(F.get(hold, F.lit(0)), F.lit("-"), F.lit("_")), F.lit("selfharm"), F.lit("self_harm"))

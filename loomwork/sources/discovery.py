@@ -13,7 +13,8 @@ from loomwork.functions import ids
 
 PDF = "*.[pP][dD][fF]"
 # Directories that never hold source documents.
-PRUNED = ("images", "pages", "artifacts", "frames", "segments", "embeddings", ".embeddings")
+PRUNED = ("images", "pages", "artifacts", ".embeddings")
+PRUNED_MEDIA = ("images", "corrupted", "data", "db-extract", "empty", "missing-natives", "review")
 
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -49,7 +50,7 @@ def pdfs(spark: SparkSession, root: str, prune: bool = True) -> DataFrame:
 
 def media(spark: SparkSession, root: str) -> DataFrame:
     """Audio, video and image files with their kind; outputs in `*.media` directories are left out."""
-    found = pruned(listing(spark, root), root).withColumn("kind", ids.source_kind(F.col("path")))
+    found = pruned(listing(spark, root), root, PRUNED_MEDIA).withColumn("kind", ids.source_kind(F.col("path")))
     return found.where(F.col("kind").isNotNull() & ~F.exists(ancestors(F.col("path")), lambda d: F.lower(d).endswith(".media")))
 
 

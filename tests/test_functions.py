@@ -69,6 +69,9 @@ def test_identifiers(spark):
 
 def test_document_uuid_is_version_5(spark):
     assert one(spark, ids.document_uuid(F.lit("t"), F.lit("c"), F.lit("d")), p="") == str(uuid.uuid5(uuid.NAMESPACE_DNS, "t/c/d"))
+    both = one(spark, ids.event_ids(*map(F.lit, ("t", "c", "s", "d"))), p="")
+    assert tuple(both) == tuple(str(uuid.uuid5(uuid.UUID(ids.EVENT_NAMESPACE), f"{k}/t/c/s/d")) for k in ("ingest", "corr"))
+    assert one(spark, ids.case_of(F.lit("VOL2/x"), F.col("p")), p="VOL1/x") == "VOL2" and one(spark, ids.case_of(F.lit(None).cast("string"), F.col("p")), p="VOL1/x") == "VOL1"
 
 
 def test_times(spark):
@@ -142,7 +145,7 @@ def test_page_ladders(spark):
     assert [reason(), reason(red=True, n=0), reason(n=5, ink=0.0001), reason(n=5, ink=0.1), reason(gate=False, fig=True), reason(fig=True)] == ["text_sufficient", "redaction_suspected", "blank", "low_text", "quality_fail", "has_figures"]
     assert [one(spark, routing.document_routing(F.lit(a), F.lit(b)), t="") for a, b in ((9, 10), (5, 10), (1, 10), (0, 0))] == ["text_primary", "mixed", "vision_primary", "vision_primary"]
     assert [one(spark, routing.pregate(F.lit(d).cast("double")), t="") for d in (0.001, 0.999, 0.5, None)] == ["blank", "black_or_redacted", None, None]
-    assert [one(spark, routing.text_layer(F.lit(i), F.lit(t), F.lit(s)), t="") for i, t, s in ((0, 0, 0), (6, 10, 9), (0, 10, 3), (3, 10, 5))] == ["none", "ocr_layer", "born_digital", "mixed"]
+    assert [one(spark, routing.text_layer(F.lit(i), F.lit(t), F.lit(s)), t="") for i, t, s in ((0, 0, 0), (6, 10, 9), (0, 10, 3), (3, 10, 5), (6, 10, 3), (0, 10, 9))] == ["none", "ocr_layer", "born_digital", "mixed", "mixed", "mixed"]
 
 
 def test_chunk_packing():

@@ -60,6 +60,8 @@ def test_ingest_plan(spark, lanes):
 
 def test_ingest_tables(lanes):
     docs, pages, judged = lanes
+    reasons = {r["page_number"]: r["r"] for r in judged.where("doc_id = 'd2'").select("page_number", F.col("v.reasons").alias("r")).collect()}
+    assert reasons == {1: ["explicit"], 2: ["category:violence", "cs:violence=5"], 3: ["category:hate"], 4: ["content_filter"], 5: ["unvetted_verdict"], 6: ["unvetted_verdict"], 7: []}
     status = {(r["doc_id"], r["page_number"]): (r["review_status"], r["ocr_text"]) for r in I.page_rows(pages, judged).collect()}
     assert status[("d1", 1)] == ("none", "text") and status[("d1", 2)] == ("none", None) and status[("d2", 1)][0] == status[("d2", 2)][0] == "withheld"
     found = {(r["doc_id"], r["modality"], r["locator"]): (r["violence"], r["csam_suspected"]) for r in I.findings(pages, judged).collect()}
@@ -190,7 +192,8 @@ def test_pixels_and_runs(spark):
 
 def test_reading_order(spark):
     b = lambda x0, y0, x1: (float(x0), float(y0), float(x1), float(y0 + 5))
-    two = [("p", n, b(*v), 50.0) for n, v in {"r1": (60, 0, 90), "l2": (0, 10, 40), "l1": (0, 0.04, 40), "r2": (60, 10, 90)}.items()]
-    wide = [("q", n, b(*v), 50.0) for n, v in {"b": (0, 10, 40), "a": (0, 0, 90)}.items()]
-    rows = G.reading_order(spark.createDataFrame(two + wide, f"page string, name string, box {G.BOX}, gutter double"), "page").orderBy("page", "place").collect()
-    assert [r["name"] for r in rows] == ["l1", "l2", "r1", "r2", "a", "b"]
+    two = [("p", n, b(*v), 0.0, 100.0) for n, v in {"r1": (60, 0, 90), "l2": (0, 10, 40), "l1": (0, 0.04, 40), "r2": (60, 10, 90)}.items()]
+    across = [("r", n, b(*v), 0.0, 100.0) for n, v in {"r1": (60, 10, 90), "l2": (0, 20, 40), "l1": (0, 10, 40), "r2": (60, 20, 90), "top": (0, 0, 90)}.items()]
+    wide = [("q", n, b(*v), 0.0, 100.0) for n, v in {"b": (0, 10, 40), "a": (0, 0, 90)}.items()]
+    rows = G.reading_order(spark.createDataFrame(two + wide + across, f"page string, name string, box {G.BOX}, page_x0 double, page_width double"), "page").orderBy("page", "place").collect()
+    assert [(r["name"], r["ambiguous"]) for r in rows] == [(n, False) for n in ("l1", "l2", "r1", "r2", "a", "b")] + [(n, True) for n in ("top", "l1", "l2", "r1", "r2")]
