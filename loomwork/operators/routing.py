@@ -93,3 +93,36 @@ def demoted_kind(kind: Column, rejected: Column) -> Column:
 
 def stage_state(applicable: Column, done: Column) -> Column:
     return ladder([(applicable == 0, "n/a"), (done == 0, "not_started"), (done >= applicable, "done")], "in_progress")
+
+
+def page_flags(reason: Column, black: Column, images: Column, invisible: Column, visible: Column, rotation: Column) -> Column:
+    """Flags of a page in a fixed order: what kind of blank it is, a heavy invisible layer, images to be scanned, rotation."""
+    blank = F.when(reason == "blank", F.when(F.coalesce(black, F.lit(False)), "blank_black").when(images > 0, "slip_sheet").otherwise("blank_page"))
+    return F.array_compact(
+        F.array(
+            blank,
+            F.when(invisible >= 3 * F.greatest(F.lit(1), visible), "heavy_invisible_layer"),
+            F.when(images > 0, "image_safety_required"),
+            F.when(F.coalesce(rotation, F.lit(0)) != 0, "rotated"),
+        )
+    )
+
+
+def with_quality_flag(flags: Column, kind: Column, reason: Column) -> Column:
+    """Adds low_quality_text to text and mixed pages that failed the quality gate, once."""
+    bad = kind.isin("text", "mixed") & (reason == "quality_fail")
+    return F.when(bad, F.array_union(flags, F.array(F.lit("low_quality_text")))).otherwise(flags)
+
+
+def low_confidence(truncated: Column, flags: Column) -> Column:
+    return truncated | F.array_contains(flags, "low_quality_text")
+
+
+def kind_reason(kind: Column, n_chars: Column, coverage: Column, bars: Column, cfg: Extract = Extract()) -> Column:
+    """Why a page is of its kind."""
+    full = (coverage >= cfg.full_page) & (n_chars < cfg.min_chars)
+    fixed = {"blank": "stage1_blank", "mixed": "text_with_figure", "text": "text_sufficient"}
+    out = F.when(kind == "redacted", F.concat(F.lit("bars_cover_"), F.format_string("%.3f", bars.cast("double"))))
+    for k, v in fixed.items():
+        out = out.when(kind == k, v)
+    return out.when(full, "full_page_image_low_text").otherwise("low_text_failsafe")

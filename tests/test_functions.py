@@ -200,3 +200,16 @@ def test_geometry(spark):
 
 def test_config_echo():
     assert Extract().echo()["min_chars"] == 40
+
+
+def test_page_flags(spark):
+    flags = lambda *v: one(spark, routing.page_flags(*map(F.lit, v)), t="")
+    assert flags("blank", True, 1, 0, 0, 0) == ["blank_black", "image_safety_required"]
+    assert flags("blank", False, 1, 9, 3, 90) == ["slip_sheet", "heavy_invisible_layer", "image_safety_required", "rotated"]
+    assert flags("blank", None, 0, 0, 0, None) == ["blank_page"] and flags("low_text", None, 0, 2, 0, 0) == []
+    base = F.array(F.lit("rotated"))
+    assert one(spark, routing.with_quality_flag(base, F.lit("text"), F.lit("quality_fail")), t="") == ["rotated", "low_quality_text"]
+    assert one(spark, routing.with_quality_flag(base, F.lit("image"), F.lit("quality_fail")), t="") == ["rotated"]
+    assert one(spark, routing.low_confidence(F.lit(False), F.array(F.lit("low_quality_text"))), t="") is True
+    why = lambda kind, n, cover: one(spark, routing.kind_reason(F.lit(kind), F.lit(n), F.lit(cover), F.lit(0.7)), t="")
+    assert [why("redacted", 0, 0.0), why("text", 99, 0.0), why("image", 3, 0.9), why("image", 3, 0.1)] == ["bars_cover_0.700", "text_sufficient", "full_page_image_low_text", "low_text_failsafe"]
