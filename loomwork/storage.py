@@ -5,16 +5,23 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="loomwork-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where it is unset (tests) a local one is set for the session."""
+    """The folder named in spark.checkpoint.dir; where it is unset and Spark runs on one machine (tests), a folder of this process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="loomwork-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _own_dir()
     return folder.rstrip("/")
 
 

@@ -174,3 +174,15 @@ def test_report(spark):
     assert json.loads(R.as_json(made))["datasets"][0]["stages"]["stage3"]["done"] == 2
     assert "| a | 3 | 66.7% |" in R.as_markdown(made) and "$2.00" in R.as_markdown(made) and "a: 1 documents" in R.as_html(made)
     assert R.human_bytes(None) == "n/a" and R.human_bytes(1536) == "1.5 KB" and R.percent(None) == "n/a"
+
+
+def test_shared_dir(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from loomwork.storage import shared_dir
+
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    unset = lambda master: SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master))
+    assert shared_dir(unset("local[2]")).startswith("file:///") and shared_dir(unset("local[2]")) == shared_dir(unset("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(unset("yarn"))
