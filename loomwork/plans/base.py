@@ -46,9 +46,13 @@ def pages(t: Tables, *keep: str) -> DataFrame:
     return spread(t.documents, "doc_id").select("doc_id", *keep, F.posexplode(T.pages_of(F.col("text"))).alias("at", "content")).select("doc_id", *keep, big(F.col("at") + 1).alias("page_number"), "content")
 
 
-def judged(t: Tables) -> DataFrame:
-    """Documents with labels; toxic and quality are null where a document was never judged."""
-    return t.documents.join(t.labels.select(F.col("doc_id").alias("_id"), "quality", "toxic"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+def judged(t: Tables, *made: Column) -> DataFrame:
+    """doc_id, lang, source, what is made of the texts, and labels; toxic and quality are null where a document was never judged.
+
+    What is needed of a text is computed before the join, so that no text is shuffled.
+    """
+    rows = t.documents.select("doc_id", "lang", "source", *made)
+    return rows.join(t.labels.select(F.col("doc_id").alias("_id"), "quality", "toxic"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
 
 PAGES = """pages_of AS (

@@ -81,11 +81,11 @@ DIGEST_SQL = """digest AS (
 
 def _digest(t: Tables) -> DataFrame:
     d = F.col("doc_id")
-    rows = judged(t).join(t.embeddings.select(F.col("vec_id").alias("doc_id"), "label"), "doc_id", "left")
+    rows = judged(t, T.chars(F.col("text")).alias("chars")).join(t.embeddings.select(F.col("vec_id").alias("doc_id"), "label"), "doc_id", "left")
     seen = F.col("quality").isNotNull() | F.col("toxic").isNotNull()
-    n = T.chars(F.col("text"))
+    n = F.col("chars")
     return rows.select(
-        "doc_id", F.col("source").alias("dataset"), F.when(d % 29 == 0, "error").when(d % 31 == 0, "missing").otherwise("ok").alias("status"), big(F.greatest(F.lit(1), F.ceil(n / 2000))).alias("pages"), n.alias("chars"),
+        "doc_id", F.col("source").alias("dataset"), F.when(d % 29 == 0, "error").when(d % 31 == 0, "missing").otherwise("ok").alias("status"), big(F.greatest(F.lit(1), F.ceil(n / 2000))).alias("pages"), "chars",
         F.col("label").isNotNull().alias("has_assets"), seen.alias("s3"), (seen & (F.coalesce("quality", F.lit(0)) == 1)).alias("s5"), (d % 4 != 0).alias("s6"), F.when(seen, C.chat_tokens(n) * 100).otherwise(0).alias("s3_nano"),
         (F.coalesce("toxic", F.lit(0)) == 1).alias("review"), (d % 37 == 0).alias("filtered"), (F.coalesce("label", F.lit(-1)) == 7).alias("minor"), (d % 43 == 0).alias("final_filtered"),
     )
@@ -181,7 +181,8 @@ STATUS_SQL = """plan AS (SELECT d.source, CASE WHEN d.doc_id % 23 = 0 THEN 'skip
 def _plan(t: Tables) -> DataFrame:
     d = F.col("doc_id")
     status = F.when(d % 23 == 0, "skipped_csam").when(d % 19 == 0, "no_chunks").when(F.col("toxic") == 1, "withheld").otherwise("ready")
-    return judged(t).select("doc_id", "source", "lang", status.alias("status"), big(F.floor(F.length("text") / 500) + 1).alias("vectors"))
+    rows = judged(t, big(F.floor(F.length("text") / 500) + 1).alias("vectors"))
+    return rows.select("doc_id", "source", "lang", status.alias("status"), "vectors")
 
 
 @query(f"WITH {STATUS_SQL} SELECT source, CAST(count_if(status = 'ready') AS BIGINT) AS n_ready, CAST(count_if(status = 'withheld') AS BIGINT) AS n_withheld, CAST(count_if(status = 'no_chunks') AS BIGINT) AS n_no_chunks, CAST(count_if(status = 'skipped_csam') AS BIGINT) AS n_skipped_csam, count(*) AS n FROM plan GROUP BY source")
@@ -195,9 +196,9 @@ SELECT source, action, count(*) AS n FROM b GROUP BY ALL"""
 )
 def blob_action_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    rows = pages(t, "source").join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
     blank = S.page_blank(F.when(F.col("doc_id") % 41 == 0, "blank"), F.col("content"), F.lit(False))
-    action = F.when(blank, "placeholder_blank").when((F.col("toxic") == 1) & (F.col("page_number") % 2 == 1), "placeholder_withheld").otherwise("copy")
+    rows = pages(t, "source").select("doc_id", "source", "page_number", blank.alias("blank")).join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
+    action = F.when(F.col("blank"), "placeholder_blank").when((F.col("toxic") == 1) & (F.col("page_number") % 2 == 1), "placeholder_withheld").otherwise("copy")
     return rows.groupBy("source", action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -239,9 +240,10 @@ def metadata_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitelisted, non-null entries in groups; empty groups are left out.  Maps have no fixed order, so rows only."""
     t = Tables(spark, sf_dir)
     group = lambda **kv: F.map_filter(F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v.cast("string"))]), lambda _, v: v.isNotNull())
-    rows = t.documents.join(t.pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left")
-    source = group(sha256=F.sha2("text", 256), bytes=F.octet_length("text"), url=F.col("url"))
-    document = group(language=F.col("lang"), title=F.when(F.col("doc_id") % 2 == 0, F.substring("text", 1, 20)))
+    told = t.documents.select("doc_id", "lang", F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("size"), F.substring("text", 1, 20).alias("title"))
+    rows = told.join(t.pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left")
+    source = group(sha256=F.col("sha"), bytes=F.col("size"), url=F.col("url"))
+    document = group(language=F.col("lang"), title=F.when(F.col("doc_id") % 2 == 0, F.col("title")))
     bag = F.map_filter(F.create_map(F.lit("source"), source, F.lit("document"), document), lambda _, v: F.size(v) > 0)
     return rows.select("doc_id", bag.alias("metadata"))
 

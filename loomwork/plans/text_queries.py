@@ -78,7 +78,8 @@ SELECT lang, reason, reason NOT IN ('blank', 'text_sufficient') AS needs_vision,
 )
 def needs_vision_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    rows = pages(t, "lang").join(t.labels, "doc_id", "left").select("lang", T.quality(F.col("content")).alias("q"), "quality", "toxic")
+    told = pages(t, "lang").select("doc_id", "lang", T.quality(F.col("content")).alias("q"))
+    rows = told.join(t.labels.select("doc_id", "quality", "toxic"), "doc_id", "left")
     gate = T.quality_gate(F.col("q")) & (F.coalesce("quality", F.lit(1)) == 1)
     none = F.lit(None).cast("double")
     reason = R.vision_reason(F.coalesce("toxic", F.lit(0)) == 1, F.col("q.n_chars"), none, none, gate, F.lit(False))
@@ -125,8 +126,9 @@ def bates_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, sha256(substring(text, 1, 24000)) AS kept_sha, length(text) > 24000 AS truncated, length(text) > 24000 OR coalesce(quality, 1) = 0 AS low_confidence FROM documents LEFT JOIN labels USING (doc_id)")
 def truncate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = judged(Tables(spark, sf_dir)).select("doc_id", "quality", T.truncated(F.col("text"), Summarise.max_chars).alias("c"))
-    return rows.select("doc_id", F.sha2("c.text", 256).alias("kept_sha"), "c.truncated", (F.col("c.truncated") | (F.coalesce("quality", F.lit(1)) == 0)).alias("low_confidence"))
+    cut = T.truncated(F.col("text"), Summarise.max_chars)
+    rows = judged(Tables(spark, sf_dir), F.sha2(cut["text"], 256).alias("kept_sha"), cut["truncated"].alias("truncated"))
+    return rows.select("doc_id", "kept_sha", "truncated", (F.col("truncated") | (F.coalesce("quality", F.lit(1)) == 0)).alias("low_confidence"))
 
 
 @query(
