@@ -31,14 +31,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.storage import Scratch
+from loomwork.storage import Scratch, arrow_batches
 
 #: Bound of a worker's table of word hashes; it is emptied when full.
-WORD_MEMO = 400_000
+WORD_MEMO = 100_000
 #: Shingles that are hashed with all functions at once.
 CHUNK = 1024
 #: Bound of the members of one block when a bucket is compared member by member.
 BLOCK = 128
+#: Bytes that go to a Python worker at once while sets and signatures are compared.
+BATCH = "16m"
 #: Bound of the set members of one block, and of the columns that are multiplied at once.
 BLOCK_SHINGLES, COLUMNS = 1_000_000, 4096
 
@@ -234,6 +236,10 @@ class NearDuplicates:
         """doc_id, n_shingles, component_id, kept: one row for each row of docs."""
         docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         scratch = Scratch(docs.sparkSession, "near-dedup")
+        with arrow_batches(docs.sparkSession, BATCH):
+            return self._apply(docs, scratch)
+
+    def _apply(self, docs: DataFrame, scratch: Scratch) -> DataFrame:
         signed = scratch.keep(self._signatures(docs), "signatures")
 
         classes = scratch.keep(
