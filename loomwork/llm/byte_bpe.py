@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bound of the pre-tokens that a worker remembers; the memo is emptied when full.
-MEMO = 400_000
+#: Bound of each of the two generations of pre-tokens that a worker remembers; what is used again moves to the new one.
+MEMO = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -113,10 +113,14 @@ class Codec:
         codec = self
 
         class Memo(dict):
+            old: dict = {}
+
             def __missing__(self, piece: str) -> str:
+                ids = self.old.get(piece) or codec._piece(piece)
                 if len(self) >= MEMO:
+                    self.old = dict(self)
                     self.clear()
-                self[piece] = ids = codec._piece(piece)
+                self[piece] = ids
                 return ids
 
         self.memo = Memo()
