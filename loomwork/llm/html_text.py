@@ -3,8 +3,10 @@
 Method: a page becomes a tree of elements.  For every node, characters per tag, lowered by the share of
 linked characters, is its composite text density; the sum of its children's densities is its density sum.
 The node with the largest density sum is the core; the threshold is the least density on the path from
-the core up to the body.  From the body down, the first node on that path whose density reaches the
-threshold and that isn't diluted by its surroundings is the content; inside it, blocks of elements that
+the core up to the body.  An article or main element around the core is the content.  Without one, from the
+body down, every subtree of PROSE unlinked characters whose density reaches the threshold is content, cut
+down to its own node of the largest density sum; around these, on the way up to the body, headings, whatever stands between two of them
+and blocks of prose stay too, unless most of it is linked.  Inside the content, blocks of elements that
 never hold main text (navigation, headers, footers, asides, forms, scripts, styles, and those whose class,
 id or role names notices, adverts, menus or comments) are left out, as are nodes of links only whose
 density is below the threshold.
@@ -52,6 +54,9 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 SPACE = re.compile(r"\s+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Unlinked characters, without spaces, that make a block a paragraph of prose.
+PROSE = 60
 
 
 class Node:
@@ -154,7 +159,74 @@ def measure(root: Node) -> Node:
     return body
 
 
-def blocks(content: Node, least: float) -> list[str]:
+def prose(node: Node) -> bool:
+    """Whether most of a block is unlinked and some block without other blocks inside is a paragraph of prose."""
+    if node.never or node.chars - node.link_chars < PROSE or 2 * node.link_chars > node.chars:
+        return False
+    todo = [node]
+    for n in todo:
+        inner = [p for p in n.parts if isinstance(p, Node) and p.name not in INLINE and not p.never]
+        todo += inner
+        if n.chars - n.link_chars - sum(p.chars - p.link_chars for p in inner) >= PROSE:
+            return True
+    return False
+
+
+def dense(body: Node, least: float) -> set[Node]:
+    """Of every subtree whose density reaches the threshold, the node with the largest density sum."""
+    order, best = [body], {}
+    for node in order:
+        order += [p for p in node.parts if isinstance(p, Node) and not p.never and p.name != "a"]
+    for node in reversed(order):
+        if node.name not in INLINE:
+            below = best.get(node)
+            best[node] = below if below and below.total > node.total else node
+        if node is not body and (found := best.get(node)) and (node.parent not in best or found.total >= best[node.parent].total):
+            best[node.parent] = found
+    kept: set[Node] = set()
+    todo = [body]
+    for node in todo:
+        if node in kept:
+            continue
+        if node.name not in INLINE and node.density >= least and (node is body or node.chars - node.link_chars >= max(PROSE, node.link_chars)):
+            kept.add(best[node])
+            if best[node] is node:
+                continue
+        todo += [p for p in node.parts if isinstance(p, Node) and not p.never and p.name != "a"]
+    return kept
+
+
+def around(body: Node, kept: set[Node]) -> dict[Node, list]:
+    """For each node above the kept ones, those of its parts that are content."""
+    above: set[Node] = set()
+    for node in kept:
+        while node is not body and node.parent not in above:
+            node = node.parent
+            above.add(node)
+    out: dict[Node, list] = {}
+    for node in above - kept:
+        inner = [k for k, p in enumerate(node.parts) if isinstance(p, Node) and (p in kept or p in above)]
+        chosen: list = []
+        run: list = []
+        for k, p in enumerate([*node.parts, None]):
+            if isinstance(p, str) or p is not None and p.name in INLINE and p not in above:
+                run.append(p)
+                continue
+            if run:
+                plain = sum(len(x) - x.count(" ") if isinstance(x, str) else 0 if x.never or x.name == "a" else x.chars - x.link_chars for x in run)
+                if plain >= PROSE or inner[0] < k <= inner[-1]:
+                    chosen += run
+                run = []
+            if p is None:
+                break
+            if p in kept or p in above or p.name == "br" or p.name in HEADINGS and k < inner[-1] or prose(p) or inner[0] < k < inner[-1] and 2 * p.link_chars <= p.chars:
+                chosen.append(p)
+        out[node] = chosen
+    return out
+
+
+def blocks(content: Node, least: float, chosen: dict[Node, list]) -> list[str]:
+    """Texts of the blocks of content; of a node in chosen, only the parts given there."""
     out: list[str] = []
     line: list[str] = []
 
@@ -177,10 +249,10 @@ def blocks(content: Node, least: float) -> list[str]:
         elif p.name == "br":
             line.append(" ")
         elif p.name in INLINE:
-            stack += reversed(p.parts)
+            stack += reversed(chosen.get(p, p.parts))
         else:
             close()
-            stack += [None, *reversed(p.parts)]
+            stack += [None, *reversed(chosen.get(p, p.parts))]
     close()
     return out
 
@@ -200,8 +272,9 @@ def main_text(page: str | None) -> str:
     least = min(n.density for n in path)
     # An article or main element around the core is the author's own mark of the content.
     marked = [n for n in path if n.name in ("article", "main")]
-    content = marked[-1] if marked else next((n for n in reversed(path) if n is core or n.density >= least and n.total >= 0.5 * core.total and n is not body), core)
-    return "\n".join(blocks(content, least))
+    if marked:
+        return "\n".join(blocks(marked[-1], least, {}))
+    return "\n".join(blocks(body, least, around(body, dense(body, least))))
 
 
 class HtmlText:

@@ -414,6 +414,24 @@ def test_html_notices_inside_the_article():
     assert html_text.main_text(f"<body><article>{inner}</article></body>") == TEXT
 
 
+def paragraph(k, n=300):
+    return (f"paragraph {k} " + "words of the text go on and on " * 20)[:n].strip()
+
+
+@pytest.mark.parametrize("sections, each, first", [(2, 6, 300), (3, 20, 300), (3, 8, 500), (5, 8, 500), (3, 8, 100)])
+@pytest.mark.parametrize("wrap", ["<div>{}</div>", "{}", "<div id=a><div id=b>{}</div></div>"])
+@pytest.mark.parametrize("tag", ["section", "div"])
+def test_html_text_split_over_sections(sections, each, first, wrap, tag):
+    want, html = ["The title"], "<h1>The title</h1>"
+    for s in range(sections):
+        texts = [paragraph(f"{s} {k}", first if s == 0 else 300) for k in range(each)]
+        want += [f"Part {s}", *texts]
+        html += f"<{tag}><h2>Part {s}</h2>{''.join(f'<p>{t}</p>' for t in texts)}</{tag}>"
+    links = "<div>" + "".join(f"<div><a href=/{k}>Place {k}</a></div>" for k in range(8)) + "</div>"
+    page = f"<html><body>{links}{wrap.format(html)}<div>Site by us</div>{links}</body></html>"
+    assert html_text.main_text(page) == "\n".join(want)
+
+
 @pytest.mark.parametrize("piece", ["<a", '<a "', "<p>", "<div a='", "<!--", "<li>", "&amp", "</div>", "<tr><td>a", "<script>"])
 def test_html_hostile_pages_take_linear_time(piece):
     import time
