@@ -7,9 +7,13 @@ the core up to the body.  An article or main element around the core is the cont
 body down, every subtree of PROSE unlinked characters whose density reaches the threshold is content, cut
 down to its own node of the largest density sum; around these, on the way up to the body, headings, whatever stands between two of them
 and blocks of prose stay too, unless most of it is linked.  Inside the content, blocks of elements that
-never hold main text (navigation, headers, footers, asides, forms, scripts, styles, and those whose class,
-id or role names notices, adverts, menus or comments) are left out, as are nodes of links only whose
-density is below the threshold.
+never hold main text (navigation, headers, footers, asides, forms, scripts, styles, hidden ones, and those
+whose role is one of these) are left out, as are nodes of links only whose density is below the threshold.
+A class or id that names notices, adverts, menus, comments and the like only marks a block: it is left out
+if most of it is linked, or if it has no paragraph of prose and is short beside its siblings.  A class or id
+that says nothing but comments, adverts, notices or menus ("comment-list", "cookie banner") is left out even
+if it is prose, unless it wraps nearly all of the page.  Headings, and whatever holds the page's h1, an
+article or main, are never left out by name.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed
 and joined in page order by one newline.
@@ -42,6 +46,10 @@ NAMED = re.compile(
     r"comments?|replies|disqus|respond|related|recommend\w*|share|sharing|social|footer|header|masthead|copyright|legal|toolbar|pagination|pager|skip|login|search)(?:$|[\s_-])",
     re.I,
 )
+#: Of these names, and words for parts of a page, a whole class or id is made that is no title of a section.
+STRICT = r"ads?|advert\w*|sponsor(?:s|ed)?|promos?|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|signup|menu|navbar|nav|breadcrumbs?|sidebar|comments?|replies|disqus|respond"
+STRICTLY = re.compile(rf"(?:(?:{STRICT}|list|area|box|container|wrap|wrapper|section|block|bar|banner|form|slot|unit|thread|top|bottom|left|right|main|site|page|\d+)(?:[_-]+|$))+", re.I)
+STRICT_NAME = re.compile(rf"(?:^|[_-])(?:{STRICT})(?:$|[_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: A start tag closes an open element of these names.
 CLOSES = {
@@ -52,35 +60,40 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"sel
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 
 MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?|\"[^\"]*\"|'[^']*'", re.I)
 SPACE = re.compile(r"\s+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Unlinked characters, without spaces, that make a block a paragraph of prose.
 PROSE = 60
+#: Parts of lists and tables; blocks whose inline elements stand in running text.
+PART = frozenset("li dt dd tr td th thead tbody tfoot caption figcaption".split())
+TEXT = frozenset("p li dt dd td th caption figcaption blockquote pre".split()) | HEADINGS
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "never", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "parts", "never", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None, never: bool = False):
-        self.name, self.parent, self.never = name, parent, never
+    def __init__(self, name: str, parent: Node | None, never: bool = False, named: int = 0):
+        self.name, self.parent, self.never, self.named = name, parent, never, named
         self.parts: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _never(name: str, attributes: str) -> bool:
+def _never(name: str, attributes: str) -> tuple[bool, int]:
+    """Whether an element never holds main text; 1 if its class or id hints at that, 2 if it says nothing else."""
+    named = 0
     if name in NEVER:
-        return True
+        return True, named
     for key, value in ATTRIBUTE.findall(attributes) if attributes else ():
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and name not in ("html", "body", "article", "main") and NAMED.search(value):
-            return True
+        if key in ("class", "id") and name not in ("html", "body", "article", "main") and name not in HEADINGS and NAMED.search(value):
+            named = max(named, 2 if any(STRICT_NAME.search(x) and STRICTLY.fullmatch(x) for x in value.split()) else 1)
         if key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, named
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return True, named
+    return False, named
 
 
 def parse(page: str) -> Node:
@@ -118,7 +131,7 @@ def parse(page: str) -> Node:
             if last:
                 while here is not last.parent:
                     here, depth = here.parent, depth - 1
-        node = Node(name, here, _never(name, m[3]))
+        node = Node(name, here, *_never(name, m[3]))
         here.parts.append(node)
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
@@ -128,6 +141,45 @@ def parse(page: str) -> Node:
     return root
 
 
+def count(node: Node) -> None:
+    node.chars = node.tags = node.link_chars = node.link_tags = 0
+    if node.never:
+        return
+    for p in node.parts:
+        if isinstance(p, str):
+            node.chars += len(p) - p.count(" ")
+        elif not p.never:
+            node.chars += p.chars
+            node.tags += p.tags + 1
+            node.link_chars += p.chars if p.name == "a" else p.link_chars
+            node.link_tags += p.link_tags + (p.name == "a")
+
+
+def drop_named(order: list[Node], body: Node) -> None:
+    """Of the nodes whose class or id names what isn't main text, marks those that are left out."""
+    for node in reversed(order):
+        count(node)
+    whole, holds = body.chars, set()
+    for node in reversed(order):
+        if node.parent and not node.never and (node in holds or node.name in ("article", "main", "h1")):
+            holds.add(node.parent)
+    longest: dict[Node, int] = {}
+    for node in order:
+        if not node.named or node.never or node in holds:
+            continue
+        inline, linked = node.name in INLINE, node.name == "a" or 2 * node.link_chars > node.chars
+        if inline and node.parent.name in TEXT:
+            continue
+        if node.named == 2 and 10 * node.chars < 9 * whole:
+            node.never = True
+        elif linked:
+            node.never = 10 * node.chars < 9 * whole
+        elif node.name not in PART and not prose(node):
+            if node.parent not in longest:
+                longest[node.parent] = max((p.chars if isinstance(p, Node) else len(p) for p in node.parent.parts if not (isinstance(p, Node) and (p.never or p.named))), default=0)
+            node.never = 2 * node.chars < longest[node.parent]
+
+
 def measure(root: Node) -> Node:
     """Densities of all nodes; returns the body or the root."""
     order, body = [root], root
@@ -135,17 +187,10 @@ def measure(root: Node) -> Node:
         order += [p for p in node.parts if isinstance(p, Node)]
         if node.name == "body" and body is root:
             body = node
+    if any(n.named for n in order):
+        drop_named(order, body)
     for node in reversed(order):
-        if node.never:
-            continue
-        for p in node.parts:
-            if isinstance(p, str):
-                node.chars += len(p) - p.count(" ")
-            elif not p.never:
-                node.chars += p.chars
-                node.tags += p.tags + 1
-                node.link_chars += p.chars if p.name == "a" else p.link_chars
-                node.link_tags += p.link_tags + (p.name == "a")
+        count(node)
     whole = body.link_chars / body.chars if body.chars else 0.0
     for node in reversed(order):
         if node.never or not node.chars:

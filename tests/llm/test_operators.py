@@ -432,6 +432,25 @@ def test_html_text_split_over_sections(sections, each, first, wrap, tag):
     assert html_text.main_text(page) == "\n".join(want)
 
 
+@pytest.mark.parametrize(
+    "block",
+    ['<section id="related-work">{}</section>', '<section id="legal-history">{}</section>', '<section id="legal">{}</section>', '<div class="social-sciences">{}</div>', '<section aria-label="A hidden valley">{}</section>', "<section title=' class=ad '>{}</section>", '<section data-x="the id=menu of it">{}</section>'],
+)
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div>{}</div>", '<div id="side-content">{}</div>', '<div id="side-content"><article>{}</article></div>', '<div class="sidebar"><main>{}</main></div>'])
+def test_html_names_do_not_drop_text(block, around):
+    texts = [paragraph(k) for k in range(4)]
+    inner = f'<h1>Search</h1><p>{texts[0]}</p>' + block.format(f'<h2 id="search-algorithms">Algorithms</h2><p>{texts[1]}</p><p title="The hidden cost">{texts[2]}</p>') + f'<p>{texts[3]}</p>'
+    page = f"<body>{around.format(inner)}<div class='social-links'><a href=x>One</a> <a href=y>Two</a></div></body>"
+    assert html_text.main_text(page) == "\n".join(["Search", texts[0], "Algorithms", *texts[1:]])
+
+
+@pytest.mark.parametrize("named", ["class=comments", "id='comments'", "class='comment-list'", 'class="x cookie-banner"', "class=ad", "hidden", "style='display: none'", "title='a > b' aria-hidden=true"])
+def test_html_names_drop_comments_and_notices(named):
+    texts = [paragraph(k) for k in range(6)]
+    page = f"<body><div><h1>Title</h1>{''.join(f'<p>{t}</p>' for t in texts)}</div><div {named}><p>{paragraph('of a reader')}</p><p>{paragraph('of another')}</p></div></body>"
+    assert html_text.main_text(page) == "\n".join(["Title", *texts])
+
+
 @pytest.mark.parametrize("piece", ["<a", '<a "', "<p>", "<div a='", "<!--", "<li>", "&amp", "</div>", "<tr><td>a", "<script>"])
 def test_html_hostile_pages_take_linear_time(piece):
     import time
