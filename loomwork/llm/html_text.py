@@ -6,9 +6,10 @@ The node with the largest density sum is the core; the threshold is the least de
 the core up to the body.  An article or main element around the core is the content.  Without one, from the
 body down, every subtree of PROSE unlinked characters whose density reaches the threshold is content, cut
 down to its own node of the largest density sum; around these, on the way up to the body, headings, whatever stands between two of them
-and blocks of prose stay too, unless most of it is linked.  Inside the content, blocks of elements that
+and blocks of prose stay too, unless most of such a block is linked (but for lists and paragraphs between two of them).  Inside the content, blocks of elements that
 never hold main text (navigation, headers, footers, asides, forms, scripts, styles, hidden ones, and those
-whose role is one of these) are left out, as are nodes of links only whose density is below the threshold.
+whose role is one of these) are left out, as are menus: blocks of several links and no other text, below the
+threshold and not between two paragraphs.  Linked headings, items, cells and single linked paragraphs stay.
 A class or id that names notices, adverts, menus, comments and the like only marks a block: it is left out
 if most of it is linked, or if it has no paragraph of prose and is short beside its siblings.  A class or id
 that says nothing but comments, adverts, notices or menus ("comment-list", "cookie banner") is left out even
@@ -65,6 +66,7 @@ SPACE = re.compile(r"\s+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Unlinked characters, without spaces, that make a block a paragraph of prose.
 PROSE = 60
+LISTS = frozenset("p ul ol dl table".split())
 #: Parts of lists and tables; blocks whose inline elements stand in running text.
 PART = frozenset("li dt dd tr td th thead tbody tfoot caption figcaption".split())
 TEXT = frozenset("p li dt dd td th caption figcaption blockquote pre".split()) | HEADINGS
@@ -264,12 +266,29 @@ def around(body: Node, kept: set[Node]) -> dict[Node, list]:
                 run = []
             if p is None:
                 break
-            if p in kept or p in above or p.name == "br" or p.name in HEADINGS and k < inner[-1] or prose(p) or inner[0] < k < inner[-1] and 2 * p.link_chars <= p.chars:
+            if p in kept or p in above or p.name == "br" or p.name in HEADINGS and k < inner[-1] or prose(p) or inner[0] < k < inner[-1] and (2 * p.link_chars <= p.chars or p.link_tags < 2 or p.name in LISTS):
                 chosen.append(p)
         out[node] = chosen
     return out
 
 
+def menus(parts: list, least: float) -> set[Node]:
+    """Those of a node's parts that are menus."""
+    found = [
+        k
+        for k, p in enumerate(parts)
+        if isinstance(p, Node) and p.link_tags > 1 and p.chars == p.link_chars and p.density < least and not p.never and p.name not in INLINE and p.name not in HEADINGS and p.name not in PART
+    ]
+    if not found:
+        return set()
+    run = [
+        k
+        for k, p in enumerate(parts)
+        if (len(p) - p.count(" ") >= PROSE if isinstance(p, str) else not p.never and p.name not in INLINE and p.name not in HEADINGS and p.chars - p.link_chars >= (1 if p.name in ("p", "pre", "blockquote") else PROSE))
+    ]
+    return {parts[k] for k in found if not run or not run[0] < k < run[-1]}
+
+
 def blocks(content: Node, least: float, chosen: dict[Node, list]) -> list[str]:
     """Texts of the blocks of content; of a node in chosen, only the parts given there."""
     out: list[str] = []
@@ -281,6 +300,7 @@ def blocks(content: Node, least: float, chosen: dict[Node, list]) -> list[str]:
             out.append(text)
         line.clear()
 
+    left_out: set[Node] = set()
     stack: list = [content]
     while stack:
         p = stack.pop()
@@ -288,7 +308,7 @@ def blocks(content: Node, least: float, chosen: dict[Node, list]) -> list[str]:
             line.append(p)
         elif p is None:
             close()
-        elif p.never or p.name not in INLINE and p is not content and p.link_chars and p.chars == p.link_chars and p.density < least:
+        elif p.never or p in left_out:
             if p.name not in INLINE:
                 close()
         elif p.name == "br":
@@ -297,7 +317,10 @@ def blocks(content: Node, least: float, chosen: dict[Node, list]) -> list[str]:
             stack += reversed(chosen.get(p, p.parts))
         else:
             close()
-            stack += [None, *reversed(chosen.get(p, p.parts))]
+            parts = chosen.get(p, p.parts)
+            if p.link_tags > 1 and p.name not in ("li", "dt", "dd"):
+                left_out |= menus(parts, least)
+            stack += [None, *reversed(parts)]
     close()
     return out
 

@@ -451,6 +451,29 @@ def test_html_names_drop_comments_and_notices(named):
     assert html_text.main_text(page) == "\n".join(["Title", *texts])
 
 
+@pytest.mark.parametrize(
+    "linked, want",
+    [
+        ("<h2><a href=x>Heading</a></h2>", ["Heading"]),
+        ("<h2><a href=x>Head</a><a href=y>ing</a></h2>", ["Heading"]),
+        ("<p><a href=x>A linked paragraph</a></p>", ["A linked paragraph"]),
+        ("<ul><li><a href=x>one</a></li><li>two</li><li><a href=y>three</a></li></ul>", ["one", "two", "three"]),
+        ("<table><tr><td><a href=x>a</a></td><td><a href=y>b</a></td></tr><tr><td>c</td><td><a href=z>d</a></td></tr></table>", ["a", "b", "c", "d"]),
+        ("<ul><li><a href=x>one</a></li><li><a href=y>two</a></li></ul>", ["one", "two"]),
+        ("<ul><li>two of them:<ul><li><a href=x>one</a></li><li><a href=y>two</a></li></ul></li></ul>", ["two of them:", "one", "two"]),
+    ],
+)
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div>{}</div>"])
+def test_html_linked_text_of_the_article(linked, want, around):
+    first, second, menu = paragraph(1), paragraph(2), "<ul><li><a href=/1>Home</a></li><li><a href=/2>News</a></li></ul>"
+    page = f"<body><div>{menu}</div>{around.format(f'{menu}<h1>Title</h1><p>{first}</p>{linked}<p>{second}</p>{menu}<div><div><a href=/3>More</a></div><div><a href=/4>Less</a></div></div>')}{menu}</body>"
+    assert html_text.main_text(page) == "\n".join(["Title", first, *want, second])
+    texts = [paragraph(k) for k in range(6)]
+    sections = [f"<div>{''.join(f'<p>{t}</p>' for t in part)}</div>" for part in (texts[:3], texts[3:])]
+    page = f"<body>{menu}<div>{sections[0]}{linked}{sections[1]}</div>{menu}</body>"
+    assert html_text.main_text(page) == "\n".join([*texts[:3], *want, *texts[3:]])
+
+
 @pytest.mark.parametrize("piece", ["<a", '<a "', "<p>", "<div a='", "<!--", "<li>", "&amp", "</div>", "<tr><td>a", "<script>"])
 def test_html_hostile_pages_take_linear_time(piece):
     import time
