@@ -9,8 +9,10 @@ order (prefix filter), it can't have fewer words than the overlap asks for (leng
 whose first shared token stands late in the order can't reach the overlap any more (positional filter).
 Only blocks around prefix tokens are looked at; what passes the filters is counted exactly.
 
-Blocks: for a template of t tokens, the stretches of 2t words that start at every multiple of t words (the
-last may be shorter); every passage of up to t words lies wholly in one of them, however lines are wrapped.
+Blocks: for a template of t tokens, all stretches of 2t words (or of the template's own number of words, if
+that is more), one starting at every word; a shorter text is one block.  So every passage of up to that
+length lies wholly in a block, wherever it stands and however lines are wrapped.  The filters are applied to
+the whole text, then to each stretch of blocks around prefix tokens; its blocks are counted by sliding.
 
 Templates are a parameter of the program, bounded by MAX_TEMPLATES; the only statistic that is collected
 is one count for each template token.  Texts are scanned whole.
@@ -63,36 +65,64 @@ class Index:
         for k, (label, text) in enumerate(templates.items()):
             tokens = sorted(set(words_of(text)), key=lambda w: (frequency.get(w, 0), w))
             need = max(1, ceil(threshold * len(tokens) - 1e-9))
-            self.parts.append((label, {w: i for i, w in enumerate(tokens)}, len(tokens), need))
+            self.parts.append((label, {w: i for i, w in enumerate(tokens)}, len(tokens), need, max(2 * len(tokens), len(words_of(text)))))
             for i, w in enumerate(tokens[: len(tokens) - need + 1]):
                 self.prefix.setdefault(w, []).append((k, i))
 
     def matches(self, words: list[bytes], present: set[bytes]) -> dict[str, float]:
         """Largest containment by label, of the labels that some block meets. present: the distinct words."""
-        starts: dict[int, set[int]] = {}
         hit = self.prefix.keys() & present
         if not hit:
             return {}
+        open_: dict[int, list[list[int]]] = {}
+        for k in {k for word in hit for k, _ in self.prefix[word]}:
+            if self._may_meet(k, present, len(words)):
+                open_[k] = []
+        if not open_:
+            return {}
         for at, word in enumerate(words):
             if word in hit:
                 for k, _ in self.prefix[word]:
-                    size = self.parts[k][2]
-                    block = at // size
-                    starts.setdefault(k, set()).update((block, max(0, block - 1)))
+                    if k in open_:
+                        low, high = max(0, at - self.parts[k][4] + 1), at + self.parts[k][4]
+                        if open_[k] and low <= open_[k][-1][1]:
+                            open_[k][-1][1] = high
+                        else:
+                            open_[k].append([low, high])
         found: dict[str, float] = {}
-        for k, blocks in starts.items():
-            label, order, size, need = self.parts[k]
-            for b in blocks:
-                block = words[b * size : (b + 2) * size]
-                if len(block) < need:  # length filter
-                    continue
-                shared = order.keys() & set(block)
-                if not shared or size - min(order[w] for w in shared) < need:  # positional filter
-                    continue
-                if len(shared) >= need:
-                    found[label] = max(found.get(label, 0.0), len(shared) / size)
+        for k, stretches in open_.items():
+            label, order, size, need, width = self.parts[k]
+            for low, high in stretches:
+                stretch = words[low:high]
+                if self._may_meet(k, set(stretch), len(stretch)) and (most := most_shared(stretch, order, width)) >= need:
+                    found[label] = max(found.get(label, 0.0), most / size)
         return found
 
+    def _may_meet(self, k: int, present: set[bytes], length: int) -> bool:
+        """Whether a block in length words, present the distinct ones, can meet template k."""
+        _, order, size, need, _ = self.parts[k]
+        if length < need:  # length filter
+            return False
+        shared = order.keys() & present
+        return len(shared) >= need and size - min(order[w] for w in shared) >= need  # positional filter
+
+
+def most_shared(words: list[bytes], tokens: dict[bytes, int], width: int) -> int:
+    """The largest number of distinct tokens in any width consecutive words."""
+    at = [i for i, w in enumerate(words) if w in tokens]
+    inside: Counter = Counter()
+    most = first = 0
+    for i in at:
+        inside[words[i]] += 1
+        while at[first] <= i - width:
+            gone = words[at[first]]
+            inside[gone] -= 1
+            if not inside[gone]:
+                del inside[gone]
+            first += 1
+        most = max(most, len(inside))
+    return most
+
 
 def places(words: list[bytes], phrase: list[bytes]) -> list[int]:
     out, at, n = [], -1, len(phrase)

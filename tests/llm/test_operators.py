@@ -308,6 +308,35 @@ def test_license_by_brute_force(spark, odd, empty):
     assert scan.apply(odd).count() == len(ODD) and scan.apply(empty).count() == 0
 
 
+def test_license_passages_at_every_offset():
+    scan, r = license_scan.LicenseScan(), random.Random(8)
+    for label, template in scan.templates.items():
+        words = license_scan.words_of(template)
+        tokens = sorted(set(words))
+        need = max(1, -(-len(tokens) * 8 // 10))
+        for offset in range(2 * len(words)):
+            kept = set(r.sample(tokens, need))
+            text = b" ".join([b"zzz"] * offset + [w if w in kept else b"yyy" for w in words] + [b"zzz"] * r.randint(0, 90)).decode()
+            found = license_scan.Index({label: template}, 0.8, {}).matches(license_scan.words_of(text), set(license_scan.words_of(text)))
+            assert found == {label: need / len(tokens)}
+
+
+def test_license_blocks_by_brute_force():
+    scan, r = license_scan.LicenseScan(), random.Random(9)
+    index = license_scan.Index(scan.templates, 0.6, {})
+    for _ in range(200):
+        label = r.choice(sorted(scan.templates))
+        words = [w for w in license_scan.words_of(scan.templates[label] * r.randint(1, 2)) for w in (w, *[b"zzz"] * (r.random() < 0.8))]
+        words = [b"of"] * r.randint(0, 70) + [w for w in words if r.random() < 0.85] + [b"the"] * r.randint(0, 70)
+        want = {}
+        for name, template in scan.templates.items():
+            t, width = set(license_scan.words_of(template)), max(2 * len(set(license_scan.words_of(template))), len(license_scan.words_of(template)))
+            share = max(len(t & set(words[k : k + width])) for k in range(len(words))) / len(t)
+            if share >= 0.6 - 1e-9:
+                want[name] = share
+        assert index.matches(words, set(words)) == want
+
+
 # -- op7 ---------------------------------------------------------------------------------------------
 
 
