@@ -177,15 +177,16 @@ class LanguageId:
         return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
     def keep(self, model: Model | None, docs: DataFrame) -> DataFrame:
-        """The rows of docs, all columns, with a language that can be told; where lang is null it is filled in."""
+        """The rows of docs, all columns, that have a letter; where lang is null it is filled in (und without a model)."""
         text_at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in pieces(batches):
-                lang, _, _ = identify(model, part.column(text_at).to_pylist())
+                texts = part.column(text_at).to_pylist()
+                lang, _, _ = identify(model, texts)
                 columns = list(part.columns)
                 columns[lang_at] = pa.array([a if a is not None else b for a, b in zip(columns[lang_at].to_pylist(), lang)], pa.string())
-                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names).filter(pa.array([x != "und" for x in lang], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names).filter(pa.array([bool(t and LETTER.search(t)) for t in texts], pa.bool_()))
 
         return docs.mapInArrow(run, docs.schema)
 

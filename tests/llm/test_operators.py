@@ -424,6 +424,14 @@ def test_language_odd_rows(odd, empty):
     assert {r["lang_pred"] for r in op.predict(None, odd).collect()} == {"und"}
 
 
+def test_language_keeps_texts_without_a_model(spark):
+    import corpus_pipeline as C
+
+    rows = [(1, "some words", None, "s", None), (2, "12 34", None, "s", None), (3, "", None, "s", None), (4, None, None, "s", None), (None, "漢", None, "s", None)]
+    got = C.drop_unknown_language(spark, spark.createDataFrame(rows, DOCS), SF).collect()
+    assert sorted((r["text"], r["lang"]) for r in got) == [("some words", "und"), ("漢", "und")]
+
+
 # -- op9 ---------------------------------------------------------------------------------------------
 
 ARTICLE = "<h1>Title &amp; more</h1><p>First <b>bold</b> text\n of the   article, long enough to matter.<p>Second&nbsp;one with <a href=x>a link</a> inside of it.</p><ul><li>item one<li>item two</ul>"
