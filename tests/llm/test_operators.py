@@ -191,6 +191,44 @@ def test_topk_by_brute_force(spark):
     assert not got
 
 
+def best_by_brute_force(rows, q, own, k=5, wrap=False):
+    """Scores and ids of a query's k best of all rows (id, vector) but row number own."""
+    score = lambda e: (s := sum(int(a) * int(b) for a, b in zip(q, e))) if not wrap else (s := sum(int(a) * int(b) for a, b in zip(q, e))) + 2**63 - ((s + 2**63) // 2**64) * 2**64 - 2**63
+    found = sorted((-score(e), i) for n, (i, e) in enumerate(rows) if n != own and len(e) == len(q))[:k]
+    return [(i, -s) for s, i in found]
+
+
+def test_topk_repeated_ids_and_huge_components(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in r.normal(size=3).round(2)]) for i in range(60)]
+    rows += [(0, [9.0, 9.0, 9.0]), (0, rows[0][1]), (0, rows[0][1]), (50, [-1e20, 0.0, 0.0]), (7, [-1e20, 0.5, 0.5])]
+    got = defaultdict(list)
+    for x in topk.TopK().apply(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[x["query_id"]].append((x["vec_id"], x["score"]))
+    ints = [(i, [max(-(2**63), min(2**63 - 1, int(np.floor(256 * x)))) for x in e]) for i, e in rows]
+    for q in (0, 50):
+        own = min((e, n) for n, (i, e) in enumerate(ints) if i == q)[1]
+        assert got.pop(q) == best_by_brute_force(ints, ints[own][1], own, wrap=True), q
+    assert not got
+
+
+def test_topk_stops_early(spark, monkeypatch):
+    """Where few dimensions decide, the bound ends the search of a block, and floors carried over skip most blocks."""
+    monkeypatch.setattr(topk, "ROWS", 128)
+    r = np.random.default_rng(5)
+    v = r.normal(size=(4000, 8)) * 0.3 ** np.arange(8) * r.lognormal(0, 1, (4000, 1))
+    rows = [(i, [float(x) for x in e]) for i, e in enumerate(v)]
+    got = defaultdict(list)
+    for x in topk.TopK(count_reads=True).apply(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)).orderBy("query_id", "rank").collect():
+        got[x["query_id"]].append((x["vec_id"], x["score"], x["rows_read"]))
+    ints = [(i, [int(np.floor(256 * x)) for x in e]) for i, e in rows]
+    read = []
+    for q in range(0, 4000, 50):
+        assert [x[:2] for x in got[q]] == best_by_brute_force(ints, ints[q][1], q)
+        read.append(got[q][0][2])
+    assert max(read) <= 4000 and np.mean(read) < 1000, (np.mean(read), max(read))
+
+
 def test_topk_empty(spark):
     assert topk.TopK().apply(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 
