@@ -5,9 +5,15 @@ the lexicon's terms are found by an Aho-Corasick automaton in one pass over the
 inside an exception phrase don't count, and the sum of the weights is normalised by the length of the text.
 A logistic curve over the sum and the normalised sum gives a score between 0 and 1.
 
+Digits that can stand for a letter, or end a word, are read in every way: 2, 6, 8 and 9 as a gap, as
+z, g, b and g, and 6 also as b; a term counts where any reading has it.  Letters of other scripts stay
+letters, so terms in them are learned and found.
+
 Terms (whole words, and stems that start words) and their weights are learned from labelled rows, as is
-the curve.  Training reads a bounded sample, MAX_LABELLED rows chosen by a hash of their id; the lexicon
-has MAX_TERMS terms at most.  Labels of rows in the held-out fold are never read.
+the curve.  A term's documents among the toxic and the clean ones of the sample decide alone whether it is
+taken up; there is no bound on their number but the sample.  Training reads a bounded sample, MAX_LABELLED
+rows (in expectation, 2 * MAX_LABELLED at most) chosen by a hash of their id.  Labels of rows in the
+held-out fold are never read.  Exception phrases are a parameter.
 
 Defined results: null and empty texts get the score of a text without any term; without labelled rows
 every score is 0.  Rows without an id are scored but never learned from.  Repeated rows get equal scores;
@@ -25,13 +31,14 @@ from itertools import accumulate
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.storage import Scratch
 
-#: Bounds of the labelled rows that training reads and of the terms of the lexicon.
-MAX_LABELLED, MAX_TERMS = 12_000, 2000
+#: Bound of the labelled rows that training reads.
+MAX_LABELLED = 12_000
 #: Documents that a term must be in to be tried.
 LEAST = 5
 #: Lengths of the stems that are tried beside whole words.
@@ -44,6 +51,10 @@ LOOK_ALIKE = str.maketrans("авекмнорстухіјѕԁɡһԛԝѵαβεηι
 #: Digits and signs written for letters; 1, ! and l all become i.
 SIGN = str.maketrans("013457@$!", "oieastasi")
 SIGN_IN_WORD = re.compile(r"[013457@$!]{1,2}(?=[a-z])|(?<=[a-z])[01345@](?![\w@$!])")
+#: Digits that may be letters or numbers, in each further reading, where they touch a letter.
+UNSURE = re.compile(r"(?<=[^\W\d_])[2689]{1,2}|[2689]{1,2}(?=[^\W\d_])")
+READINGS = (str.maketrans("2689", "zgbg"), str.maketrans("2689", "zbbg"))
+NO_LETTER = regex.compile(r"[^\p{L}\p{M}]")
 
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "circus clown", "pathetic fallacy", "pond scum")
 
@@ -62,18 +73,31 @@ TO_LATIN = _latin() | LOOK_ALIKE | dict.fromkeys(range(0x300, 0x370), "") | dict
 LETTERS = bytes(c if 97 <= c <= 122 else 32 for c in range(256)).replace(b"l", b"i")
 
 
-def fold(text: str | None) -> str:
-    """Words of a-z (l is written i) between single or repeated spaces, with a space at both ends."""
+def _letters(t: str) -> str:
+    """Words of letters (l is written i) between single or repeated spaces, with a space at both ends."""
+    t = SIGN_IN_WORD.sub(lambda m: m[0].translate(SIGN), t)
+    if t.isascii():
+        return " " + t.encode("ascii").translate(LETTERS).decode("ascii") + " "
+    return " " + NO_LETTER.sub(" ", t).replace("l", "i") + " "
+
+
+def readings(text: str | None) -> list[str]:
+    """The folded text, and where digits may stand for letters its other readings, all of one length."""
     t = (text or "").lower()
     if not t.isascii():
         t = t.translate(TO_LATIN)
-    t = SIGN_IN_WORD.sub(lambda m: m[0].translate(SIGN), t)
-    return " " + t.encode("ascii", "replace").translate(LETTERS).decode("ascii") + " "
+    if not UNSURE.search(t):
+        return [_letters(t)]
+    return list(dict.fromkeys([_letters(t), *(_letters(UNSURE.sub(lambda m: m[0].translate(r), t)) for r in READINGS)]))
 
 
-def terms(folded: str) -> set[str]:
-    """Candidates for the lexicon: ` word ` and ` stem`."""
-    words = set(folded.split())
+def fold(text: str | None) -> str:
+    return readings(text)[0]
+
+
+def terms(read: list[str]) -> set[str]:
+    """Candidates for the lexicon in any reading: ` word ` and ` stem`."""
+    words = {w for folded in read for w in folded.split()}
     return {f" {w} " for w in words if len(w) > 2} | {f" {w[:k]}" for w in words for k in STEMS if len(w) >= k}
 
 
@@ -95,24 +119,27 @@ class Lexicon:
 
     def features(self, tree: ahocorasick.Automaton | None, text: str | None) -> tuple[float, float, int]:
         """Logarithms of the sum of the weights and of the sum by length; number of occurrences."""
-        folded = fold(text)
+        read = readings(text)
         if not tree:
             return 0.0, 0.0, 0
-        hits, free = [], []
-        for end, (n, weight) in tree.iter(folded):
-            (free if weight is None else hits).append((end - n + 1, end, weight or 0.0))
-        if free and hits:
-            free.sort()
-            starts = [a for a, _, _ in free]
-            reach = list(accumulate((b for _, b, _ in free), max))  # how far the exceptions that start up to here go
-            hits = [h for h in hits if not ((k := bisect_right(starts, h[0])) and h[1] <= reach[k - 1])]
+        hits = []
+        for folded in read:
+            found, free = [], []
+            for end, (n, weight) in tree.iter(folded):
+                (free if weight is None else found).append((end - n + 1, end, weight or 0.0))
+            if free and found:
+                free.sort()
+                starts = [a for a, _, _ in free]
+                reach = list(accumulate((b for _, b, _ in free), max))  # how far the exceptions that start up to here go
+                found = [h for h in found if not ((k := bisect_right(starts, h[0])) and h[1] <= reach[k - 1])]
+            hits += found
         if not hits:
             return 0.0, 0.0, 0
         best: dict[int, float] = {}
         for a, _, w in hits:  # a word counts once, with its heaviest term
             best[a] = max(w, best.get(a, 0.0))
         total = sum(best.values())
-        return float(np.log1p(total)), float(np.log1p(1000 * total / (folded.count(" ") + 10))), len(best)
+        return float(np.log1p(total)), float(np.log1p(1000 * total / (read[0].count(" ") + 10))), len(best)
 
     def score(self, a: float, b: float) -> float:
         if not self.weights:
@@ -125,6 +152,10 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 1, F.lit(False))
 
 
+#: Least logarithm of a term's odds, and of how unlikely its documents are by chance beyond the number of terms tried.
+LEAST_ODDS, LEAST_GAIN = 3.0, 2.3
+
+
 def choose(rows: list[tuple[str, int, int]], toxic: int, clean: int, tried: int) -> dict[str, float]:
     """Weights of the terms whose documents are toxic far more often than chance allows among as many candidates as were tried."""
     if not toxic or not clean:
@@ -135,7 +166,7 @@ def choose(rows: list[tuple[str, int, int]], toxic: int, clean: int, tried: int)
         odds = float(np.log((a + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1)))
         p = a / (a + c)
         gain = a * np.log(p / prior) + (c * np.log((1 - p) / (1 - prior)) if c else 0.0)
-        if p > prior and odds >= 3 and gain >= np.log(max(tried, 1)) + 2.3:
+        if p > prior and odds >= LEAST_ODDS and gain >= np.log(max(tried, 1)) + LEAST_GAIN:
             kept[term] = (a, odds)
     # A stem goes if one longer by a letter, or the whole word, is in nearly all of its toxic documents.
     longer = {t[:-1]: a for t, (a, _) in sorted(kept.items(), key=lambda x: x[1][0])}
@@ -157,10 +188,10 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 
 
 class Toxicity:
-    """threshold: scores from it on are predicted toxic."""
+    """threshold: scores from it on are predicted toxic; exceptions: phrases in which terms don't count."""
 
-    def __init__(self, threshold: float = 0.7, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS):
-        self.threshold, self.max_labelled, self.max_terms = threshold, max_labelled, max_terms
+    def __init__(self, threshold: float = 0.7, max_labelled: int = MAX_LABELLED, exceptions: tuple[str, ...] = EXCEPTIONS):
+        self.threshold, self.max_labelled, self.exceptions = threshold, max_labelled, exceptions
 
     def fit(self, docs: DataFrame, labels: DataFrame) -> Lexicon:
         """docs: doc_id, text; labels: doc_id, toxic."""
@@ -169,9 +200,12 @@ class Toxicity:
         n = known.count()
         part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) < min(1.0, self.max_labelled / max(1, n)) * (1 << 20)
         known = known.where(part).groupBy("doc_id").agg((F.avg("toxic") >= 0.5).alias("toxic"))
-        texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        # The sample has about max_labelled ids whatever the input, so sending it to all tasks is safe; rows that repeat count once.
         scratch = Scratch(docs.sparkSession, "toxicity")
+        known = scratch.keep(known, "known")
+        if known.count() > 2 * self.max_labelled:  # ids whose hashes crowd
+            raise ValueError("the sample of labelled rows is more than twice its bound")
+        texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        # The sample's ids have been counted, so sending them to all tasks is safe; rows that repeat count once.
         sample = scratch.keep(texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id", "text"]).select("text", "toxic"), "sample")
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +218,7 @@ class Toxicity:
 
             for batch in batches:
                 for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                    for term in terms(fold(text.as_py())):
+                    for term in terms(readings(text.as_py())):
                         seen.setdefault(term, [0, 0])[toxic] += 1
                     if len(seen) > COUNTED:
                         yield counted()
@@ -195,14 +229,16 @@ class Toxicity:
         counts = scratch.keep(
             sample.mapInArrow(count, "term string, a bigint, c bigint").groupBy("term").agg(F.sum("a").alias("a"), F.sum("c").alias("c")).where(f"a + c >= {LEAST}"), "counts"
         )
-        found = counts.where(f"a >= {LEAST} AND a >= c").orderBy(F.desc("a"), "term").limit(20 * self.max_terms).collect()
-        weights = choose([tuple(r) for r in found], sizes.get(True, 0), sizes.get(False, 0), counts.count())
-        weights = dict(sorted(weights.items(), key=lambda x: (-x[1], x[0]))[: self.max_terms])
-        draft = Lexicon(weights, (0.0, 0.0, 0.0))
+        toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
+        # The same odds as choose() takes, so that only terms that stand a chance come to the driver.
+        odds = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
+        found = counts.where(odds >= LEAST_ODDS - 1e-6).where(f"a >= {LEAST}").orderBy("term").collect()
+        weights = choose([tuple(r) for r in found], toxic, clean, counts.count())
+        draft = Lexicon(weights, (0.0, 0.0, 0.0), self.exceptions)
         rows = self._features(draft, sample, "toxic", "boolean").select("a", "b", "key").collect()
         x, y = np.array([(r["a"], r["b"]) for r in rows] or np.zeros((0, 2))), np.array([float(r["key"]) for r in rows])
-        scratch.drop("sample", "counts")
-        return Lexicon(weights, fit_curve(x, y) if weights else (0.0, 0.0, 0.0))
+        scratch.drop("known", "sample", "counts")
+        return Lexicon(weights, fit_curve(x, y) if weights else (0.0, 0.0, 0.0), self.exceptions)
 
     def _features(self, lexicon: Lexicon, texts: DataFrame, key: str, kind: str) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -96,6 +97,78 @@ def test_exceptions_do_not_count():
     assert lex.score(*lex.features(tree, "trash")[:2]) > lex.score(*lex.features(tree, "trash " + "word " * 500)[:2])
 
 
+def test_readings():
+    words = lambda t: [x.split() for x in toxicity.readings(t)]
+    assert ["garbage"] in words("gar8age") and ["dumb"] in words("dum8") and ["disgusting"] in words("disgustin9")
+    assert ["garbage"] in words("6arbage") and ["bad"] in words("6ad") and ["zap"] in words("2ap")
+    assert words("page 26 of 98") == [["page", "of"]] and len({len(x) for x in toxicity.readings("a 6ad ma99ot, v2 é8")}) == 1
+    assert toxicity.fold("дурной, 悪い言葉! ok").split() == ["дyphoй", "悪い言葉", "ok"]
+
+
+def plain_scores(rows, marks):
+    """Counts, weights, curve and scores without Spark and without an automaton: every term is looked for in every text."""
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    texts = dict(rows)
+    train = [(toxicity.readings(texts[i]), t) for i, t in sorted(marks.items()) if not held(i)]
+    counts = defaultdict(lambda: [0, 0])
+    for read, t in train:
+        for term in toxicity.terms(read):
+            counts[term][not t] += 1
+    toxic, clean = sum(t for _, t in train), sum(not t for _, t in train)
+    tried = {term: (a, c) for term, (a, c) in counts.items() if a + c >= 5}
+    log, kept = math.log, {}
+    for term, (a, c) in sorted(tried.items()):
+        odds = log((a + 0.5) / (toxic + 1) / ((c + 0.5) / (clean + 1)))
+        share, prior = a / (a + c), toxic / (toxic + clean)
+        gain = a * log(share / prior) + (c * log((1 - share) / (1 - prior)) if c else 0) if a else 0
+        if a >= 5 and share > prior and odds >= 3 and gain >= log(len(tried)) + 2.3:
+            kept[term] = (a, odds)
+    covered = lambda t, a: any(len(x) == len(t) + 1 and x.startswith(t) and b >= 0.95 * a for x, (b, _) in kept.items())
+    weights = {t: odds for t, (a, odds) in kept.items() if not covered(t, a)}
+
+    def features(read):
+        best = {}
+        for folded in read:
+            free = [(m.start(), m.start() + len(p)) for p in map(toxicity.fold, toxicity.EXCEPTIONS) for m in re.finditer(f"(?={re.escape(p)})", folded)]
+            for term, w in weights.items():
+                for m in re.finditer(f"(?={re.escape(term)})", folded):
+                    if not any(x <= m.start() and m.start() + len(term) <= y for x, y in free):
+                        best[m.start()] = max(w, best.get(m.start(), 0))
+        total = sum(best.values())
+        return (math.log1p(total), math.log1p(1000 * total / (read[0].count(" ") + 10))) if total else (0.0, 0.0)
+
+    curve = toxicity.fit_curve(np.array([features(read) for read, _ in train]), np.array([float(t) for _, t in train]))
+    score = lambda x: 1 / (1 + math.exp(-(curve[0] + curve[1] * x[0] + curve[2] * x[1])))
+    return weights, {i: score(features(toxicity.readings(t))) for i, t in rows}
+
+
+def test_toxicity_by_plain_version(spark):
+    docs, labels, truth = toxic_table(spark, 400)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(5000, "grubworm in the trash can"), (5001, ""), (5002, "VILETH1NG 6rubworm")]
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    op = toxicity.Toxicity()
+    lexicon = op.fit(frame, labels)
+    weights, scores = plain_scores(rows, {i: bool(t) for i, t in truth.items()})
+    assert lexicon.weights.keys() == weights.keys() and all(abs(lexicon.weights[t] - w) < 1e-9 for t, w in weights.items())
+    got = {r["doc_id"]: r["score"] for r in op.score(lexicon, frame).collect()}
+    assert got.keys() == scores.keys() and all(abs(got[i] - scores[i]) < 1e-6 for i in got)
+
+
+def test_toxicity_learns_a_rare_class(spark):
+    """One toxic row in fifty, and toxic words that more clean rows than toxic ones hold."""
+    r = random.Random(8)
+    rows, marks = [], []
+    for i in range(6000):
+        bad = i % 50 == 0
+        words = [r.choice(["the", "table", "was", "set", "green", "walking", "dinner"]) for _ in range(r.randint(5, 30))]
+        words += ["vilething", "grubworm", "slimeball"] if bad else [w for w in ("vilething", "grubworm", "slimeball") if r.random() < 0.025]
+        rows.append((i, " ".join(words), "en", "s", None))
+        marks.append((i, 1, int(bad)))
+    lexicon = toxicity.Toxicity().fit(spark.createDataFrame(rows, DOCS), spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int"))
+    for word in ("vilething", "grubworm", "slimeball"):
+        assert any(f" {word.replace('l', 'i')} ".startswith(t) for t in lexicon.weights), lexicon.weights
+
+
 def test_toxicity_odd_rows(odd, empty, labels):
     assert toxicity.Toxicity().apply(odd, labels).count() == len(ODD)
     assert toxicity.Toxicity().apply(empty, labels).count() == 0
@@ -284,6 +357,36 @@ def test_near_dedup_by_brute_force(spark, percent, bands):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got) and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("percent,bands", [(85, 20), (80, 30)])
+def test_near_dedup_finds_all_links_of_the_documents(spark, percent, bands):
+    """Recall is 1 against all pairs of the 1,000 documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = near_dedup.NearDuplicates(percent=percent, bands=bands).apply(docs).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components([(r["doc_id"], r["text"]) for r in docs.collect()], percent)
+
+
+def test_near_dedup_id_with_two_texts(spark):
+    words = [f"w{k}" for k in range(100)]
+    near = [*words[:-1], "other"]
+    rows = [(1, "quite another text of its own"), (1, " ".join(words)), (2, " ".join(near)), (3, "quite another text of its own")]
+    for k in range(2):  # whichever of the two texts has the smaller hash
+        got = near_dedup.NearDuplicates().apply(spark.createDataFrame([(i, t.replace("quite", "quite" * (k + 1)), None, None, None) for i, t in rows], DOCS)).collect()
+        assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == {(1, 2, 1), (1, 96, 1), (2, 96, 1), (3, 2, 1)}
+
+
+def test_near_dedup_hot_bucket_of_unlinked_texts(spark, monkeypatch):
+    """Texts that share most of their words with one leader but not with each other: members are compared block by block, by size."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    r = random.Random(4)
+    common = [f"c{k}" for k in range(150)]
+    rows = []
+    for k in range(80):
+        own = [f"x{k // 2}-{j}" for j in range(r.randint(20, 60))]  # twins share their own words too
+        rows.append((k, " ".join(common + own)))
+    got = near_dedup.NearDuplicates(bands=60, rows=2).apply(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, 85)
+
+
 def test_near_dedup_odd_rows(odd, empty):
     got = near_dedup.NearDuplicates().apply(odd).collect()
     assert len(got) == len(ODD)
@@ -415,9 +518,11 @@ def test_mix(spark):
 
 
 def test_mix_schedule_is_even(spark):
-    plan = spark.createDataFrame([("a", 0, 900_000, 1_000_000.0), ("b", 1, 900_000, 500_000.0), ("c", 2, 10, 20.0)], "source string, sid int, source_size bigint, target double")
-    slots = source_mix.SourceMix(block=1000).schedule(plan).collect()
-    main = sorted((s["slot"], s["sid"]) for s in slots if s["slot"] is not None)
+    plan = spark.createDataFrame([("a", 0, 900_000, 9, 1_000_000.0), ("b", 1, 900_000, 9, 500_000.0), ("c", 2, 10, 9, 20.0)], "source string, sid int, source_size bigint, docs bigint, target double")
+    op = source_mix.SourceMix(block=1000)
+    slots = op.schedule(plan, op.shape(plan)).collect()
+    assert len({s["slot"] for s in slots}) == len(slots)
+    main = sorted((s["slot"], s["sid"]) for s in slots if s["slot"] < 2048)
     assert len({s for s, _ in main}) == len(main) >= 2045 and main[-1][0] < 2048  # at most one slot of a source has nothing left to take
     for n in (64, 256, 1000):  # every beginning of the schedule has nearly its share of each source
         assert abs(sum(s == 0 for _, s in main[:n]) - n * 2 / 3) <= 8
@@ -426,8 +531,25 @@ def test_mix_schedule_is_even(spark):
         assert own[0][1] == 0 and own[-1][2] == target and all(a[2] == b[1] for a, b in zip(own, own[1:]))
 
 
+def test_mix_order_follows_the_schedule(spark):
+    """Rows dealt out by slot, walked file by file: every beginning holds nearly its share of each source."""
+    rows = [(i, " ".join(["w"] * 40), None, "abc"[i % 8 // 3], None) for i in range(4000)]
+    op = source_mix.SourceMix(block=64)
+    frame = spark.createDataFrame(rows, DOCS)
+    copies, slots = op.copies(frame)
+    walked = [(r["slot"], r["doc_id"]) for r in op.in_order(copies, slots).collect()]
+    assert [s for s, _ in walked] == sorted(s for s, _ in walked)
+    got = {r["doc_id"]: r for r in op.apply(frame).collect()}
+    assert all(got[i]["first_slot"] == min(s for s, j in walked if j == i) for i in list(got)[:50] if got[i]["taken"])
+    assert all((r["first_slot"] is None) == (r["taken"] == 0) for r in got.values())
+    whole = [sum("abc"[i % 8 // 3] == s for _, i in walked) / len(walked) for s in "abc"]
+    for n in (200, 1000, 3000):
+        assert all(abs(sum("abc"[i % 8 // 3] == s for _, i in walked[:n]) / n - w) < 0.06 for s, w in zip("abc", whole)), n
+
+
 def test_mix_odd_rows(odd, empty):
-    assert source_mix.SourceMix().apply(odd).count() == len(ODD)
+    got = source_mix.SourceMix().apply(odd).collect()
+    assert len(got) == len(ODD) and all(r["taken"] == 0 and r["first_slot"] is None for r in got if not r["size"])
     assert source_mix.SourceMix().apply(empty).count() == 0
 
 
