@@ -2,20 +2,23 @@
 
 Base scan: places where a license phrase's words stand consecutively give base labels.
 
-Join: the words of a template (a short license text) are its tokens.  Tokens are ordered by how many
-documents of the whole input hold them, rarest first.  A block meets a template of t tokens if it holds at
-least ceil(threshold * t) of them; then it must hold one of the first t - ceil(threshold * t) + 1 in that
-order (prefix filter), it can't have fewer words than the overlap asks for (length filter), and a block
-whose first shared token stands late in the order can't reach the overlap any more (positional filter).
-Only blocks around prefix tokens are looked at; what passes the filters is counted exactly.
+Join: the words of a template (a short license text) are its tokens.  The tokens of all templates are
+ordered by how many documents of the whole input hold them, rarest first; words in no template can't be
+shared and count for nothing, so a block's set is its tokens in that order.  A block meets a template of t
+tokens if it holds at least need = ceil(threshold * t) of them.  Then it holds one of the template's first
+t - need + 1 tokens (prefix filter), its set has need tokens (length filter), and from the first of those
+prefix tokens on, before which nothing is shared, its set as well as the template's still has need tokens
+(positional filter).  Only blocks around prefix tokens are looked at, and the tokens that are shared are
+counted only where all three filters let a block pass; Index.seen counts what each filter sends away.
 
 Blocks: for a template of t tokens, all stretches of 2t words (or of the template's own number of words, if
 that is more), one starting at every word; a shorter text is one block.  So every passage of up to that
 length lies wholly in a block, wherever it stands and however lines are wrapped.  The filters are applied to
 the whole text, then to each stretch of blocks around prefix tokens; its blocks are counted by sliding.
 
-Templates are a parameter of the program, bounded by MAX_TEMPLATES; the only statistic that is collected
-is one count for each template token.  Texts are scanned whole.
+Templates are a parameter, short notices and full license texts alike, as a dictionary or a table
+(templates_of), bounded by MAX_TEMPLATES; the only statistic that is collected is one count for each
+template token.  Texts are scanned whole.
 
 Defined results: null and empty texts have no words, no labels and score 0.  Repeated rows get equal
 results.  Columns other than id and text are ignored, whatever their names.
@@ -23,6 +26,7 @@ results.  Columns other than id and text are ignored, whatever their names.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from math import ceil
@@ -61,28 +65,31 @@ class Index:
 
     def __init__(self, templates: dict[str, str], threshold: float, frequency: dict[bytes, int]):
         self.parts = []
-        self.prefix: dict[bytes, list[tuple[int, int]]] = {}
+        #: Place of each token of any template in the global order.
+        every = {w for text in templates.values() for w in words_of(text)}
+        self.order = {w: i for i, w in enumerate(sorted(every, key=lambda w: (frequency.get(w, 0), w)))}
+        self.prefix: dict[bytes, list[int]] = {}
+        #: Candidates, of a whole text or of a stretch of blocks, that each filter sent away, and those that were counted.
+        self.seen: Counter = Counter()
         for k, (label, text) in enumerate(templates.items()):
-            tokens = sorted(set(words_of(text)), key=lambda w: (frequency.get(w, 0), w))
+            tokens = sorted(set(words_of(text)), key=self.order.__getitem__)
             need = max(1, ceil(threshold * len(tokens) - 1e-9))
-            self.parts.append((label, {w: i for i, w in enumerate(tokens)}, len(tokens), need, max(2 * len(tokens), len(words_of(text)))))
-            for i, w in enumerate(tokens[: len(tokens) - need + 1]):
-                self.prefix.setdefault(w, []).append((k, i))
+            self.parts.append((label, tokens, frozenset(tokens), need, max(2 * len(tokens), len(words_of(text)))))
+            for w in tokens[: len(tokens) - need + 1]:
+                self.prefix.setdefault(w, []).append(k)
 
     def matches(self, words: list[bytes], present: set[bytes]) -> dict[str, float]:
         """Largest containment by label, of the labels that some block meets. present: the distinct words."""
         hit = self.prefix.keys() & present
         if not hit:
             return {}
-        open_: dict[int, list[list[int]]] = {}
-        for k in {k for word in hit for k, _ in self.prefix[word]}:
-            if self._may_meet(k, present, len(words)):
-                open_[k] = []
+        held = sorted(map(self.order.__getitem__, self.order.keys() & present))
+        open_: dict[int, list[list[int]]] = {k: [] for k in {k for word in hit for k in self.prefix[word]} if self._may_meet(k, held, hit)}
         if not open_:
             return {}
         for at, word in enumerate(words):
             if word in hit:
-                for k, _ in self.prefix[word]:
+                for k in self.prefix[word]:
                     if k in open_:
                         low, high = max(0, at - self.parts[k][4] + 1), at + self.parts[k][4]
                         if open_[k] and low <= open_[k][-1][1]:
@@ -91,23 +98,31 @@ class Index:
                             open_[k].append([low, high])
         found: dict[str, float] = {}
         for k, stretches in open_.items():
-            label, order, size, need, width = self.parts[k]
+            label, tokens, members, need, width = self.parts[k]
             for low, high in stretches:
                 stretch = words[low:high]
-                if self._may_meet(k, set(stretch), len(stretch)) and (most := most_shared(stretch, order, width)) >= need:
-                    found[label] = max(found.get(label, 0.0), most / size)
+                inside = set(stretch)
+                if not self._may_meet(k, sorted(map(self.order.__getitem__, self.order.keys() & inside)), hit & inside):
+                    continue
+                self.seen["counted"] += 1
+                if len(members & inside) >= need and (most := most_shared(stretch, members, width)) >= need:
+                    found[label] = max(found.get(label, 0.0), most / len(tokens))
         return found
 
-    def _may_meet(self, k: int, present: set[bytes], length: int) -> bool:
-        """Whether a block in length words, present the distinct ones, can meet template k."""
-        _, order, size, need, _ = self.parts[k]
-        if length < need:  # length filter
+    def _may_meet(self, k: int, held: list[int], hit: set[bytes]) -> bool:
+        """Whether a block can meet template k. held: places of its tokens in the global order, ascending; hit: those that are in prefixes."""
+        _, tokens, _, need, _ = self.parts[k]
+        if len(held) < need:
+            self.seen["length"] += 1
             return False
-        shared = order.keys() & present
-        return len(shared) >= need and size - min(order[w] for w in shared) >= need  # positional filter
+        first = next(i for i, w in enumerate(tokens) if w in hit)  # a token of the prefix, as k is a candidate
+        if min(len(tokens) - first, len(held) - bisect_left(held, self.order[tokens[first]])) < need:
+            self.seen["position"] += 1
+            return False
+        return True
 
 
-def most_shared(words: list[bytes], tokens: dict[bytes, int], width: int) -> int:
+def most_shared(words: list[bytes], tokens: frozenset[bytes], width: int) -> int:
     """The largest number of distinct tokens in any width consecutive words."""
     at = [i for i, w in enumerate(words) if w in tokens]
     inside: Counter = Counter()
@@ -124,6 +139,15 @@ def most_shared(words: list[bytes], tokens: dict[bytes, int], width: int) -> int
     return most
 
 
+def templates_of(table: DataFrame, label_col: str = "label", text_col: str = "text") -> dict[str, str]:
+    """Templates from a table of at most MAX_TEMPLATES license texts; rows without a label or a word are left out, of rows that repeat a label the smallest text counts."""
+    rows = table.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text")).where("label IS NOT NULL AND text IS NOT NULL")
+    found = rows.groupBy("label").agg(F.min("text").alias("text")).orderBy("label").limit(MAX_TEMPLATES + 1).collect()
+    if len(found) > MAX_TEMPLATES:
+        raise ValueError(f"more than {MAX_TEMPLATES} templates")
+    return {r["label"]: r["text"] for r in found if words_of(r["text"])}
+
+
 def places(words: list[bytes], phrase: list[bytes]) -> list[int]:
     out, at, n = [], -1, len(phrase)
     while True:

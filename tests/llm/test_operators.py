@@ -427,8 +427,10 @@ def brute_license(text, scan):
                 base.add(label)
     for label, template in scan.templates.items():
         t = set(WORD.findall(template.lower()))
-        for k in range(0, len(words), len(t)):
-            share = len(t & set(words[k : k + 2 * len(t)])) / len(t)
+        width = max(2 * len(t), len(WORD.findall(template.lower())))
+        starts = [k for k, w in enumerate(words) if w in t]  # the best window can start at a token
+        for k in starts:
+            share = len(t & set(words[k : k + width])) / len(t)
             if share >= scan.threshold - 1e-9:
                 best[label] = max(share, best.get(label, 0))
     return (len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | best.keys())), 1.0 if base else max(best.values(), default=0.0))
@@ -478,6 +480,40 @@ def test_license_blocks_by_brute_force():
         assert index.matches(words, set(words)) == want
 
 
+def test_license_filters_send_candidates_away_before_counting():
+    templates = {"x": "alpha beta gamma delta epsilon", "y": "one two three four five six seven eight"}
+    rare = ["one", "two", "three", "four", "five", "six", "alpha", "beta", "gamma", "delta", "epsilon", "seven", "eight"]
+    index = license_scan.Index(templates, 0.8, {w.encode(): n for n, w in enumerate(rare)})
+
+    def seen(text):
+        index.seen.clear()
+        words = license_scan.words_of(text)
+        return index.matches(words, set(words)), dict(index.seen)
+
+    assert seen("no token of a prefix: delta epsilon seven eight gamma") == ({}, {})
+    assert seen("alpha beta and nothing else") == ({}, {"length": 1})
+    # Four tokens for x in all, but only two of them from its first prefix token on; y has too few from its own.
+    assert seen("five six alpha beta")[1] == {"position": 1}
+    assert seen("alpha beta gamma delta") == ({"x": 0.8}, {"counted": 1})
+    got, counts = seen("alpha beta gamma seven eight " + "w " * 30)
+    assert got == {} and counts == {"counted": 1}  # the filters can't tell other templates' commoner tokens
+
+
+def test_license_templates_from_a_table(spark):
+    r = random.Random(11)
+    full = " ".join(f"term{r.randint(0, 400)}" for _ in range(1500))
+    table = clashing(spark.createDataFrame([("full", full), ("full", "zzz"), ("none", "..."), (None, "x"), ("null", None), ("short", "all rights kept")], "label string, text string"))
+    templates = license_scan.templates_of(table)
+    assert templates == {"full": full, "short": "all rights kept"}
+    changed = " ".join(w if r.random() < 0.9 else "changed" for w in full.split())
+    rows = [(1, "before " * 5000 + changed + " after" * 900), (2, full[: len(full) // 3]), (3, "All rights, kept.")]
+    scan = license_scan.LicenseScan(templates=templates)
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    got = {x["doc_id"]: (x["labels"], x["score"]) for x in scan.apply(frame).collect()}
+    assert got == {i: (w[5], w[6]) for i, w in ((i, brute_license(t, scan)) for i, t in rows)}
+    assert got[1][0] == "full" and got[2][0] == "" and got[3][0] == "short"
+
+
 # -- op7 ---------------------------------------------------------------------------------------------
 
 
