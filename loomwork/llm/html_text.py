@@ -14,14 +14,14 @@ A class or id that names notices, adverts, menus, comments and the like only mar
 if most of it is linked, or if it has no paragraph of prose and is short beside its siblings.  A class or id
 that says nothing but comments, adverts, notices or menus ("comment-list", "cookie banner") is left out even
 if it is prose, unless it wraps nearly all of the page.  Headings, and whatever holds the page's h1, an
-article or main, are never left out by name.
+article or main, are never left out by name.  Of the headers of an article the headings stay: they are its title.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed
 and joined in page order by one newline.
 
 Defined results: null and empty pages, and pages without text, give an empty text.  Unclosed and stray tags are
-mended as browsers do for p, li, cells, options and definitions; nesting beyond MAX_DEPTH is kept flat.
-Pages are read whole.  Repeated rows get equal results.  Columns other than those named are ignored.
+mended as browsers do for p, li, cells, options and definitions; elements may be nested to any depth, and
+work grows with the page alone.  Pages are read whole.  Repeated rows get equal results.  Columns other than those named are ignored.
 """
 
 from __future__ import annotations
@@ -29,14 +29,13 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 200
-
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content isn't markup; it ends with their own end tag.
 RAW = frozenset("script style textarea title noscript iframe noframes xmp template svg math".split())
@@ -73,13 +72,14 @@ TEXT = frozenset("p li dt dd td th caption figcaption blockquote pre".split()) |
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "never", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "parts", "never", "named", "chars", "tags", "link_chars", "link_tags", "density", "total", "own", "paragraph")
 
     def __init__(self, name: str, parent: Node | None, never: bool = False, named: int = 0):
         self.name, self.parent, self.never, self.named = name, parent, never, named
         self.parts: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.own, self.paragraph = 0, False
 
 
 def _never(name: str, attributes: str) -> tuple[bool, int]:
@@ -98,10 +98,45 @@ def _never(name: str, attributes: str) -> tuple[bool, int]:
     return False, named
 
 
+class Open:
+    """The elements that are open, outermost first, and where those of each name stand."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+        #: Places of the elements that aren't p or inline.
+        self.solid = [0]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.name, []).append(len(self.nodes))
+        if node.name != "p" and node.name not in INLINE:
+            self.solid.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """Closes the element at a place and all inside it."""
+        for node in reversed(self.nodes[place:]):
+            self.places[node.name].pop()
+        del self.nodes[place:]
+        while self.solid[-1] >= place:
+            self.solid.pop()
+
+    def innermost(self, names: Iterable[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def outermost_above(self, names: Iterable[str], fence: int) -> int | None:
+        """Place of the outermost open element of these names inside the one at fence."""
+        found = [at[k] for n in names if (at := self.places.get(n)) and (k := bisect_right(at, fence)) < len(at)]
+        return min(found, default=None)
+
+
 def parse(page: str) -> Node:
-    root = here = Node("#root", None)
-    at, depth, end = 0, 0, len(page)
+    root = Node("#root", None)
+    opened = Open(root)
+    titles: list[Node] = []
+    at, end = 0, len(page)
     while at < end:
+        here = opened.nodes[-1]
         m = MARK.search(page, at)
         if not m:
             here.parts.append(page[at:])
@@ -113,40 +148,53 @@ def parse(page: str) -> Node:
             continue
         name = m[2].lower()
         if m[1]:
-            node = here
-            while node.parent and node.name != name:
-                node = node.parent
-            if node.parent:
-                while here is not node.parent:
-                    here, depth = here.parent, depth - 1
+            if place := opened.innermost((name,)):
+                opened.close(place)
             elif name in ("br", "p"):
                 here.parts.append(Node(name, here))
             continue
-        closing = CLOSES.get(name)
-        if closing or name in ENDS_P:
-            stop = SCOPE.get(name, ())
-            node, last = here, None
-            while node.parent and node.name not in stop and (closing or node.name == "p" or node.name in INLINE):
-                if closing and node.name in closing or not closing and node.name == "p":
-                    last = node
-                node = node.parent
-            if last:
-                while here is not last.parent:
-                    here, depth = here.parent, depth - 1
+        if name in CLOSES:
+            place = opened.outermost_above(CLOSES[name], opened.innermost(SCOPE.get(name, ())))
+        else:
+            place = opened.outermost_above(("p",), opened.solid[-1]) if name in ENDS_P else None
+        if place:
+            opened.close(place)
+            here = opened.nodes[-1]
         node = Node(name, here, *_never(name, m[3]))
         here.parts.append(node)
+        if name == "header" and not opened.places.get("header") and (opened.places.get("article") or opened.places.get("main")):
+            titles.append(node)
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = stop.end() if stop else end
-        elif name not in VOID and not m[3].rstrip().endswith("/") and depth < MAX_DEPTH:
-            here, depth = node, depth + 1
+        elif name not in VOID and not m[3].rstrip().endswith("/"):
+            opened.push(node)
+    for node in titles:
+        node.parts = headings(node)
+        node.never = not node.parts
     return root
 
 
+def headings(node: Node) -> list[Node]:
+    found, stack = [], [*reversed(node.parts)]
+    while stack:
+        p = stack.pop()
+        if isinstance(p, str) or p.never:
+            continue
+        if p.name in HEADINGS:
+            found.append(p)
+        else:
+            stack += reversed(p.parts)
+    return found
+
+
 def count(node: Node) -> None:
-    node.chars = node.tags = node.link_chars = node.link_tags = 0
+    """Characters and tags of a node from those of its parts; own: unlinked characters outside of blocks inside; paragraph: whether some block in it has PROSE of them."""
+    node.chars = node.tags = node.link_chars = node.link_tags = node.own = 0
+    node.paragraph = False
     if node.never:
         return
+    inner = 0
     for p in node.parts:
         if isinstance(p, str):
             node.chars += len(p) - p.count(" ")
@@ -155,6 +203,11 @@ def count(node: Node) -> None:
             node.tags += p.tags + 1
             node.link_chars += p.chars if p.name == "a" else p.link_chars
             node.link_tags += p.link_tags + (p.name == "a")
+            if p.name not in INLINE:
+                inner += p.chars - p.link_chars
+                node.paragraph |= p.paragraph
+    node.own = node.chars - node.link_chars - inner
+    node.paragraph |= node.own >= PROSE
 
 
 def drop_named(order: list[Node], body: Node) -> None:
@@ -210,13 +263,7 @@ def prose(node: Node) -> bool:
     """Whether most of a block is unlinked and some block without other blocks inside is a paragraph of prose."""
     if node.never or node.chars - node.link_chars < PROSE or 2 * node.link_chars > node.chars:
         return False
-    todo = [node]
-    for n in todo:
-        inner = [p for p in n.parts if isinstance(p, Node) and p.name not in INLINE and not p.never]
-        todo += inner
-        if n.chars - n.link_chars - sum(p.chars - p.link_chars for p in inner) >= PROSE:
-            return True
-    return False
+    return node.paragraph
 
 
 def dense(body: Node, least: float) -> set[Node]:

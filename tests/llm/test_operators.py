@@ -707,7 +707,7 @@ def test_html_linked_text_of_the_article(linked, want, around):
     assert html_text.main_text(page) == "\n".join([*texts[:3], *want, *texts[3:]])
 
 
-@pytest.mark.parametrize("piece", ["<a", '<a "', "<p>", "<div a='", "<!--", "<li>", "&amp", "</div>", "<tr><td>a", "<script>"])
+@pytest.mark.parametrize("piece", ["<a", '<a "', "<p>", "<div a='", "<!--", "<li>", "&amp", "</div>", "<tr><td>a", "<script>", "<div>", "<b>", "<b><hr>", "<div><li>x", "<div class=ad>y", "<article><header><h1>t", "<ul><li><b>", "<a href=x>z"])
 def test_html_hostile_pages_take_linear_time(piece):
     import time
 
@@ -716,6 +716,64 @@ def test_html_hostile_pages_take_linear_time(piece):
     assert time.perf_counter() - began < 10
 
 
+@pytest.mark.parametrize("levels", [10, 100, 250, 5000])
+def test_html_menus_at_any_depth(levels):
+    texts = [paragraph(k) for k in range(5)]
+    inner = "<nav><a href=a>Home</a> <a href=b>News</a></nav>" + "".join(f"<p>{t}</p>" for t in texts) + "<aside>see also this</aside>"
+    assert html_text.main_text("<body>" + "<div>" * levels + inner + "</div>" * levels + "</body>") == "\n".join(texts)
+
+
+def test_html_article_headers_keep_titles():
+    texts = [paragraph(k) for k in range(3)]
+    head = "<header><div><h1>The <i>title</i></h1></div><p>by a writer, at a time</p><nav><h2>Menu</h2><a href=x>Home</a></nav></header>"
+    page = f"<body><header><h2>The site</h2></header><article>{head}{''.join(f'<p>{t}</p>' for t in texts)}</article></body>"
+    assert html_text.main_text(page) == "\n".join(["The title", *texts])
+
+
+def test_html_densities_by_plain_version():
+    """Characters, tags, links, densities and their sums of random trees, by recursion over the tree that the pages were written from."""
+    r = random.Random(12)
+
+    def tree(depth):
+        kids = [tree(depth - 1) if depth and r.random() < 0.6 else " ".join(["ab", "c"] * r.randint(1, 30)) for _ in range(r.randint(0, 4))]
+        return r.choice(["div", "section", "span", "a", "blockquote"]) if depth < 6 else "body", kids
+
+    def written(node):
+        return node if isinstance(node, str) else f"<{node[0]}>{''.join(map(written, node[1]))}</{node[0]}>"
+
+    def counted(node):
+        """chars, tags, linked chars, linked tags of a node."""
+        out = [0, 0, 0, 0]
+        for p in node[1]:
+            c = [len(p.replace(" ", "")), 0, 0, 0] if isinstance(p, str) else counted(p)
+            linked = not isinstance(p, str) and p[0] == "a"
+            for k, x in enumerate((c[0], c[1] + (not isinstance(p, str)), c[0] if linked else c[2], c[3] + linked)):
+                out[k] += x
+        return out
+
+    for _ in range(40):
+        top = tree(6)
+        whole = counted(top)
+        share = whole[2] / whole[0] if whole[0] else 0.0
+
+        def density(node):
+            c, t, lc, lt = counted(node)
+            if not c:
+                return 0.0
+            t, lt = max(1, t), max(1, lt)
+            base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
+            inner = math.log(max(1.0, c / max(1, lc) * t / lt))
+            return c / t * (inner / math.log(base) if base > 1 else inner)
+
+        body = html_text.measure(html_text.parse(written(top)))
+        todo = [(top, body)]
+        for node, got in todo:
+            assert [got.chars, got.tags, got.link_chars, got.link_tags] == counted(node)
+            assert abs(got.density - density(node)) < 1e-6 * max(1, got.density)
+            assert abs(got.total - sum(density(p) for p in node[1] if not isinstance(p, str))) < 1e-6 * max(1, got.total) or not got.chars
+            todo += zip([p for p in node[1] if not isinstance(p, str)], [p for p in got.parts if not isinstance(p, str)])
+
+
 def test_html_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<<<>>>"), (None, "u", "plain"), (5, "u", "<div>" * 5000 + "deep" + "</div>" * 5000), (6, "u", "<p>a<br>b&#233;&eacute;&bogus;"), (6, "u", "<p>a<br>b&#233;&eacute;&bogus;")]
     frame = clashing(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
