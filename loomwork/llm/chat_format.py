@@ -2,16 +2,18 @@
 
 Method: a conversation's rows are put in order by turn; a machine whose states are the roles seen last
 checks the order of the turns against a table of allowed steps; the template emits each turn as text
-segments, each with a loss flag.
+segments, each with a loss flag.  The flags' spans in the finished string are the mask: for each turn
+under the loss, its place among the turns and the code points [start, end) from the turn's first one, so
+that a reader who cuts the string at the turns' starts finds every span without counting what stands before.
 
 Control strings are told from text by an escape that can be undone: every `<`, backslashes, `|` in a role
 or text gets one backslash more, so `<|` stands in the output for control strings only.
 
 The finished conversation is one string, so a conversation's rows meet in one task; that is the unit of
-the output and holds nothing but that conversation.
+the output and holds nothing but that conversation.  Work is linear in its text, whatever the number of turns.
 
 Defined results: null roles and texts are empty; rows of one turn are ordered by role, then text; repeated
-rows are turns of their own; null is a conversation of its own.  Conversations that break the order of the
+rows are turns of their own; all rows of the null conversation are one conversation.  Conversations that break the order of the
 turns are formatted too and have valid = false.  An empty table gives no conversations.  Columns other than
 conv_id, turn, role and text are ignored.
 """
@@ -57,7 +59,7 @@ class ChatFormat:
         return F.aggregate(turns, begin, step, lambda acc: acc["ok"])
 
     def format(self, rows: DataFrame) -> DataFrame:
-        """conv_id, valid, segments array<struct<text, loss>>, formatted."""
+        """conv_id, valid, segments array<struct<text, loss>>, mask array<struct<turn, start, end>>, formatted."""
         t = self.template
         turn = F.struct(F.col("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
         turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
@@ -67,14 +69,19 @@ class ChatFormat:
             segment(escape(x["text"]), x["role"].isin(*t.loss)),
             segment(F.lit(t.end), F.lit(False)),
         )
-        made = turns.select("conv_id", self._valid(F.col("turns")).alias("valid"), F.flatten(F.transform("turns", emit)).alias("segments"))
+        head = lambda x: F.length(escape(x["role"])) + len(t.start) + len(t.separator)
+        span = lambda x, i: F.struct(i.alias("turn"), head(x).alias("start"), (head(x) + F.length(escape(x["text"]))).alias("end"), x["role"].isin(*t.loss).alias("loss"))
+        mask = F.transform(F.filter(F.transform("turns", span), lambda m: m["loss"]), lambda m: F.struct(m["turn"].alias("turn"), m["start"].alias("start"), m["end"].alias("end")))
+        made = turns.select("conv_id", self._valid(F.col("turns")).alias("valid"), F.flatten(F.transform("turns", emit)).alias("segments"), mask.alias("mask"))
         return made.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
 
     def read(self, made: DataFrame) -> DataFrame:
-        """conv_id, valid, formatted, turns array<struct<role, text>> and loss, the text under the loss mask: both read back from the output."""
+        """conv_id, valid, formatted, turns array<struct<role, text>> and loss, the text under the mask: both read back from the finished string."""
         t = self.template
         quoted = lambda s: "".join("\\" + c if c in r"\|<>[](){}.*+?^$" else c for c in s)
-        parts = F.slice(F.split("formatted", quoted(t.start)), F.lit(2), F.greatest(F.size(F.split("formatted", quoted(t.start))) - 1, F.lit(0)))
+        cut = made.select("conv_id", "valid", "formatted", "mask", F.split("formatted", quoted(t.start)).alias("parts"))
+        # The first part is what stands before the first turn; a span counts from its turn's first code point, which the cut has taken.
+        masked = F.transform("mask", lambda m: unescape(F.substr(F.get("parts", m["turn"] + 1), m["start"] - len(t.start) + 1, m["end"] - m["start"])))
 
         def back(part: Column) -> Column:
             role = F.substring_index(part, t.separator, 1)
@@ -82,8 +89,8 @@ class ChatFormat:
             text = F.substr(rest, F.lit(1), F.length(rest) - len(t.end))
             return F.struct(unescape(role).alias("role"), unescape(text).alias("text"))
 
-        masked = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
-        return made.select("conv_id", "valid", "formatted", F.transform(parts, back).alias("turns"), masked.alias("loss"))
+        turns = F.transform(F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0))), back)
+        return cut.select("conv_id", "valid", "formatted", turns.alias("turns"), F.array_join(masked, "").alias("loss"))
 
     def digests(self, rows: DataFrame) -> DataFrame:
         """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid."""
