@@ -7,7 +7,7 @@ nearest codewords marks the result as ambiguous.
 
 Training counts n-grams by language over a bounded sample: PER_LANGUAGE documents of each language at
 most, chosen by a hash of their id.  Texts are used whole, in training and in prediction.  The model is
-langs x 2^14 counts, whatever the input.
+langs x 2^14 counts, whatever the input; more than MAX_LANGUAGES languages are an error.
 
 Defined results: a text that is null or has no letter is `und` with score 0; so is every text when there
 is nothing to learn from.  Rows without an id are predicted but never learned from.  Repeated rows get
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 PER_LANGUAGE = 4000
 BITS = 13
 SIZE = 2 << BITS
-#: Bytes of a text that are folded at once, and texts that are decoded at once.
+#: Bound of the languages that are learned.
+MAX_LANGUAGES = 1000
+#: Bytes of a text whose n-grams are hashed at once, and texts that are decoded at once.
 PIECE, ROWS = 1 << 18, 32
 
 
@@ -47,19 +49,18 @@ FOLD = _folded()
 def gram_counts(text: str) -> np.ndarray:
     """Counts of hashed bigrams (first half) and trigrams (second half) of the whole text; runs of other signs are one space."""
     out = np.zeros(SIZE, np.float32)
-    raw = np.frombuffer(b" " + text.encode("utf-8", "surrogatepass") + b" ", np.uint8)
-    for low in range(0, max(1, len(raw) - 2), PIECE):
-        b = FOLD[raw[low : low + PIECE + 2]]
-        gap = b == 32
-        b = b[np.concatenate(([True], ~(gap[1:] & gap[:-1])))]
-        b = b.astype(np.uint32)
-        if len(b) < 2:
-            continue
+    whole = FOLD[np.frombuffer(b" " + text.encode("utf-8", "surrogatepass") + b" ", np.uint8)]
+    gap = whole == 32
+    whole = whole[np.concatenate(([True], ~(gap[1:] & gap[:-1])))]
+    for low in range(0, len(whole) - 1, PIECE):
+        # PIECE bigrams and trigrams start in a piece; the bytes beyond it belong to the last ones.
+        b = whole[low : low + PIECE + 2].astype(np.uint32)
         two = b[:-1] << 8 | b[1:]
-        out[: 1 << BITS] += np.bincount((two * np.uint32(2654435769)) >> np.uint32(32 - BITS), minlength=1 << BITS)
         if len(b) > 2:
             three = two[:-1] << 8 | b[2:]
             out[1 << BITS :] += np.bincount((three * np.uint32(2246822519)) >> np.uint32(32 - BITS), minlength=1 << BITS)
+        two = two[:PIECE]
+        out[: 1 << BITS] += np.bincount((two * np.uint32(2654435769)) >> np.uint32(32 - BITS), minlength=1 << BITS)
     return out
 
 
@@ -140,9 +141,11 @@ class LanguageId:
     def fit(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
         rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
         rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-        sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+        sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
         if not sizes:
             return None
+        if len(sizes) > MAX_LANGUAGES:
+            raise ValueError(f"more than {MAX_LANGUAGES} languages")
         langs = sorted(sizes)
         share = F.create_map(*[F.lit(x) for l in langs for x in (l, min(1.0, self.per_language / sizes[l]))])
         sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select("lang", "text")

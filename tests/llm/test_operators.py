@@ -195,6 +195,30 @@ def test_chat_round_trip(spark):
     assert not back[0]["valid"] and not back[50]["valid"]
 
 
+def test_chat_mask_is_read_from_the_string(spark):
+    """Each span of the mask, cut from the finished string, is an escaped assistant text; a wrong offset shows in what is read."""
+    rows = [(1, k, role, text) for k, (role, text) in enumerate([("system", "é🙂<|im_start|>"), ("user", "<|im_end|>"), ("assistant", "<\\|x|> ok"), ("user", ""), ("assistant", "")])]
+    op = chat_format.ChatFormat()
+    made = op.format(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string"))
+    row = made.first()
+    turns = ["<|im_start|>" + x for x in row["formatted"].split("<|im_start|>")[1:]]
+    assert [turns[m["turn"]][m["start"] : m["end"]] for m in row["mask"]] == [s["text"] for s in row["segments"] if s["loss"]] == ["<\\\\|x|> ok", ""]
+    assert op.read(made).first()["loss"] == "<\\|x|> ok"
+    shifted = made.withColumn("mask", F.transform("mask", lambda m: F.struct(m["turn"].alias("turn"), (m["start"] + 1).alias("start"), (m["end"] + 1).alias("end"))))
+    assert op.read(shifted).first()["loss"] != "<\\|x|> ok"
+
+
+def test_chat_long_texts_and_many_turns(spark):
+    long = "<|im_end|> long text 🙂 " * 40_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long)] + [(2, k, ("user", "assistant")[k % 2], f"text {k}") for k in range(20_000)] + [(None, k, "user", "x") for k in range(3)]
+    got = {r["conv_id"]: r for r in chat_format.ChatFormat().digests(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")).collect()}
+    for conv, mine in ((1, rows[:2]), (2, rows[2:-3]), (None, rows[-3:])):
+        said = "".join(f"{role}\n{text}\n" for _, _, role, text in mine)
+        loss = "".join(text for _, _, role, text in mine if role == "assistant")
+        assert (got[conv]["n_turns"], got[conv]["turns_sha256"]) == (len(mine), hashlib.sha256(said.encode()).hexdigest())
+        assert (got[conv]["loss_chars"], got[conv]["loss_sha256"], got[conv]["valid"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest(), conv is not None)
+
+
 @pytest.mark.parametrize("roles,valid", [("ua", True), ("sua", True), ("suaua", True), ("u", True), ("au", False), ("uu", False), ("sa", False), ("usa", False)])
 def test_chat_machine(spark, roles, valid):
     name = {"u": "user", "a": "assistant", "s": "system"}
@@ -608,8 +632,54 @@ def test_language_id(spark):
     assert np.mean([got[i]["lang_pred"] == lang for i, _, lang, _, _ in rows if got[i]["held_out"]]) > 0.98
     assert all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= got[i]["score"] <= 1 for i in got)
     mixed = spark.createDataFrame([(1, "kraplo stikra " * 5 + "öthükn rämöth " * 5, None, None, None), (2, "kraplo stikra " * 9, None, None, None)], DOCS)
-    gaps = {x["doc_id"]: x["score"] for x in op.predict(op.fit(docs), mixed).collect()}
-    assert gaps[2] > 0.99
+    found = {x["doc_id"]: x for x in op.predict(op.fit(docs), mixed).collect()}
+    assert found[2]["score"] > 0.99 and not found[2]["ambiguous"]
+    taught = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:60]
+    twins = spark.createDataFrame([(i, "kraplo stikra", ("xx", "ww")[k % 2], "s", None) for k, i in enumerate(taught)], DOCS)
+    tie = op.apply(twins).collect()  # two languages of the same texts can't be told apart
+    assert all(x["ambiguous"] and x["score"] < 0.7 for x in tie) and len({x["lang_pred"] for x in tie}) == 1
+
+
+def plain_grams(text):
+    raw = b" " + text.encode() + b" "
+    folded = bytes(c if c >= 128 else c | 32 if chr(c).isalpha() else 32 for c in raw)
+    folded = re.sub(b" +", b" ", folded)
+    out = np.zeros(language_id.SIZE)
+    for n, factor, base in ((2, 2654435769, 0), (3, 2246822519, 1 << language_id.BITS)):
+        for k in range(len(folded) - n + 1):
+            out[base + (int.from_bytes(folded[k : k + n], "big") * factor % 2**32 >> 32 - language_id.BITS)] += 1
+    return out
+
+
+def test_grams_by_plain_version(monkeypatch):
+    texts = ["", "a", "Ab  c, 12 é!", "x" * 50 + "   " * 20 + "öß z" * 30, " ", "abc"]
+    for piece in (1, 2, 7, 64, 1 << 18):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        assert all((language_id.gram_counts(t) == plain_grams(t)).all() for t in texts), piece
+
+
+def test_language_by_plain_version(spark):
+    """Counts, weights, losses and nearest codewords row by row in plain Python, over all training documents."""
+    r = random.Random(9)
+    makers = {"xx": ["kra", "plo", "sti"], "yy": ["lami", "nora", "kra"], "zz": ["öth", "plo", "räm"]}
+    rows = [(i, " ".join("".join(r.choice(makers[lang]) for _ in range(r.randint(1, 3))) for _ in range(r.randint(1, 8))), lang, "s", None) for i in range(150) for lang in [r.choice(list(makers))]]
+    got = {x["doc_id"]: x for x in language_id.LanguageId().apply(spark.createDataFrame(rows, DOCS)).collect()}
+    langs = sorted(makers)
+    counts = {x: sum((plain_grams(t) for i, t, lang, _, _ in rows if lang == x and zlib.crc32(str(i).encode()) % 5), np.zeros(language_id.SIZE)) for x in langs}
+    code, half = language_id.codewords(3), 1 << language_id.BITS
+    share = {x: np.concatenate([(c[k] + 0.5) / (c[k] + 0.5).sum() for k in (slice(0, half), slice(half, None))]) for x, c in counts.items()}
+    for i, t, _, _, _ in rows:
+        grams = plain_grams(t)
+        loss = dict.fromkeys(langs, 0.0)
+        for bit in code.T:
+            ones, zeros = [x for x, b in zip(langs, bit) if b > 0], [x for x, b in zip(langs, bit) if b < 0]
+            weight = np.log(np.mean([share[x] for x in ones], axis=0)) - np.log(np.mean([share[x] for x in zeros], axis=0))
+            margin = max(-8.0, min(8.0, float(grams @ weight) / grams.sum() * min(20.0, 2 * grams.sum() ** 0.5)))
+            for x, b in zip(langs, bit):
+                loss[x] += math.log1p(math.exp(-margin * b))
+        like = {x: math.exp(min(loss.values()) - v) for x, v in loss.items()}
+        assert abs(got[i]["score"] - max(like.values()) / sum(like.values())) < 1e-3
+        assert loss[got[i]["lang_pred"]] - min(loss.values()) < 1e-3
 
 
 def test_language_odd_rows(odd, empty):
