@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,15 +54,24 @@ class Scratch:
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, most: str) -> Iterator[None]:
-    """Within it, plans are made with Arrow batches of at most so many bytes."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, most)
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Within it, plans are made with these settings."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def arrow_batches(spark: SparkSession, most: str) -> AbstractContextManager[None]:
+    """Within it, plans are made with Arrow batches of at most so many bytes."""
+    return session_conf(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": most})
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
