@@ -8,22 +8,29 @@ How it keeps whole results without emitting all pairs of a bucket:
 
 * Texts with equal shingle sets are one class and only its representative goes on, so a group of
   copies that holds a third of all rows costs one row after a map-side aggregate.
-* In each bucket every member is compared with the bucket's leader only.  Once the components of
-  these links are known, only buckets whose members still lie in different components are compared
-  member by member, in blocks of bounded size, and only across components.  Every pair that meets
-  in a bucket is thus either verified or already connected.
+* In each bucket every member is compared with the bucket's leader only, on short signatures before
+  full sets are brought together.  Once the components of these links are known, only buckets whose
+  members still lie in different components are compared member by member, in blocks of bounded size,
+  and only across components and between sets whose sizes allow the similarity.  Every pair that
+  meets in a bucket is thus either verified or already connected.
+* Full sets are made for members of buckets alone; Catalyst's Bloom filter of their ids keeps most other
+  texts out of that shuffle as long as it isn't full.
+
+Work that can't be avoided: a bucket of n sets of like sizes, all below the threshold with each other, takes
+n * n / 2 comparisons, dealt over (n / BLOCK)^2 / 2 groups, each set being sent n / BLOCK times.
 
 The chance that a pair at the threshold meets in none of the bands is (1 - 0.85**5)**20 < 1e-5.
 
 Defined results: null text, empty text and text without words have an empty set, are linked with
 nothing and are kept.  Rows without an id are linked with nothing and are kept.  Repeated rows share
-their class.  Ids are expected to be unique; rows that repeat an id with other texts are grouped by
-their own text.  Columns other than id and text are ignored, whatever their names.
+their class.  Ids are expected to be unique; a row that repeats an id with another text is placed by
+its own text, and texts that have the same smallest id are one node, linked by what any of them is linked by.  Columns other than id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +38,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.storage import Scratch, arrow_batches
+from loomwork.storage import Scratch, arrow_batches, session_conf
 
 #: Bound of a worker's table of word hashes; it is emptied when full.
 WORD_MEMO = 100_000
 #: Shingles that are hashed with all functions at once.
 CHUNK = 1024
 #: Bound of the members of one block when a bucket is compared member by member.
-BLOCK = 128
+BLOCK = 256
+#: For joins of texts with the few ids that are wanted: a Bloom filter of 2 MB, whatever the sides' sizes.
+BLOOM = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1t", "expectedNumItems": "2000000", "numBits": str(1 << 24)}.items()}
 #: Bytes that go to a Python worker at once while sets and signatures are compared.
 BATCH = "16m"
 #: Bound of the set members of one block, and of the columns that are multiplied at once.
@@ -154,7 +163,7 @@ class NearDuplicates:
                     for k in range(rows):
                         cell = _mix(cell + m[k::rows])
                     keys.append(xxhash.xxh128_hexdigest(s.tobytes()))
-                    sigs.append(m.astype("<u4").tobytes())
+                    sigs.append(m.astype(np.uint8).tobytes())
                     cells.append(cell.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -169,55 +178,60 @@ class NearDuplicates:
 
         return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key string, sig binary, cells array<bigint>")
 
+    def _likely(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """Of the pairs (a, b), those whose signatures agree often enough; a byte of each minimum agrees at least as often as the whole."""
+        least = self.least_estimate
+        left, right = classes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), classes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
+        sides = pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (2, 3))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= least))
+
+        return sides.mapInArrow(run, "a bigint, b bigint").distinct()
+
     def _payloads(self, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """node, its signature and its full set, for the nodes that are in a pair."""
+        """node and its full set, for the nodes that share a bucket; a node has a row for each of its sets."""
         words = self.words
-        wanted = docs.join(nodes.select("node", "sig").hint("shuffle_hash"), docs["doc_id"] == F.col("node")).select("node", "sig", "text")
+        wanted = docs.join(nodes, docs["doc_id"] == F.col("node")).select("node", "text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             memo = _WordHash()
             for batch in batches:
-                sets = [shingle_set(t.as_py(), words, memo).tobytes() for t in batch.column(2)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["node", "sig", "members"])
+                sets = [shingle_set(t.as_py(), words, memo).tobytes() for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "members"])
 
-        made = wanted.mapInArrow(run, "node bigint, sig binary, members binary")
-        return made.groupBy("node").agg(F.first("sig").alias("sig"), F.min("members").alias("members"))
+        return wanted.mapInArrow(run, "node bigint, members binary").where(F.octet_length("members") > 0).distinct()
 
     def _verified(self, pairs: DataFrame, payloads: DataFrame) -> DataFrame:
-        """Of the pairs (a, b), those whose full sets reach the threshold."""
-        percent, least = self.percent, self.least_estimate
-        left = payloads.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("members").alias("set_a"))
-        right = payloads.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("members").alias("set_b"))
-        sides = pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b", "set_a", "set_b")
+        """Of the pairs (a, b), those of which some full sets reach the threshold."""
+        percent = self.percent
+        left = payloads.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
+        right = payloads.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
+        sides = pairs.where("a <> b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sig_a, sig_b, set_a, set_b = (batch.column(k) for k in range(2, 6))
-                good = []
-                for k in range(batch.num_rows):
-                    x, y = (np.frombuffer(c[k].as_py(), "<u4") for c in (sig_a, sig_b))
-                    good.append(
-                        bool((x == y).mean() >= least)
-                        and similar(np.frombuffer(set_a[k].as_py(), np.uint64), np.frombuffer(set_b[k].as_py(), np.uint64), percent)
-                    )
+                good = [similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3))]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-        return sides.mapInArrow(run, "a bigint, b bigint")
+        return sides.mapInArrow(run, "a bigint, b bigint").distinct()
 
     # -- candidates --------------------------------------------------------------------------
 
     def _across(self, mixed: DataFrame) -> DataFrame:
         """Links between members of one bucket in different components, found block by block on full sets.
 
-        mixed: cell, blocks (number of blocks of the cell), node, root, members (the full set).
+        mixed: cell, band, blocks (number of blocks of the cell's band), node, root, members (the full set).
         """
         percent = self.percent
         own = F.pmod(F.xxhash64("node"), F.col("blocks"))
         dealt = mixed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select("cell", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", "members")
+        dealt = dealt.select("cell", "band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", "members")
 
         def compare(key: tuple, table: pa.Table) -> pa.Table:
-            _, x, y = (k.as_py() for k in key)
+            x, y = key[2].as_py(), key[3].as_py()
             node, root, block = (table.column(c).to_numpy() for c in ("node", "root", "own"))
             sets = [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
             size = np.array([len(s) for s in sets])
@@ -228,7 +242,7 @@ class NearDuplicates:
             a, b = node[rows[i, 0]], node[cols[0, j]]
             return pa.table({"a": pa.array(np.maximum(a, b), pa.int64()), "b": pa.array(np.minimum(a, b), pa.int64())})
 
-        return dealt.groupBy("cell", "x", "y").applyInArrow(compare, "a bigint, b bigint").distinct()
+        return dealt.groupBy("cell", "band", "x", "y").applyInArrow(compare, "a bigint, b bigint").distinct()
 
     # -- the operator ------------------------------------------------------------------------
 
@@ -236,7 +250,7 @@ class NearDuplicates:
         """doc_id, n_shingles, component_id, kept: one row for each row of docs."""
         docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         scratch = Scratch(docs.sparkSession, "near-dedup")
-        with arrow_batches(docs.sparkSession, BATCH):
+        with arrow_batches(docs.sparkSession, BATCH), session_conf(docs.sparkSession, BLOOM):
             return self._apply(docs, scratch)
 
     def _apply(self, docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -254,27 +268,33 @@ class NearDuplicates:
         members = scratch.keep(in_cell.join(leaders, "cell"), "members")
 
         stars = scratch.keep(members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
-        ends = members.select("node").distinct()
-        payloads = scratch.keep(self._payloads(docs, classes.select("node", "sig").join(ends, "node", "left_semi")), "sets")
-        links = scratch.keep(self._verified(stars, payloads), "links")
+        likely = scratch.keep(self._likely(stars, classes), "likely")
+        # Written, and read with a filter, as Catalyst makes Bloom filters only of filtered tables.
+        wanted = scratch.keep(members.groupBy("node").agg(F.count(F.lit(1)).alias("cells")), "wanted").where("cells > 0").select("node")
+        payloads = scratch.keep(self._payloads(docs, wanted), "sets")
+        links = scratch.keep(self._verified(likely, payloads), "links")
         roots = components(links, scratch)
 
-        rooted = members.where("n > 2").join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("root"))
-        rooted = rooted.join(classes.select("node", "n_shingles"), "node")
+        # Sets whose sizes allow the similarity are in one band or in neighbouring ones: a set goes to its own band and the one below.
+        sizes = classes.groupBy("node").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+        rooted = members.where("n > 2").join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("root")).distinct()
+        width = log(100 / self.percent) + 1e-6
+        band = lambda c: F.floor(F.log(c) / width)
+        rooted = rooted.join(sizes, "node").withColumn("band", F.explode(F.sequence(band("least") - 1, band("most")))).withColumn("above", band("least") > F.col("band"))
         open_cells = scratch.keep(
-            rooted.groupBy("cell")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("all"))
-            .where("low <> high")
-            .select("cell", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).alias("blocks")),
+            rooted.groupBy("cell", "band")
+            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("most").alias("all"), F.bool_and("above").alias("above"))
+            .where("low <> high AND NOT above")  # sets that are all of the band above meet there
+            .select("cell", "band", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).alias("blocks")),
             "open",
         )
-        mixed = rooted.select("cell", "node", "root").join(open_cells, "cell").join(payloads.select("node", "members"), "node")
+        mixed = rooted.select("cell", "band", "node", "root").join(open_cells, ["cell", "band"]).join(payloads.select("node", "members"), "node")
         extra = scratch.keep(self._across(mixed), "extra")
         if not extra.isEmpty():
             roots = components(links.union(extra), scratch)
 
         # What is left is read from the signatures, the classes and the last stars.
-        scratch.drop("leaders", "members", "stars", "sets", "links", "open", "extra")
+        scratch.drop("leaders", "members", "stars", "likely", "wanted", "sets", "links", "open", "extra")
 
         placed = classes.select("set_key", "node").join(roots, "node", "left").select("set_key", F.coalesce("root", "node").alias("root"))
         return signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(placed, "set_key", "left").select(
