@@ -5,9 +5,16 @@ a term's 64-bit hash votes, with the term's weight, for each bit; a bit of the f
 votes outweigh the rest.  Longer terms are rarer and weigh more (1 to 16, by bytes).
 
 Votes are counted in the map-side aggregate: 32 sums hold two 32-bit counters each, so one row per text
-leaves each task.  All fingerprints within a Hamming radius r are found by permuted block tables: the 64
-bits are cut into r + 2 blocks, at least two of which must be equal, so each pair of blocks keys one table
-and an equal join on (table, key) finds every pair; equal fingerprints are one class before that.
+leaves each task.  A text and its edited text share the words before the cut: the votes of these are counted
+once, those of either end apart, and added up afterwards.
+
+All fingerprints within a Hamming radius r are found by permuted block tables: the 64 bits are cut into b
+blocks, at least b - r of which must be equal, so each choice of b - r blocks keys one table and an equal
+join on (table, key) finds every pair; equal fingerprints are one class before that.  b follows from the
+number n of fingerprints, so that keys have SPARE bits more than n and chance meetings stay in proportion to
+n.  Keys of one fingerprint meet nothing and go before the join; a key of more than HOT fingerprints is cut
+into parts that meet each other in pairs of parts, each in a task of its own.  A pair counts in the first
+table in which it meets, so pairs need not be made distinct.
 
 The edited text of a document needs the start of the next document in order of ids.  Ids are dealt by
 ranges, followed within each range, and ranges are linked by their first ids; then the start is brought by
@@ -15,13 +22,15 @@ equal joins.  No task sees more than a range of ids and one row for each range.
 
 Defined results: null and empty texts are one empty term.  Ids are expected to be unique; rows that repeat
 an id share the next document, and the next document of rows before them is the smallest text of that id.
-Rows without an id come in no order: their next text is empty and near_next is null.  A document alone is
+Rows without an id come in no order: they have no next document, so nothing replaces the end of their edited
+text and near_next is null.  A document alone is
 its own next.  Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -32,8 +41,10 @@ from loomwork.storage import Scratch
 SPACE = r"[\x20\x09-\x0D]+"
 #: Bits 0 and 32: two counters in one sum.
 LANES = (1 << 32) | 1
-#: Ranges of ids for each shuffle partition.
-RANGES = 4
+#: Ids in a range.
+RANGE = 250_000
+#: Bits that keys of block tables have beyond those of the number of fingerprints; fingerprints of one key that meet in one task.
+SPARE, HOT = 4, 2048
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -44,43 +55,85 @@ def as_hex(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
-def fingerprints(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """keys, copies (rows that share them) and their fingerprint as a long; rows with equal keys must have equal texts."""
-    words = F.split(F.lower(F.col(text)), SPACE)
-    terms = rows.select(*keys, words.alias("w")).select(*keys, F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", F.lit(2), F.size("w")).alias("b"))).alias("at", "term"))
+def _words(text: str) -> Column:
+    return F.split(F.lower(F.col(text)), SPACE)
+
+
+def _pairs(first: Column, second: Column) -> Column:
+    """array<struct<a, b>>: words and the words after them; b is null for a last word alone."""
+    return F.arrays_zip(first.alias("a"), second.alias("b"))
+
+
+def _votes(rows: DataFrame, keys: list[str], pairs: Column) -> DataFrame:
+    """keys, all (weights), copies (rows that share the keys), v0 to v31 (votes of two bits each)."""
+    terms = rows.select(*keys, F.posexplode(pairs).alias("at", "term"))
     weight = F.least(F.octet_length("term.a") + F.coalesce(F.octet_length("term.b"), F.lit(0)), F.lit(15)) + 1
     terms = terms.select(*keys, "at", F.xxhash64("term.a", "term.b").alias("h"), weight.cast("bigint").alias("weight"))
     lane = lambda i: F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(LANES)) * F.col("weight")).alias(f"v{i}")
-    votes = terms.groupBy(*keys).agg(F.sum("weight").alias("all"), F.count_if(F.col("at") == 0).alias("copies"), *(lane(i) for i in range(32)))
-    bits = []
-    for i in range(32):
-        low, high = F.col(f"v{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"v{i}", 32)
-        bits += [F.when(low * 2 > F.col("all"), F.lit(1 << i)).otherwise(F.lit(0)), F.when(high * 2 > F.col("all"), F.shiftleft(F.lit(1).cast("bigint"), i + 32)).otherwise(F.lit(0))]
-    one = bits[0].cast("bigint")
-    for b in bits[1:]:
-        one = one.bitwiseOR(b.cast("bigint"))
-    return votes.select(*keys, "copies", one.alias("fingerprint"))
+    return terms.groupBy(*keys).agg(F.sum("weight").alias("all"), F.count_if(F.col("at") == 0).alias("copies"), *(lane(i) for i in range(32)))
+
+
+def _signs(all_: str, votes: list[str]) -> Column:
+    """The fingerprint as a long: bits whose votes outweigh the rest."""
+    one = F.lit(0).cast("bigint")
+    for i, v in enumerate(votes):
+        low, high = F.col(v).bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(v, 32)
+        for at, x in ((i, low), (i + 32, high)):
+            one = one.bitwiseOR(F.when(x * 2 > F.col(all_), F.shiftleft(F.lit(1).cast("bigint"), at)).otherwise(F.lit(0).cast("bigint")))
+    return one
+
+
+def fingerprints(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, copies (rows that share them) and their fingerprint as a long; rows with equal keys must have equal texts."""
+    w = rows.select(*keys, _words(text).alias("w"))
+    votes = _votes(w, keys, _pairs(F.col("w"), F.slice("w", F.lit(2), F.size("w"))))
+    return votes.select(*keys, "copies", _signs("all", [f"v{i}" for i in range(32)]).alias("fingerprint"))
+
+
+def blocks_for(n: int, radius: int) -> int:
+    """The least number of blocks whose keys have SPARE bits more than n."""
+    return next((b for b in range(radius + 2, 17) if 64 * (b - radius) // b >= n.bit_length() + SPARE), 16)
 
 
 def neighbours(found: DataFrame, radius: int = 3) -> DataFrame:
     """a, b, distance: all pairs of different fingerprints within the radius, a < b; found: fingerprint (copies collapse)."""
-    blocks = radius + 2
-    edges = [64 * k // blocks for k in range(blocks + 1)]
     one = found.where("fingerprint IS NOT NULL").select("fingerprint").distinct()
-    part = lambda k: F.shiftrightunsigned("fingerprint", edges[k]).bitwiseAND(F.lit((1 << (edges[k + 1] - edges[k])) - 1))
-    keys = [F.struct(F.lit(t).alias("t"), part(i).alias("x"), part(j).alias("y")) for t, (i, j) in enumerate(combinations(range(blocks), 2))]
+    blocks = blocks_for(one.count(), radius)
+    edges = [64 * k // blocks for k in range(blocks + 1)]
+    masks = [((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in range(blocks)]
+    signed = lambda m: F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint")
+    choices = list(combinations(range(blocks), blocks - radius))
+    keys = [F.struct(F.lit(t).alias("t"), F.col("fingerprint").bitwiseAND(signed(sum(masks[k] for k in c))).alias("x")) for t, c in enumerate(choices)]
     tables = one.select("fingerprint", F.explode(F.array(*keys)).alias("k")).select("fingerprint", "k.*")
-    left, right = tables.withColumnRenamed("fingerprint", "a"), tables.withColumnRenamed("fingerprint", "b")
-    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    pairs = left.join(right, ["t", "x", "y"]).where((F.col("a") < F.col("b")) & (distance <= radius))
-    return pairs.select("a", "b", distance.alias("distance")).distinct()
+    shared = tables.groupBy("t", "x").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    parts = F.ceil(F.col("n") / HOT)
+    dealt = tables.join(shared, ["t", "x"]).withColumn("own", F.pmod(F.xxhash64("fingerprint"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    # Part p meets part q in the cell (p, q), p <= q: as the left side from p and as the right one from q.
+    cell = dealt.select("t", "x", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "fingerprint")
+    left, right = cell.where("own = p").select("t", "x", "p", "q", F.col("fingerprint").alias("a")), cell.where("own = q").select("t", "x", "p", "q", F.col("fingerprint").alias("b"))
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+    same = [differ.bitwiseAND(signed(m)) == 0 for m in masks]
+    # The first choice of equal blocks is that of the first blocks - radius ones that are equal: no block before the last chosen one is equal but not chosen.
+    first = F.lit(False)
+    for t, c in enumerate(choices):
+        skipped = [k for k in range(c[-1]) if k not in c]
+        own = F.col("t") == t
+        for k in skipped:
+            own &= ~same[k]
+        first |= own
+    met = left.join(right, ["t", "x", "p", "q"]).where(F.when(F.col("p") == F.col("q"), F.col("a") < F.col("b")).otherwise(F.lit(True)))
+    met = met.where((F.bit_count(differ) <= radius) & first)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.bit_count(differ).alias("distance"))
 
 
 def followers(ids: DataFrame) -> DataFrame:
     """doc_id, need, next_id for distinct ids: the next larger id, after the last the first; need is passed on."""
     session = ids.sparkSession
-    ranges = RANGES * int(session.conf.get("spark.sql.shuffle.partitions"))
-    dealt = Scratch(session, "order").keep(ids.repartitionByRange(ranges, "doc_id").withColumn("part", F.spark_partition_id()), "ids")
+    scratch = Scratch(session, "order")
+    ids = scratch.keep(ids, "ids")
+    ranges = max(1, ceil(ids.count() / RANGE))
+    dealt = scratch.keep(ids.repartitionByRange(ranges, "doc_id").withColumn("part", F.spark_partition_id()), "dealt")
+    scratch.drop("ids")
     ends = dealt.groupBy("part").agg(F.min("doc_id").alias("first"))
     order = W.orderBy("part")
     ends = ends.select("part", F.coalesce(F.lead("first").over(order), F.min("first").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("after"))
@@ -89,11 +142,12 @@ def followers(ids: DataFrame) -> DataFrame:
 
 
 def _with_edit(rows: DataFrame) -> DataFrame:
-    """doc_id, n_chars, text, edited_text, edited_sha256 from doc_id, text and start (of the next document)."""
+    """doc_id, n_chars, text, kept (the part before the cut), edited_text, edited_sha256 from doc_id, text and start (of the next document)."""
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
-    text = F.concat(F.substr("text", F.lit(1), n - quarter), F.substr("start", F.lit(1), quarter))
-    return rows.select("doc_id", n.cast("bigint").alias("n_chars"), "text", text.alias("edited_text")).withColumn("edited_sha256", F.sha2("edited_text", 256))
+    kept = F.substr("text", F.lit(1), n - quarter)
+    text = F.concat(kept, F.substr("start", F.lit(1), quarter))
+    return rows.select("doc_id", n.cast("bigint").alias("n_chars"), "text", kept.alias("kept"), text.alias("edited_text")).withColumn("edited_sha256", F.sha2("edited_text", 256))
 
 
 def edited(known: DataFrame, order: DataFrame) -> DataFrame:
@@ -109,12 +163,21 @@ def edited(known: DataFrame, order: DataFrame) -> DataFrame:
 
 
 def both_fingerprints(rows: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, copies, own, new: fingerprints of the texts and of the edited texts."""
-    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited_text").alias("text")))
-    sides = rows.select("doc_id", "n_chars", "edited_sha256", F.explode(kinds).alias("x")).select("doc_id", "n_chars", "edited_sha256", "x.kind", "x.text")
-    found = fingerprints(sides, ["doc_id", "n_chars", "edited_sha256", "kind"])
-    side = lambda k: F.max(F.when(F.col("kind") == k, F.col("fingerprint")))
-    return found.groupBy("doc_id", "n_chars", "edited_sha256").agg(F.max("copies").alias("copies"), side(0).alias("own"), side(1).alias("new"))
+    """doc_id, n_chars, edited_sha256, copies, own, new: fingerprints of the texts and of the edited texts.
+
+    Kind 0 is the pairs of the words before the cut (but the last, which the cut may go through), kinds 1 and 2 what follows in either text.
+    """
+    keys = ["doc_id", "n_chars", "edited_sha256", "text_hash"]
+    w = rows.select("doc_id", "n_chars", "edited_sha256", F.xxhash64("text").alias("text_hash"), _words("text").alias("w"), _words("edited_text").alias("e"), (F.size(_words("kept")) - 1).alias("c"))
+    rest = lambda x: _pairs(F.slice(x, F.greatest("c", F.lit(1)), F.size(x)), F.slice(x, F.greatest("c", F.lit(1)) + 1, F.size(x)))
+    same = F.greatest(F.col("c") - 1, F.lit(0))
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), _pairs(F.slice("w", F.lit(1), same), F.slice("w", F.lit(2), same)).alias("pairs")), *(F.struct(F.lit(k).alias("kind"), rest(x).alias("pairs")) for k, x in ((1, "w"), (2, "e"))))
+    sides = w.select(*keys, F.explode(kinds).alias("x")).select(*keys, "x.kind", "x.pairs")
+    votes = _votes(sides, [*keys, "kind"], F.col("pairs"))
+    columns = ["all", *(f"v{i}" for i in range(32))]
+    sums = [F.sum(F.when(F.col("kind") != other, F.col(c))).alias(f"{side}_{c}") for side, other in (("own", 2), ("new", 1)) for c in columns]
+    found = votes.groupBy(*keys).agg(F.max(F.when(F.col("kind") == 1, F.col("copies"))).alias("copies"), *sums)
+    return found.select("doc_id", "n_chars", "edited_sha256", "copies", *(_signs(f"{side}_all", [f"{side}_v{i}" for i in range(32)]).alias(side) for side in ("own", "new")))
 
 
 class Fingerprints:
@@ -125,11 +188,8 @@ class Fingerprints:
 
     def links(self, rows: DataFrame, fingerprint: str, scratch: Scratch) -> DataFrame:
         """fingerprint, n_links: how many other fingerprints are within the radius, for those that have any."""
-        pairs = scratch.keep(neighbours(rows.select(F.col(fingerprint).alias("fingerprint")), self.radius), "pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint"))
-        links = scratch.keep(ends.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_links")), "links")
-        scratch.drop("pairs")
-        return links
+        ends = neighbours(rows.select(F.col(fingerprint).alias("fingerprint")), self.radius).select(F.explode(F.array("a", "b")).alias("fingerprint"))
+        return scratch.keep(ends.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_links")), "links")
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_links: one row for each row of docs.

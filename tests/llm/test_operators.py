@@ -873,6 +873,17 @@ def test_fingerprints_by_brute_force(spark):
         assert got[i]["near_edited"] == 1 - bin(one ^ edit).count("1") / 64 and got[i]["near_next"] == 1 - bin(one ^ nxt).count("1") / 64
 
 
+def test_votes_counted_in_parts(spark):
+    """Fingerprints from shared and own words are those of the whole texts, wherever the cut goes; rows of one id are told apart."""
+    r = random.Random(13)
+    texts = word_texts(60, 14) + ["", " ", "a", "ab", "abc", "a b", " a b ", "word" * 9, "ΑΣ ΑΣΑ ΟΣΟΣ" * 5, "x  " * 7] + ["same start " * 6 + end for end in ("one end", "two end")]
+    rows = [(k, t, r.choice(texts)) for k, t in enumerate(texts)] + [(900, "same start " * 6 + end, "zzz") for end in ("one end", "two end")]
+    made = fingerprint._with_edit(spark.createDataFrame(rows, "doc_id bigint, text string, start string"))
+    whole = {(x["doc_id"], x["t"]): x["fingerprint"] for c in ("text", "edited_text") for x in fingerprint.fingerprints(made.select("doc_id", F.col(c).alias("t"), F.col(c).alias("u")), ["doc_id", "t"], "u").collect()}
+    got = sorted((x["doc_id"], x["own"], x["new"]) for x in fingerprint.both_fingerprints(made).collect())
+    assert got == sorted((x["doc_id"], whole[x["doc_id"], x["text"]], whole[x["doc_id"], x["edited_text"]]) for x in made.collect())
+
+
 def test_votes_by_hand(spark):
     texts = spark.createDataFrame([(1, "One two  three one two"), (2, "x"), (3, "")], "doc_id bigint, text string")
     terms = {1: [("one", "two"), ("two", "three"), ("three", "one"), ("one", "two"), ("two", None)], 2: [("x", None)], 3: [("", None)]}
@@ -886,12 +897,24 @@ def test_votes_by_hand(spark):
         assert got[i] == want
 
 
-def test_neighbours_by_brute_force(spark):
+def test_blocks_grow_with_the_number_of_fingerprints():
+    assert [fingerprint.blocks_for(n, 3) for n in (0, 10**5, 10**7, 10**9, 10**10)] == [5, 5, 6, 7, 8]
+    for n in (10**6, 10**9, 10**10):
+        b = fingerprint.blocks_for(n, 3)
+        assert 2 ** (64 * (b - 3) // b) >= 8 * n
+
+
+@pytest.mark.parametrize("spare, hot", [(4, 2048), (22, 5), (30, 2048), (4, 3)])
+def test_neighbours_by_brute_force(spark, monkeypatch, spare, hot):
+    monkeypatch.setattr(fingerprint, "SPARE", spare)
+    monkeypatch.setattr(fingerprint, "HOT", hot)
     r = random.Random(10)
     base = [r.getrandbits(64) for _ in range(60)]
     every = base + [b ^ sum(1 << k for k in r.sample(range(64), n)) for b in base for n in (1, 2, 3, 4, 5)] + base[:10]
     signed = [x - 2**64 if x >= 2**63 else x for x in every]
-    got = {(x["a"], x["b"], x["distance"]) for x in fingerprint.neighbours(spark.createDataFrame([(x,) for x in signed], "fingerprint bigint"), 3).collect()}
+    pairs = [(x["a"], x["b"], x["distance"]) for x in fingerprint.neighbours(spark.createDataFrame([(x,) for x in signed], "fingerprint bigint"), 3).collect()]
+    got = set(pairs)
+    assert len(got) == len(pairs)
     want = {(a, b, n) for a, b in combinations(sorted(set(signed)), 2) if (n := bin((a ^ b) & (2**64 - 1)).count("1")) <= 3}
     assert got == want
 
