@@ -235,19 +235,6 @@ def html_block_reconstruct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).pages.select("page_id", F.concat(F.lit("# "), F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)).alias("heading"), big(F.size(texts)).alias("n_blocks"), items.alias("n_items"), F.sha2(F.array_join(texts, "\n\n"), 256).alias("blocks_sha"))
 
 
-@query()
-def metadata_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whitelisted, non-null entries in groups; empty groups are left out.  Maps have no fixed order, so rows only."""
-    t = Tables(spark, sf_dir)
-    group = lambda **kv: F.map_filter(F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v.cast("string"))]), lambda _, v: v.isNotNull())
-    told = t.documents.select("doc_id", "lang", F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("size"), F.substring("text", 1, 20).alias("title"))
-    rows = told.join(t.pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left")
-    source = group(sha256=F.col("sha"), bytes=F.col("size"), url=F.col("url"))
-    document = group(language=F.col("lang"), title=F.when(F.col("doc_id") % 2 == 0, F.col("title")))
-    bag = F.map_filter(F.create_map(F.lit("source"), source, F.lit("document"), document), lambda _, v: F.size(v) > 0)
-    return rows.select("doc_id", bag.alias("metadata"))
-
-
 CACHE_SQL = "cache AS (SELECT doc_id, n_chars AS size, doc_id % 7 AS version FROM documents WHERE doc_id % 3 <> 0)"
 
 

@@ -50,7 +50,12 @@ def pdfs(spark: SparkSession, root: str, prune: bool = True) -> DataFrame:
 
 def media(spark: SparkSession, root: str) -> DataFrame:
     """Audio, video and image files with their kind; outputs in `*.media` directories are left out."""
-    found = pruned(listing(spark, root), root, PRUNED_MEDIA).withColumn("kind", ids.source_kind(F.col("path")))
+    return media_of(listing(spark, root), root)
+
+
+def media_of(files: DataFrame, root: str) -> DataFrame:
+    """The media files of a listing with their kind."""
+    found = pruned(files, root, PRUNED_MEDIA).withColumn("kind", ids.source_kind(F.col("path")))
     return found.where(F.col("kind").isNotNull() & ~F.exists(ancestors(F.col("path")), lambda d: F.lower(d).endswith(".media")))
 
 

@@ -91,6 +91,20 @@ def escalated(pages: DataFrame, assets: DataFrame) -> DataFrame:
     return low.join(have, ["doc_id", "page_number"], "left_anti").select("doc_id", F.lit("page").alias("kind"), "page_number", F.lit("low_quality_text").alias("route_reason"))
 
 
+def escalation_manifest(documents: DataFrame, escalations: DataFrame) -> DataFrame:
+    """Documents that were scanned, documents and pages escalated, in one row."""
+    by = escalations.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    rows = documents.join(by, "doc_id", "left")
+    return rows.agg(F.count(F.lit(1)).alias("documents_scanned"), F.count("_n").alias("documents_escalated"), F.coalesce(F.sum("_n"), F.lit(0)).alias("pages_escalated"))
+
+
+def with_chunks(plans: DataFrame, chunks: DataFrame, key: str, kind: str) -> DataFrame:
+    """Plans with their chunks (an empty list without any) and the path of these: the plan's own, else that derived from the document's name."""
+    derived = F.concat(F.regexp_replace("document", r"\.[^.]*$", ""), F.lit(".chunks.json"))
+    rows = plans.join(chunks.select(key, "chunks"), key, "left")
+    return rows.withColumn("chunks", F.coalesce("chunks", F.array().cast(kind))).withColumn("chunks_path", F.coalesce("chunks_path", derived))
+
+
 def stale(blocks: DataFrame, versions: DataFrame, key: str) -> DataFrame:
     """Keys whose block was made with other upstream versions than those given (stage, version)."""
     return blocks.join(versions.withColumnRenamed("version", "_now"), "stage").where(~F.col("version").eqNullSafe(F.col("_now"))).select(key, "stage", "version")

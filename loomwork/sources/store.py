@@ -53,7 +53,8 @@ class VectorStore:
         dims = self.identity[1]
         sound = (F.size("vector") == dims) & F.col("content_sha").rlike("^[0-9a-f]{64}$")
         checked = vectors.select("content_sha", F.lit(seq).cast("bigint").alias("seq"), F.when(F.assert_true(sound, "bad vector or key").isNull(), F.col("vector").cast("array<float>")).alias("vector"))
-        checked.withColumn("shard", shard(F.col("content_sha"))).write.mode("append").partitionBy("shard").parquet(f"{self.root}/vectors")
+        # One task writes a shard, so an append adds one file to it, however many tasks the vectors came from.
+        checked.withColumn("shard", shard(F.col("content_sha"))).repartition("shard").write.mode("append").partitionBy("shard").parquet(f"{self.root}/vectors")
 
     def latest(self) -> DataFrame:
         return last_written(self.rows(), ["shard", "content_sha"], "seq").select("content_sha", "vector")
