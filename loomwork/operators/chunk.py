@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.config import Chunk, Embed
@@ -71,6 +71,61 @@ def children_of(pages: DataFrame, document: str, case: str, dataset: str, page:
     )
 
 
+PARTS = "array<struct<section:string,kind:string,page:bigint,start_ms:bigint,end_ms:bigint,speaker:string,text:string>>"
+
+
+def pack_documents(rows: DataFrame, keys: list[str], cfg: Chunk = Chunk()) -> DataFrame:
+    """Children of rows that hold whole documents: keys, and parts (PARTS) in order.
+
+    One row for each child: keys, section, chunk_kind, page, start_ms, end_ms, speaker, parent_index and chunk_index
+    (through the document), parent_in_part, child_index, text, parent_chars.  Numbering is done while packing, so
+    texts aren't shuffled for it.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    told = {"section": pa.string(), "kind": pa.string(), "page": pa.int64(), "start_ms": pa.int64(), "end_ms": pa.int64(), "speaker": pa.string()}
+    places = ("parent_index", "chunk_index", "parent_in_part", "child_index", "parent_chars")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                columns: dict[str, list] = {c: [] for c in (*told, *places, "text")}
+                parent_index = chunk_index = 0
+                for part in batch.column(len(keys))[at].as_py() or []:
+                    for p, (parent, children) in enumerate(chunked(part["text"], cfg)):
+                        for c, text in enumerate(children):
+                            for name in told:
+                                columns[name].append(part[name])
+                            for name, value in zip((*places, "text"), (parent_index, chunk_index, p, c, len(parent), text)):
+                                columns[name].append(value)
+                            chunk_index += 1
+                        parent_index += 1
+                n = chunk_index
+                own = [batch.column(k).take(pa.array([at] * n, pa.int64())) for k in range(len(keys))]
+                made = [pa.array(columns[c], told[c]) for c in told] + [pa.array(columns[c], pa.int64()) for c in places] + [pa.array(columns["text"], pa.string())]
+                yield pa.RecordBatch.from_arrays([*own, *made], names=[*keys, *told, *places, "text"])
+
+    schema = [f"`{k}` {kinds[k]}" for k in keys] + ["section string, kind string, page bigint, start_ms bigint, end_ms bigint, speaker string"] + [f"{c} bigint" for c in places] + ["text string"]
+    return rows.select(*keys, F.col("parts").cast(PARTS).alias("parts")).mapInArrow(run, ", ".join(schema)).withColumnRenamed("kind", "chunk_kind")
+
+
+def part(text: Column, section: Column, kind: str | Column = "text", page: Column | None = None, start_ms: Column | None = None, end_ms: Column | None = None, speaker: Column | None = None) -> Column:
+    """A part of a document for pack_documents."""
+    none = F.lit(None)
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    values = (section.cast("string"), kind, *((none if c is None else c).cast("bigint") for c in (page, start_ms, end_ms)), (none if speaker is None else speaker).cast("string"), text)
+    return F.struct(*(v.alias(n) for n, v in zip(("section", "kind", "page", "start_ms", "end_ms", "speaker", "text"), values)))
+
+
+def with_identity(children: DataFrame, document: str, case: str, dataset: str) -> DataFrame:
+    """Children with context_prefix, token_count, parent_tokens and content_sha."""
+    prefix = T.context_prefix(F.col(document).cast("string"), F.col(case).cast("string"), F.col(dataset).cast("string"), F.col("section"))
+    rows = children.withColumn("context_prefix", prefix)
+    return rows.select(
+        "*", F.floor(F.length("text") / 4).cast("bigint").alias("token_count"), F.floor(F.col("parent_chars") / 4).cast("bigint").alias("parent_tokens"),
+        T.content_sha(F.lit(Embed.model), F.col("context_prefix"), F.col("text")).alias("content_sha"),
+    )
+
+
 def chunk_documents(docs: DataFrame, pages: DataFrame, force: bool = False) -> tuple[DataFrame, DataFrame]:
     """Children of all documents that may be chunked, and one result row for each document.
 

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.config import Media
+from loomwork.functions import text as T
 from loomwork.functions import timefmt as M
+from loomwork.operators import chunk as K
 from loomwork.operators import windows as N
 from loomwork.operators.safety import severity_flag
 
@@ -64,6 +66,41 @@ def transcripts(rows: DataFrame, key: str = "asset") -> DataFrame:
     return by.select(key, F.concat(text("h"), F.lit("\n")).alias("markdown"), F.concat(F.lit("WEBVTT\n\n"), text("c"), F.lit("\n")).alias("vtt"))
 
 
+def chunk_parts(windows: DataFrame, captions: DataFrame, key: str = "asset") -> DataFrame:
+    """key, parts for chunk.pack_documents: the windows with text as transcript parts, in order, then caption and description.
+
+    windows: key, index, start_s, end_s, speaker, text; captions: key, kind, caption, description.  A caption is a
+    summary of audio and video and an image_caption of images; assets without any text have no row.
+    """
+    ms = lambda c: F.round(F.coalesce(c, F.lit(0.0)) * 1000).cast("bigint")
+    at = F.struct(F.lit(0).alias("list"), F.col("index").cast("bigint").alias("index"))
+    said = windows.where(F.trim(F.coalesce("text", F.lit(""))) != "")
+    clock = F.concat(F.lit("["), M.hms(F.col("start_s")), F.lit("]"))
+    spoken = said.select(key, at.alias("at"), K.part(F.trim("text"), clock, "transcript", start_ms=ms("start_s"), end_ms=ms("end_s"), speaker=F.col("speaker")).alias("part"))
+    text = T.caption_text(F.col("caption"), F.col("description"))
+    kind = F.when(F.col("kind") == "image", "image_caption").otherwise("summary")
+    told = captions.where(text != "").select(key, F.struct(F.lit(1).alias("list"), F.lit(0).cast("bigint").alias("index")).alias("at"), K.part(text, F.lit("caption"), kind).alias("part"))
+    by = spoken.unionByName(told).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("_p"))
+    return by.select(key, F.transform("_p", lambda x: x["part"]).alias("parts"))
+
+
+def caption_manifest(assets: DataFrame) -> DataFrame:
+    """Actions, tokens and cost of a caption run, in one row; assets: action, prompt, completion, cached."""
+    used = lambda c: F.coalesce(F.sum(F.when(F.col("action") == "run", F.col(c))), F.lit(0))
+    tokens = assets.agg(*(F.count_if(F.col("action") == a).alias(f"n_{a}") for a in ("run", "error", "skipped_done", "nothing_to_do")), *(used(c).cast("bigint").alias(f"{c}_tokens") for c in ("prompt", "completion", "cached")))
+    nano = F.greatest(F.lit(0), F.col("prompt_tokens") - F.col("cached_tokens")) * 250 + F.col("cached_tokens") * 25 + F.col("completion_tokens") * 2000
+    return tokens.withColumn("cost_nano", nano)
+
+
+def frames_manifest(frames: DataFrame) -> DataFrame:
+    """Keyframes, embedded, redacted, under review and errors of a frame run, in one row; frames: flag, redacted, embedding_ref, error."""
+    c = F.col
+    return frames.agg(
+        F.count(F.lit(1)).alias("keyframes"), F.count_if(c("embedding_ref").isNotNull() & ~c("redacted")).alias("embedded"), F.count_if("redacted").alias("redacted"), F.count_if(c("flag") == "review").alias("review"),
+        F.count_if(c("flag") == "block").alias("block"), F.count_if(c("error").isNotNull()).alias("errors"),
+    )
+
+
 def probe_manifest(assets: DataFrame) -> DataFrame:
     """Counts and whole milliseconds of duration by kind."""
     ms = F.sum(F.round(F.coalesce("duration_seconds", F.lit(0.0)) * 1000).cast("bigint"))

@@ -77,7 +77,8 @@ def called(rows: DataFrame, keys: list[str], text: str, provider: Callable[[], o
 
 def embedded(children: DataFrame, seen: DataFrame, provider: Callable[[], object], text: str = "text") -> DataFrame:
     """content_sha, vector, status of the shas that have no vector yet, each called once."""
-    todo = children.groupBy("content_sha").agg(F.min(text).alias(text)).join(seen.select("content_sha").distinct(), "content_sha", "left_anti")
+    # What is seen goes before texts are grouped; a digest has one text, so both are keys and no text is sorted for a minimum.
+    todo = children.select("content_sha", text).join(seen.select("content_sha").distinct(), "content_sha", "left_anti").distinct()
     return called(todo, ["content_sha"], text, provider, "vector", pa.list_(pa.float32()))
 
 
@@ -87,6 +88,13 @@ def full_coverage(children: DataFrame, seen: DataFrame) -> DataFrame:
     return flagged.where(F.assert_true(F.coalesce("_seen", F.lit(False)), "a child has no vector").isNull()).drop("_seen")
 
 
+def coverage(children: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """key, n_children, n_missing, covered: what full_coverage would stop at, by document."""
+    flagged = children.join(seen.select("content_sha", F.lit(True).alias("_seen")).distinct(), "content_sha", "left")
+    by = flagged.groupBy(key).agg(F.count(F.lit(1)).alias("n_children"), F.count_if(F.col("_seen").isNull()).alias("n_missing"))
+    return by.withColumn("covered", F.col("n_missing") == 0)
+
+
 def reduced(items: DataFrame, key: str, order: str, text: str, provider: Callable[[], object], cfg: Summarise = Summarise()) -> DataFrame:
     """key, summary, depth: items of each document folded in batches of cfg.batch while their text is over cfg.max_chars and there is more than one, max_depth - 1 levels at most; then one final call.
 
@@ -168,6 +176,53 @@ def batch_results(lines: DataFrame) -> DataFrame:
     return known.select(F.regexp_extract("id", r"^p(\d+)_", 1).cast("bigint").alias("doc"), F.regexp_extract("id", r"_(\d+)$", 1).cast("bigint").alias("page"), "result", status.alias("status"))
 
 
+# States in which a batch job stays.
+TERMINAL = ("completed", "failed", "expired", "cancelled")
+
+
+class BatchFailed(Exception):
+    """A batch job ended without output, or didn't end in time."""
+
+
+def awaited(service, batch_id: str, interval: float = 30.0, most: float = 86_400.0, clock: Callable[[], float] = time.monotonic, wait: Callable[[float], None] = time.sleep) -> dict:
+    """Asks a service (get(batch_id) -> dict with status and output) until the job has ended; raises BatchFailed when `most` seconds are over or it ends without output."""
+    deadline = None
+    while True:
+        job = service.get(batch_id)
+        if job.get("status") in TERMINAL:
+            if job["status"] != "completed" and not job.get("output"):
+                raise BatchFailed(f"batch {batch_id} ended {job['status']} with no output")
+            return job
+        now = clock()
+        deadline = now + most if deadline is None else deadline
+        if now >= deadline:
+            raise BatchFailed(f"batch {batch_id} is {job.get('status')} after {most:.0f} s")
+        wait(interval)
+
+
+def batch_rounds(rows: DataFrame, service, doc: str, page: str, text: str, out: str, rounds: int = 3, **waiting) -> DataFrame:
+    """doc, page, result, status of rows sent as batch jobs, round by round, what failed again in the next one.
+
+    service: submit(folder of request lines) -> batch id, get(batch id) -> dict with status and output, a folder of
+    result lines.  Requests and results stay in files, so nothing but names passes through the driver.
+    """
+    spark = rows.sparkSession
+    scratch = Scratch(spark, "batch")
+    todo, done = rows, None
+    for n in range(rounds):
+        requests, _ = batch_requests(todo, doc, page, text)
+        requests.select(F.to_json(F.struct("custom_id", "body")).alias("value")).write.text(f"{out}/requests-{n}")
+        job = awaited(service, service.submit(f"{out}/requests-{n}"), **waiting)
+        found = scratch.keep(batch_results(spark.read.text(job["output"])), "round")
+        sound = found.where("status <> 'error'")
+        done = sound if done is None else done.unionByName(sound)
+        failed = found.where("status = 'error'").select(F.col("doc").alias(doc), F.col("page").alias(page))
+        if failed.isEmpty() or n + 1 == rounds:
+            return done.unionByName(found.where("status = 'error'"))
+        todo = scratch.keep(rows.join(failed, [doc, page], "left_semi"), "again")
+    raise ValueError("rounds must be positive")
+
+
 def passes(rows: DataFrame, key: str, run: Callable[[DataFrame], DataFrame], most: int = 3) -> DataFrame:
     """Runs the rows, then those that ended in an error again, until none does or `most` passes are over; each pass is written."""
     scratch = Scratch(rows.sparkSession, "passes")

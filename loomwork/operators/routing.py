@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.config import Extract, Vision
+from loomwork.config import Extract, Render, Vision
 
 
 def ladder(rungs: Sequence[tuple[Column, str | bool | None]], otherwise: str | bool | None) -> Column:
@@ -83,6 +83,46 @@ def pregate(dark: Column, cfg: Vision = Vision()) -> Column:
     return F.when(dark < cfg.blank_max, "blank").when(dark > cfg.black_min, "black_or_redacted")
 
 
+def with_page_dark(assets: DataFrame, pages: DataFrame) -> DataFrame:
+    """Assets with dark_coverage: of a page asset that of its page, null where it wasn't measured, and for pictures."""
+    measured = pages.select("doc_id", "page_number", F.col("dark_coverage").alias("_dark")).where("page_number IS NOT NULL")
+    rows = assets.join(measured, ["doc_id", "page_number"], "left")
+    return rows.withColumn("dark_coverage", F.when(F.col("kind") == "page", F.col("_dark"))).drop("_dark")
+
+
+def pregated(assets: DataFrame, cfg: Vision = Vision()) -> DataFrame:
+    """Assets with content_class, hint: decided by darkness alone where the page's share or else the measured one is clear; null: to be looked at."""
+    own = pregate(F.when(F.col("kind") == "page", F.col("dark_coverage")), cfg)
+    kind = F.coalesce(own, pregate(F.col("measured_dark"), cfg))
+    return assets.withColumn("content_class", kind).withColumn("measured", own.isNull() & F.col("measured_dark").isNotNull())
+
+
+def safety_scan_applies(kind: Column, artifacts_only: bool = True) -> Column:
+    """Whether an image goes to the content safety scan: pictures only, unless all are to be scanned."""
+    return kind == "artifact" if artifacts_only else F.lit(True)
+
+
+def picture_artifacts(images: DataFrame, least: int = Render.artifact_min_px) -> DataFrame:
+    """Of a document's embedded images (doc_id, page_number, image_index, xref, width, height, is_full_page), those that are pictures of their own.
+
+    An image that fills some page of its document is that page's scan wherever it stands, and small ones are icons.
+    """
+    scans = images.where("is_full_page").select("doc_id", "xref").distinct()
+    return images.join(scans, ["doc_id", "xref"], "left_anti").where((F.col("xref") > 0) & (F.least("width", "height") >= least))
+
+
+def glyph_counts(glyphs: Column) -> Column:
+    """Struct (invisible, visible) of an array of glyphs (struct<mode, opacity, ...>): render mode 3 or no opacity is invisible."""
+    hidden = lambda g: (g["mode"] == 3) | (g["opacity"] == 0)
+    n = F.size(F.filter(glyphs, hidden))
+    return F.struct(n.alias("invisible"), (F.size(glyphs) - n).alias("visible"))
+
+
+def invisible_boxes(glyphs: Column) -> Column:
+    """Boxes of the invisible glyphs."""
+    return F.transform(F.filter(glyphs, lambda g: (g["mode"] == 3) | (g["opacity"] == 0)), lambda g: g["box"])
+
+
 def fusion_route(has_vision: Column, has_text: Column) -> Column:
     return ladder([(has_vision & has_text, "fused"), (has_vision & ~has_text, "image_only"), (~has_vision & has_text, "promoted")], "no_content")
 

@@ -9,21 +9,12 @@ from pyspark.sql import functions as F
 from loomwork.config import Media
 from loomwork.functions import text as T
 from loomwork.functions import timefmt as M
-from loomwork.operators import chunk as K
 from loomwork.operators import geometry as G
 from loomwork.operators import safety as S
 from loomwork.operators import windows as N
 from loomwork.plans.base import PAGES, Tables, big, pages, query
 
 
-@query()
-def parent_child_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Children of all pages with their shas, numbered through each document; the packing scan has no SQL form."""
-    rows = pages(Tables(spark, sf_dir), "lang", "source")
-    made = K.children_of(rows.withColumn("name", F.col("doc_id")), "name", "lang", "source")
-    return N.reindexed(made, "name", ["page_number", "parent_in_page", "child_index"]).withColumnRenamed("name", "doc_id").withColumnRenamed("text", "child_text")
-
-
 @query("SELECT CASE role WHEN 'assistant' THEN 'summary' WHEN 'user' THEN 'transcript' ELSE 'image_caption' END AS chunk_kind, count(*) AS n_children, count(DISTINCT conv_id) AS n_documents FROM conversations GROUP BY 1")
 def chunk_counts_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("role") == "assistant", "summary").when(F.col("role") == "user", "transcript").otherwise("image_caption")

@@ -21,15 +21,6 @@ def fake_embedding_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.embedded(child, spark.createDataFrame([], "content_sha string"), lambda: M.HashEmbedding(64))
 
 
-@query()
-def guard_full_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose vectors are all in the store; a missing one would fail the job."""
-    t = Tables(spark, sf_dir)
-    seen = t.embeddings.select(F.sha2(F.col("vec_id").cast("string"), 256).alias("content_sha"))
-    child = t.documents.select("doc_id", F.sha2(F.col("doc_id").cast("string"), 256).alias("content_sha"))
-    return M.full_coverage(child.join(seen, "content_sha", "left_semi"), seen).select("doc_id", "content_sha")
-
-
 @query()
 def page_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A summary of each page."""
