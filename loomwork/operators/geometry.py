@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -90,12 +90,12 @@ def _merge(bars) -> list[dict]:
     return out
 
 
-def reading_order(blocks: DataFrame, page: str, left: str = "page_x0", width: str = "page_width", gutter: float = 0.05) -> DataFrame:
+def reading_order(blocks: DataFrame, page: str, left: str = "page_x0", width: str = "page_width", gutter: float = 0.05, ties: Sequence[str] = ()) -> DataFrame:
     """Blocks (box) with their place and whether that is ambiguous.
 
     Two columns, left then right, where each side of the page's middle (give or take the gutter's share of the width)
     has two blocks and at most one, or a tenth, lies across; else one column.  Within a column by y, then x, to a
-    tenth of a point.  Blocks that lie across go with the left column, so that none is lost.
+    tenth of a point; ties: columns that order blocks of one place.  Blocks that lie across go with the left column, so that none is lost.
     """
     middle, margin = F.col(left) + F.col(width) / 2, F.col(width) * gutter
     side = F.when(F.col("box.x1") <= middle + margin, 0).when(F.col("box.x0") >= middle - margin, 1)
@@ -103,7 +103,7 @@ def reading_order(blocks: DataFrame, page: str, left: str = "page_x0", width: st
     across = F.count_if(side.isNull()).over(here)
     two = (F.count_if(side == 0).over(here) >= 2) & (F.count_if(side == 1).over(here) >= 2) & (across <= F.greatest(F.lit(1), F.floor(F.count(F.lit(1)).over(here) / 10)))
     marked = blocks.withColumn("_two", two).withColumn("ambiguous", two & (across > 0)).withColumn("_column", F.when(F.col("_two"), F.coalesce(side, F.lit(0))).otherwise(0))
-    order = here.orderBy("_column", F.round(F.col("box.y0"), 1), F.round(F.col("box.x0"), 1))
+    order = here.orderBy("_column", F.round(F.col("box.y0"), 1), F.round(F.col("box.x0"), 1), *ties)
     return marked.withColumn("place", F.row_number().over(order)).drop("_column", "_two")
 
 
