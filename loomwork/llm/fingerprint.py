@@ -5,8 +5,7 @@ a term's 64-bit hash votes, with the term's weight, for each bit; a bit of the f
 votes outweigh the rest.  Longer terms are rarer and weigh more (1 to 16, by bytes).
 
 Votes are counted in the map-side aggregate: 32 sums hold two 32-bit counters each, so one row per text
-leaves each task.  A text and its edited text share the words before the cut: the votes of these are counted
-once, those of either end apart, and added up afterwards.
+leaves each task.
 
 All fingerprints within a Hamming radius r are found by permuted block tables: the 64 bits are cut into b
 blocks, at least b - r of which must be equal, so each choice of b - r blocks keys one table and an equal
@@ -55,39 +54,20 @@ def as_hex(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
-def _words(text: str) -> Column:
-    return F.split(F.lower(F.col(text)), SPACE)
-
-
-def _pairs(first: Column, second: Column) -> Column:
-    """array<struct<a, b>>: words and the words after them; b is null for a last word alone."""
-    return F.arrays_zip(first.alias("a"), second.alias("b"))
-
-
-def _votes(rows: DataFrame, keys: list[str], pairs: Column) -> DataFrame:
-    """keys, all (weights), copies (rows that share the keys), v0 to v31 (votes of two bits each)."""
-    terms = rows.select(*keys, F.posexplode(pairs).alias("at", "term"))
+def fingerprints(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, copies (rows that share them) and their fingerprint as a long; rows with equal keys must have equal texts."""
+    words = F.split(F.lower(F.col(text)), SPACE)
+    terms = rows.select(*keys, words.alias("w")).select(*keys, F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", F.lit(2), F.size("w")).alias("b"))).alias("at", "term"))
     weight = F.least(F.octet_length("term.a") + F.coalesce(F.octet_length("term.b"), F.lit(0)), F.lit(15)) + 1
     terms = terms.select(*keys, "at", F.xxhash64("term.a", "term.b").alias("h"), weight.cast("bigint").alias("weight"))
     lane = lambda i: F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(LANES)) * F.col("weight")).alias(f"v{i}")
-    return terms.groupBy(*keys).agg(F.sum("weight").alias("all"), F.count_if(F.col("at") == 0).alias("copies"), *(lane(i) for i in range(32)))
-
-
-def _signs(all_: str, votes: list[str]) -> Column:
-    """The fingerprint as a long: bits whose votes outweigh the rest."""
+    votes = terms.groupBy(*keys).agg(F.sum("weight").alias("all"), F.count_if(F.col("at") == 0).alias("copies"), *(lane(i) for i in range(32)))
     one = F.lit(0).cast("bigint")
-    for i, v in enumerate(votes):
-        low, high = F.col(v).bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(v, 32)
+    for i in range(32):
+        low, high = F.col(f"v{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"v{i}", 32)
         for at, x in ((i, low), (i + 32, high)):
-            one = one.bitwiseOR(F.when(x * 2 > F.col(all_), F.shiftleft(F.lit(1).cast("bigint"), at)).otherwise(F.lit(0).cast("bigint")))
-    return one
-
-
-def fingerprints(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """keys, copies (rows that share them) and their fingerprint as a long; rows with equal keys must have equal texts."""
-    w = rows.select(*keys, _words(text).alias("w"))
-    votes = _votes(w, keys, _pairs(F.col("w"), F.slice("w", F.lit(2), F.size("w"))))
-    return votes.select(*keys, "copies", _signs("all", [f"v{i}" for i in range(32)]).alias("fingerprint"))
+            one = one.bitwiseOR(F.when(x * 2 > F.col("all"), F.shiftleft(F.lit(1).cast("bigint"), at)).otherwise(F.lit(0).cast("bigint")))
+    return votes.select(*keys, "copies", one.alias("fingerprint"))
 
 
 def blocks_for(n: int, radius: int) -> int:
@@ -142,12 +122,11 @@ def followers(ids: DataFrame) -> DataFrame:
 
 
 def _with_edit(rows: DataFrame) -> DataFrame:
-    """doc_id, n_chars, text, kept (the part before the cut), edited_text, edited_sha256 from doc_id, text and start (of the next document)."""
+    """doc_id, n_chars, text, edited_text, edited_sha256 from doc_id, text and start (of the next document)."""
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
-    kept = F.substr("text", F.lit(1), n - quarter)
-    text = F.concat(kept, F.substr("start", F.lit(1), quarter))
-    return rows.select("doc_id", n.cast("bigint").alias("n_chars"), "text", kept.alias("kept"), text.alias("edited_text")).withColumn("edited_sha256", F.sha2("edited_text", 256))
+    text = F.concat(F.substr("text", F.lit(1), n - quarter), F.substr("start", F.lit(1), quarter))
+    return rows.select("doc_id", n.cast("bigint").alias("n_chars"), "text", text.alias("edited_text")).withColumn("edited_sha256", F.sha2("edited_text", 256))
 
 
 def edited(known: DataFrame, order: DataFrame) -> DataFrame:
@@ -163,21 +142,13 @@ def edited(known: DataFrame, order: DataFrame) -> DataFrame:
 
 
 def both_fingerprints(rows: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, copies, own, new: fingerprints of the texts and of the edited texts.
-
-    Kind 0 is the pairs of the words before the cut (but the last, which the cut may go through), kinds 1 and 2 what follows in either text.
-    """
+    """doc_id, n_chars, edited_sha256, copies, own, new: fingerprints of the texts and of the edited texts; rows of one id with other texts are kept apart."""
     keys = ["doc_id", "n_chars", "edited_sha256", "text_hash"]
-    w = rows.select("doc_id", "n_chars", "edited_sha256", F.xxhash64("text").alias("text_hash"), _words("text").alias("w"), _words("edited_text").alias("e"), (F.size(_words("kept")) - 1).alias("c"))
-    rest = lambda x: _pairs(F.slice(x, F.greatest("c", F.lit(1)), F.size(x)), F.slice(x, F.greatest("c", F.lit(1)) + 1, F.size(x)))
-    same = F.greatest(F.col("c") - 1, F.lit(0))
-    kinds = F.array(F.struct(F.lit(0).alias("kind"), _pairs(F.slice("w", F.lit(1), same), F.slice("w", F.lit(2), same)).alias("pairs")), *(F.struct(F.lit(k).alias("kind"), rest(x).alias("pairs")) for k, x in ((1, "w"), (2, "e"))))
-    sides = w.select(*keys, F.explode(kinds).alias("x")).select(*keys, "x.kind", "x.pairs")
-    votes = _votes(sides, [*keys, "kind"], F.col("pairs"))
-    columns = ["all", *(f"v{i}" for i in range(32))]
-    sums = [F.sum(F.when(F.col("kind") != other, F.col(c))).alias(f"{side}_{c}") for side, other in (("own", 2), ("new", 1)) for c in columns]
-    found = votes.groupBy(*keys).agg(F.max(F.when(F.col("kind") == 1, F.col("copies"))).alias("copies"), *sums)
-    return found.select("doc_id", "n_chars", "edited_sha256", "copies", *(_signs(f"{side}_all", [f"{side}_v{i}" for i in range(32)]).alias(side) for side in ("own", "new")))
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited_text").alias("text")))
+    sides = rows.select("doc_id", "n_chars", "edited_sha256", F.xxhash64("text").alias("text_hash"), F.explode(kinds).alias("x")).select(*keys, "x.kind", "x.text")
+    found = fingerprints(sides, [*keys, "kind"])
+    side = lambda k: F.max(F.when(F.col("kind") == k, F.col("fingerprint")))
+    return found.groupBy(*keys).agg(F.max("copies").alias("copies"), side(0).alias("own"), side(1).alias("new")).drop("text_hash")
 
 
 class Fingerprints:

@@ -873,8 +873,8 @@ def test_fingerprints_by_brute_force(spark):
         assert got[i]["near_edited"] == 1 - bin(one ^ edit).count("1") / 64 and got[i]["near_next"] == 1 - bin(one ^ nxt).count("1") / 64
 
 
-def test_votes_counted_in_parts(spark):
-    """Fingerprints from shared and own words are those of the whole texts, wherever the cut goes; rows of one id are told apart."""
+def test_both_fingerprints(spark):
+    """Fingerprints of texts and edited texts side by side are those of each alone, wherever the cut goes; rows of one id are told apart."""
     r = random.Random(13)
     texts = word_texts(60, 14) + ["", " ", "a", "ab", "abc", "a b", " a b ", "word" * 9, "ΑΣ ΑΣΑ ΟΣΟΣ" * 5, "x  " * 7] + ["same start " * 6 + end for end in ("one end", "two end")]
     rows = [(k, t, r.choice(texts)) for k, t in enumerate(texts)] + [(900, "same start " * 6 + end, "zzz") for end in ("one end", "two end")]
