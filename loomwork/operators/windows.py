@@ -6,6 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomwork.storage import Scratch
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Places from 0 within each group, for groups of any size.
+
+    Rows are dealt by ranges of group and order and written; places are counted within a range, and the sums of the
+    ranges before, one row for each group and range, are added.  No task sees more than a range.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = Scratch(spark, "ranks").keep(rows.repartitionByRange(parts, *group, *order).withColumn("_part", F.spark_partition_id()), "dealt")
+    sums = dealt.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sums.select(*(F.col(g).alias(f"_g{k}") for k, g in enumerate(group)), F.col("_part").alias("_p"), (F.sum("_n").over(W.partitionBy(*group).orderBy("_part")) - F.col("_n")).alias("_before"))
+    local = dealt.withColumn("_at", F.row_number().over(W.partitionBy("_part", *group).orderBy(*order)) - 1)
+    same = dealt["_part"] == before["_p"]
+    for k, g in enumerate(group):
+        same &= local[g].eqNullSafe(before[f"_g{k}"])
+    return local.join(before, same).select(*rows.columns, (F.col("_at") + F.col("_before")).cast("bigint").alias(name))
+
 
 def first_k(rows: DataFrame, group: str, order: list[str], k: int) -> DataFrame:
     """The first k rows of each group; the limit is applied before the shuffle as well."""
@@ -14,9 +34,12 @@ def first_k(rows: DataFrame, group: str, order: list[str], k: int) -> DataFrame:
 
 def subsample(rows: DataFrame, group: list[str], order: list[str], most: int) -> DataFrame:
     """At most `most` rows of each group, evenly spaced: those at floor(i * n / most), reckoned in floating point."""
-    here = W.partitionBy(*group)
-    at = F.row_number().over(here.orderBy(*order)).cast("bigint") - 1
-    counted = rows.withColumn("at", at).withColumn("n", F.count(F.lit(1)).over(here))
+    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    counted = ranked(rows, group, order, "at")
+    same = F.lit(True)
+    for g in group:
+        same &= counted[g].eqNullSafe(sizes[g])
+    counted = counted.join(sizes, same).select(*(counted[c] for c in counted.columns), "n")
     step = F.col("n").cast("double") / most
     i = F.ceil(F.col("at") / step)
     # at is chosen if some i < most has floor(i * step) = at; i is the first whole number with i * step >= at.
@@ -25,7 +48,7 @@ def subsample(rows: DataFrame, group: list[str], order: list[str], most: int) ->
 
 
 def reindexed(rows: DataFrame, group: str, order: list[str], name: str = "chunk_index") -> DataFrame:
-    return rows.withColumn(name, F.row_number().over(W.partitionBy(group).orderBy(*order)).cast("bigint") - 1)
+    return ranked(rows, [group], order, name)
 
 
 def sound_spans(silent: DataFrame, key: str, start: str, end: str, duration: str) -> DataFrame:
@@ -75,4 +98,4 @@ def rate_usage(events: DataFrame, key: str, ts: str, tokens: str, seconds: int =
 
 def bounded_batches(rows: DataFrame, order: list[str], group: str, size: int) -> DataFrame:
     """Batches of `size` rows within each group, in order; the last may be smaller."""
-    return rows.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(group).orderBy(*order)) - 1) / size).cast("bigint"))
+    return ranked(rows, [group], order, "batch").withColumn("batch", F.floor(F.col("batch") / size).cast("bigint"))

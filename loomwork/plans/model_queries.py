@@ -10,7 +10,7 @@ from loomwork.functions import text as T
 from loomwork.operators import models as M
 from loomwork.plans.base import Tables, pages, query
 from loomwork.storage import Scratch
-from loomwork.streaming.incremental import ingest_new
+from loomwork.streaming.incremental import ingest_new, ingested
 
 
 @query()
@@ -41,4 +41,4 @@ def streaming_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "stream")
     for _ in range(2):
         ingest_new(spark, f"{sf_dir}/events.parquet*", schema, f"{scratch.root}/target", f"{scratch.root}/checkpoint", "event_id")
-    return spark.read.schema(schema).parquet(f"{scratch.root}/target")
+    return ingested(spark, f"{scratch.root}/target", schema)

@@ -165,12 +165,15 @@ def last_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {PAGES}, k AS (SELECT doc_id, list(substring(content, 1, 20) ORDER BY page_number)[1:50] AS points, list_sort(list_distinct(list(substring(content, 1, 3))))[1:30] AS topics FROM pages_of GROUP BY doc_id)
-SELECT doc_id, CAST(len(points) AS BIGINT) AS n_points, sha256(array_to_string(points, '|')) AS points_sha, array_to_string(topics, '|') AS topics FROM k"""
+    f"""WITH {PAGES}, s AS (SELECT doc_id, page_number, sha256(content) AS s FROM pages_of)
+SELECT doc_id, CAST(len(p[:50]) AS BIGINT) AS n_points, sha256(array_to_string(p[:50], '|')) AS points_sha, array_to_string(t[:30], '|') AS topics
+FROM (SELECT doc_id, list(substr(s, 1, 20) ORDER BY page_number) AS p, list_sort(list(DISTINCT substr(s, 1, 3))) AS t FROM s GROUP BY doc_id)"""
 )
 def asset_context_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 50 key points of each document in page order and its 30 first topics in order (the limits are the feature)."""
-    rows = pages(Tables(spark, sf_dir)).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_number", F.substring("content", 1, 20).alias("point")))).alias("p"), F.sort_array(F.collect_set(F.substring("content", 1, 3))).alias("t"))
+    """The first 50 key points of each document in page order and its 30 first topics in order (the limits are the feature); parts of whole pages' digests stand for a model's points and topics."""
+    sha = F.sha2("content", 256)
+    told = pages(Tables(spark, sf_dir)).select("doc_id", "page_number", F.substring(sha, 1, 20).alias("point"), F.substring(sha, 1, 3).alias("topic"))
+    rows = told.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_number", "point"))).alias("p"), F.sort_array(F.collect_set("topic")).alias("t"))
     points = R.top_slice(F.transform("p", lambda x: x["point"]), 50)
     return rows.select("doc_id", big(F.size(points)).alias("n_points"), F.sha2(F.array_join(points, "|"), 256).alias("points_sha"), F.array_join(R.top_slice(F.col("t"), 30), "|").alias("topics"))
 

@@ -130,16 +130,16 @@ def fusion_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {PAGES}, items AS (
-  SELECT doc_id, page_number, 0 AS lane, '[page ' || page_number || ' — text summary]' || chr(10) || trim(substring(content, 1, 60)) AS item FROM pages_of WHERE trim(substring(content, 1, 60)) <> ''
+  SELECT doc_id, page_number, 0 AS lane, '[page ' || page_number || ' — text summary]' || chr(10) || sha256(trim(content)) AS item FROM pages_of WHERE trim(content) <> ''
   UNION ALL SELECT doc_id, CASE WHEN quality = 1 THEN 1 END, 1, '[' || CASE WHEN quality = 1 THEN 'page 1' ELSE 'page (unknown)' END || ' — image]' || chr(10) || 'label ' || toxic FROM labels)
 SELECT doc_id, count(*) AS n_items, CAST(sum(1 - lane) AS BIGINT) AS n_text, CAST(sum(lane) AS BIGINT) AS n_vision, sha256(string_agg(item, chr(10) ORDER BY page_number NULLS LAST, lane, item)) AS items_sha FROM items GROUP BY doc_id"""
 )
 def fusion_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page summaries and captions of each document in page order, missing pages last."""
+    """Page summaries and captions of each document in page order, missing pages last.  The digest of a whole page stands for its summary, so no text is shuffled."""
     t = Tables(spark, sf_dir)
-    head = F.trim(F.substring("content", 1, 60))
+    head = F.sha2(F.trim("content"), 256)
     label = lambda p, what: F.concat(F.lit("["), p, F.lit(f" — {what}]\n"))
-    text = pages(t).where(head != "").select("doc_id", F.col("page_number").alias("page"), F.lit(0).alias("lane"), F.concat(label(F.concat(F.lit("page "), F.col("page_number").cast("string")), "text summary"), head).alias("item"))
+    text = pages(t).where(F.trim("content") != "").select("doc_id", F.col("page_number").alias("page"), F.lit(0).alias("lane"), F.concat(label(F.concat(F.lit("page "), F.col("page_number").cast("string")), "text summary"), head).alias("item"))
     known = F.coalesce(F.col("quality") == 1, F.lit(False))
     image = t.labels.select("doc_id", F.when(known, F.lit(1).cast("bigint")).alias("page"), F.lit(1).alias("lane"), F.concat(label(F.when(known, "page 1").otherwise("page (unknown)"), "image"), F.lit("label "), F.col("toxic").cast("string")).alias("item"))
     order = F.struct(F.coalesce("page", F.lit(2**62)).alias("page"), "lane", "item")

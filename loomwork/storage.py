@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import AbstractContextManager, contextmanager
@@ -27,12 +28,42 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _own_root(spark: SparkSession) -> str:
+    """The folder of a session's scratch tables; it goes when the driver ends.  What a driver that was killed leaves, sweep() deletes."""
+    name = f"loomwork-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+    return name
+
+
+def sweep(spark: SparkSession, days: float) -> list[str]:
+    """Deletes scratch folders of other sessions to which nothing was added for so many days; returns their names.
+
+    A session that may run longer than that must not be swept: its results may still read its tables.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    own, gone = f"loomwork-{spark.sparkContext.applicationId}", []
+    for status in system.listStatus(root) if system.exists(root) else ():
+        name = status.getPath().getName()
+        if name.startswith("loomwork-") and name != own and status.getModificationTime() < (time.time() - days * 86_400) * 1000:
+            system.delete(status.getPath(), True)
+            gone.append(name)
+    return gone
+
+
 class Scratch:
-    """Tables that one run of an operator writes under the shared folder and rereads."""
+    """Tables that one run of an operator writes under the shared folder and rereads.
+
+    drop() deletes what a result no longer reads; the rest goes with the driver.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.root = f"{shared_dir(spark)}/{_own_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
         self.written: dict[str, list[str]] = {}
 

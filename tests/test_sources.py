@@ -143,7 +143,7 @@ def test_stream_resumes(spark, tmp_path):
     frame([(2, "again"), (3, "c")]).write.mode("append").parquet(src)
     for _ in range(2):
         S.ingest_new(spark, src, schema, target, check, "k")
-    assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    assert sorted(map(tuple, S.ingested(spark, target, schema).collect())) == [(1, "a"), (2, "b"), (3, "c")]
 
 
 def test_stream_limiter(spark, tmp_path):
@@ -172,10 +172,55 @@ def test_report(spark):
     grid = spark.createDataFrame([("a", "stage3", 3, 2, "in_progress", 667)], "dataset string, stage string, applicable bigint, done bigint, state string, permille bigint")
     made = R.build(rollup, grid, "2024-01-01T00:00:00Z")
     assert json.loads(R.as_json(made))["datasets"][0]["stages"]["stage3"]["done"] == 2
-    assert "| a | 3 | 66.7% |" in R.as_markdown(made) and "$2.00" in R.as_markdown(made) and "a: 1 documents" in R.as_html(made)
+    assert "| a | 3 | ◐ 2/3 66.7% | $2.00 |" in R.as_markdown(made) and "**$2.00** spent" in R.as_markdown(made) and "a: 1 documents" in R.as_html(made)
     assert R.human_bytes(None) == "n/a" and R.human_bytes(1536) == "1.5 KB" and R.percent(None) == "n/a"
 
 
+def test_dashboards(spark):
+    """Warnings, tiles, grid and cards, in both forms; what a rollup lacks is left out."""
+    rollup = spark.createDataFrame([("a<b", 3, 1, 9, 5000, 2_000_000_000, 1), ("c", 2, 0, 4, 70, 500_000_000, 0), (None, 5, 1, 13, 5070, 2_500_000_000, 1)], "dataset string, docs bigint, docs_error bigint, pages bigint, chars bigint, cost_nano bigint, quarantined bigint")
+    grid = spark.createDataFrame([("a<b", "stage3", 3, 2, "in_progress", 667), ("a<b", "stage4", 0, 0, "n/a", None), ("c", "stage3", 2, 2, "done", 1000), ("c", "stage4", 2, 0, "not_started", 0), (None, "stage3", 5, 4, "in_progress", 800)], "dataset string, stage string, applicable bigint, done bigint, state string, permille bigint")
+    coverage = spark.createDataFrame([("a<b", 4, 3, 1, 2, 1, 750), (None, 4, 3, 1, 2, 1, 750)], "dataset string, has_visual bigint, embedded bigint, not_embedded bigint, embed_errors bigint, docs_with_gap bigint, permille bigint")
+    projected = spark.createDataFrame([("c", 300_000_000), (None, 300_000_000)], "dataset string, projected_nano bigint")
+    made = R.build(rollup, grid, "2024-01-01T00:00:00Z", coverage=coverage, projected=projected)
+    assert len(made["warnings"]) == 2 and "3 of 4 assets (75.0%), 1 documents with gaps, 2 errors" in made["warnings"][0]
+    text, page = R.as_markdown(made), R.as_html(made)
+    assert text.index("> a<b: vision") < text.index("## Corpus") < text.index("## Progress") < text.index("### a<b") < text.index("### c")
+    assert "| a<b | 3 | ◐ 2/3 66.7% | – | $2.00 |" in text and "| c | 2 | ✔ 2/2 100.0% | ○ 0/2 0.0% | $0.50 |" in text and "| **all** | 5 | ◐ 4/5 80.0% | – | $2.50 |" in text
+    assert "- **$2.50** spent (about $0.30 to finish)" in text and "- documents: 3, 1 with errors" in text and "- vision embeddings: 3 of 4 (75.0%), 1 documents with gaps" in text
+    assert page.count("class='tile'") == 5 and page.count("class='card'") == 2 and page.count("class='warning'") == 2 and "a&lt;b" in page and "a<b" not in page and "width:66.7%" in page and "<script" not in page
+    few = R.build(rollup.select("dataset", "docs"), grid.limit(0), "t")
+    assert "n/a" in R.as_markdown(few) and R.as_html(few).count("class='tile'") == 2
+
+
+def test_scratch_is_swept(spark, tmp_path):
+    import os
+
+    from loomwork.storage import Scratch, shared_dir, sweep
+
+    here = shared_dir(spark).removeprefix("file://")
+    kept = Scratch(spark, "kept").keep(spark.range(3))
+    old, young = f"{here}/loomwork-old-app", f"{here}/loomwork-young-app"
+    for p in (old, young):
+        os.makedirs(p, exist_ok=True)
+    os.utime(old, (0, 0))
+    assert sweep(spark, 30) == ["loomwork-old-app"] and not os.path.exists(old) and os.path.exists(young) and kept.count() == 3
+    os.rmdir(young)
+
+
+def test_blobs_are_copied(spark, tmp_path):
+    from loomwork.sources import blobs as B
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.pdf").write_bytes(b"12345")
+    plan = spark.createDataFrame([(1, "source.pdf", "upload", "a.pdf"), (1, "ocr/page-1.png", "placeholder_blank", None), (2, "ocr/page-1.png", "placeholder_redacted", None), (2, "source.pdf", "upload", "gone.pdf"), (3, "x", "upload", None)], "doc_id bigint, artifact string, action string, source_path string")
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        got = {(r["action"]): (r["copied"], r["missing"], r["bytes"]) for r in B.flushed(B.copy_blobs(plan, out, str(tmp_path / "in"))).collect()}
+        assert got["upload"] == (1, 2, 5) and got["placeholder_blank"][:2] == (1, 0) and got["placeholder_redacted"][:2] == (1, 0)
+    assert (tmp_path / "out" / "1" / "source.pdf").read_bytes() == b"12345" and (tmp_path / "out" / "2" / "ocr" / "page-1.png").read_bytes()[:4] == b"\x89PNG"
+
+
 def test_shared_dir(spark, monkeypatch):
     from types import SimpleNamespace
 
