@@ -972,10 +972,21 @@ def test_pipeline_by_plain_versions(spark, tmp_path):
 
 
 def test_pipeline_odd_rows(spark, odd, labels, tmp_path):
+    """Nothing is toxic for want of labels; texts without a letter go; of equal texts the smallest id stays, rows without an id all; each is taken twice, up to the sources' limits, in the order of the schedule."""
     import corpus_pipeline as C
 
     labels.write.parquet(str(tmp_path / "labels.parquet"))
-    for d in (odd, odd.limit(0)):
-        for _, stage in C.STAGES:
-            d = stage(spark, d, str(tmp_path))
-            d.collect()
+    d, kept = odd, {}
+    for name, stage in C.STAGES:
+        d = stage(spark, d, str(tmp_path))
+        kept[name] = [r["doc_id"] for r in d.collect()]
+    some = lambda name: sorted(-1 if i is None else i for i in kept[name])
+    assert some("toxicity") == sorted(-1 if i is None else i for i, _ in ODD)
+    assert some("language_id") == [-1, 4, 5, 5, 6, 7]
+    assert some("near_dedup") == [-1, 4, 6, 7]
+    assert set(some("source_mix")) == {-1, 4, 6, 7} and max(map(some("source_mix").count, (-1, 4, 6, 7))) <= 2
+    assert some("byte_bpe") == some("source_mix")
+    none = odd.limit(0)
+    for name, stage in C.STAGES:
+        none = stage(spark, none, str(tmp_path))
+        assert none.count() == 0, name
