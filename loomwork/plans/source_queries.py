@@ -212,6 +212,17 @@ def deterministic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).documents.select("doc_id", ids.document_uuid(F.col("source"), F.col("text")).alias("id"))
 
 
+@query("SELECT 'emb/' || vec_id AS embedding_ref, 'image-vectors' AS model, 'v' || (vec_id % 2) AS version, CAST(len(embedding) AS BIGINT) AS dim, embedding[1]::DOUBLE AS first_value FROM embeddings")
+def image_vector_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image vectors written in two runs and read again with what they were made by."""
+    rows = Tables(spark, sf_dir).embeddings.select("vec_id", F.concat(F.lit("emb/"), "vec_id").alias("embedding_ref"), F.col("embedding").alias("vector"))
+    out = f"{Scratch(spark, 'image-vectors').root}/vectors"
+    for k in (0, 1):
+        L.write_image_vectors(rows.where(F.col("vec_id") % 2 == k), out, "image-vectors", f"v{k}")
+    found = spark.read.schema("embedding_ref string, embedding_model string, model_version string, dim int, vector array<float>").parquet(out)
+    return found.select("embedding_ref", F.col("embedding_model").alias("model"), F.col("model_version").alias("version"), big("dim").alias("dim"), F.get("vector", F.lit(0)).cast("double").alias("first_value"))
+
+
 @query("SELECT doc_id, lang, n_chars, filehash FROM (SELECT doc_id, lang, n_chars, sha256(text) AS filehash FROM documents)")
 def plan_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A plan written as JSON lines and read again with its schema."""

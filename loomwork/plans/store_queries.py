@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomwork.config import Embed
 from loomwork.functions import text as T
 from loomwork.operators import dedup as D
+from loomwork.sources.package import vector_literal
 from loomwork.plans.base import Tables, big, query
 
 
@@ -77,13 +78,13 @@ def vector_shard_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.groupBy(T.shard(F.col("content_sha")).alias("shard")).agg(F.count(F.lit(1)).alias("n_vectors"), F.sum(F.size("embedding")).alias("n_floats"))
 
 
-@query()
+@query(f"WITH {STORE_SQL} SELECT content_sha, CAST(len(embedding) AS BIGINT) AS dims, 'other' AS target, true AS same FROM store")
 def vector_literal_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors as [v,v,...] texts, routed by their dimension; float texts differ between engines, so rows only."""
+    """Vectors as [v,v,...] texts, routed by their dimension; float texts differ between engines, so the texts are read again and held against the vectors."""
     s = _store(Tables(spark, sf_dir))
-    literal = F.concat(F.lit("["), F.array_join(F.transform("embedding", lambda v: v.cast("double").cast("string")), ","), F.lit("]"))
+    read = F.transform(F.from_json(vector_literal(F.col("embedding")), "array<double>"), lambda v: v.cast("float"))
     dims = big(F.size("embedding"))
-    return s.select("content_sha", dims.alias("dims"), F.when(dims == Embed.dims, "embedding").when(dims == 3072, "embedding_large").otherwise("other").alias("target"), literal.alias("literal"))
+    return s.select("content_sha", dims.alias("dims"), F.when(dims == Embed.dims, "embedding").when(dims == 3072, "embedding_large").otherwise("other").alias("target"), (read == F.col("embedding")).alias("same"))
 
 
 @query(f"WITH {STORE_SQL}, child AS (SELECT doc_id, sha256(CAST(doc_id AS VARCHAR)) AS content_sha FROM documents) SELECT doc_id, content_sha FROM child c WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.content_sha = c.content_sha)")

@@ -77,6 +77,11 @@ def read_image_vectors(spark: SparkSession, path: str, default_model: str = "ima
     return rows.select("path", F.coalesce("embedding_model", F.lit(default_model)).alias("model"), F.coalesce("dim", F.size("vector")).alias("dim"), "vector")
 
 
+def write_image_vectors(vectors: DataFrame, path: str, model: str, version: str) -> None:
+    """Appends image vectors (embedding_ref, vector) with their model, version and dimension; all of a run go to a few files instead of one for each."""
+    vectors.select("embedding_ref", F.lit(model).alias("embedding_model"), F.lit(version).alias("model_version"), F.size("vector").alias("dim"), "vector").write.mode("append").parquet(path)
+
+
 def occurrence_rows(rows: DataFrame) -> DataFrame:
     """Image occurrences with -1 for page, time or frame that isn't a whole number."""
     number = lambda c: F.coalesce(F.col(c).cast("string").try_cast("int"), F.lit(-1)).alias(c)
