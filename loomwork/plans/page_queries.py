@@ -11,7 +11,7 @@ from loomwork.functions import parse as J
 from loomwork.operators import geometry as G
 from loomwork.operators import models as P
 from loomwork.operators import routing as R
-from loomwork.plans.base import Tables, big, query
+from loomwork.plans.base import PAGES, Tables, big, pages, query
 
 # -- boxes -------------------------------------------------------------------------------------------
 
@@ -244,7 +244,7 @@ class FileService:
         return {"status": "in_progress"} if self.jobs[batch_id] < 3 else {"status": "completed", "output": f"{self.out}/{batch_id}"}
 
 
-BATCH_SQL = "WITH p AS (SELECT doc_id, unnest(range(1, doc_id % 15 + 2)) AS page, 'page of ' || lang || ' in ' || source AS text FROM documents)"
+BATCH_SQL = f"WITH {PAGES}, p AS (SELECT doc_id, page_number AS page, content AS text FROM pages_of)"
 
 
 @query(f"{BATCH_SQL} SELECT doc_id AS doc, page, CASE WHEN page % 11 <> 0 AND page % 13 <> 0 THEN CAST(length(text) AS VARCHAR) END AS result, CASE WHEN page % 11 = 0 THEN 'filtered' WHEN page % 13 = 0 THEN 'error' ELSE 'ok' END AS status FROM p")
@@ -252,7 +252,7 @@ def batch_job_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages sent as batch jobs: what fails goes again in the next round, what is refused doesn't."""
     from loomwork.storage import Scratch
 
-    rows = Tables(spark, sf_dir).documents.select("doc_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("doc_id") % 15 + 1)).alias("page"), F.concat(F.lit("page of "), "lang", F.lit(" in "), "source").alias("text"))
+    rows = pages(Tables(spark, sf_dir)).select("doc_id", F.col("page_number").alias("page"), F.col("content").alias("text"))
     out = Scratch(spark, "batch-files").root
     return P.batch_rounds(rows, FileService(spark, f"{out}/answers"), "doc_id", "page", "text", out, rounds=3, interval=0.0)
 
@@ -260,7 +260,7 @@ def batch_job_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{BATCH_SQL} SELECT doc_id, page, CASE page % 4 WHEN 0 THEN 'rotated' WHEN 1 THEN 'rotated,content_filtered' WHEN 2 THEN 'rotated,summary_error' ELSE 'rotated' END AS flags FROM p")
 def page_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's flags after a run: stale marks go, a refusal or failure leaves its own."""
-    rows = Tables(spark, sf_dir).documents.select("doc_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("doc_id") % 15 + 1)).alias("page"))
+    rows = pages(Tables(spark, sf_dir)).select("doc_id", F.col("page_number").alias("page"))
     before = F.when(F.col("page") % 2 == 0, F.array(F.lit("rotated"), F.lit("content_filtered"))).otherwise(F.array(F.lit("summary_error"), F.lit("rotated")))
     status = F.when(F.col("page") % 4 == 1, "filtered").when(F.col("page") % 4 == 2, "error").otherwise("ok")
     return rows.select("doc_id", "page", F.array_join(P.page_state(before, status), ",").alias("flags"))

@@ -192,7 +192,7 @@ def parent_child_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MEDIA_CHUNKS_SQL = f"""WITH RECURSIVE parts AS (
   SELECT conv_id AS asset, 0 AS list, turn AS place, '[' || printf('%02d:%02d:%02d', turn * 120 // 3600, turn * 120 % 3600 // 60, turn * 120 % 60) || ']' AS section, 'transcript' AS kind, turn * 120000 AS start_ms, turn * 120000 + 120000 AS end_ms, role AS speaker, text FROM conversations WHERE trim(text) <> ''
-  UNION ALL SELECT doc_id, 1, 0, 'caption', CASE WHEN doc_id % 3 = 0 THEN 'image_caption' ELSE 'summary' END, NULL, NULL, NULL, 'A caption of ' || lang || '.' || chr(10) || chr(10) || trim(text) FROM documents WHERE doc_id % 50 = 0),
+  UNION ALL SELECT doc_id, 1, 0, 'caption', CASE WHEN doc_id % 3 = 0 THEN 'image_caption' ELSE 'summary' END, NULL, NULL, NULL, 'A caption of ' || lang || '.' || chr(10) || chr(10) || trim(text) FROM documents WHERE trim(text) <> ''),
 {pack_sql("parts", "text", "asset", "list", "place")},
 n AS (SELECT m.*, q.section, q.kind, q.start_ms, q.end_ms, q.speaker, '[Context: This excerpt is from ' || m.asset || ', case/set. Section: ' || q.section || '.]' AS context_prefix FROM made m JOIN parts q ON q.asset = m.asset AND q.list = m.list AND q.place = m.place)
 SELECT asset, section, kind AS chunk_kind, start_ms, end_ms, speaker, dense_rank() OVER (PARTITION BY asset ORDER BY list, place, p) - 1 AS parent_index, row_number() OVER (PARTITION BY asset ORDER BY list, place, p, c) - 1 AS chunk_index, CAST(c AS BIGINT) AS child_index, text,
@@ -202,7 +202,7 @@ SELECT asset, section, kind AS chunk_kind, start_ms, end_ms, speaker, dense_rank
 def _media_children(t: Tables) -> DataFrame:
     start = (F.col("turn") * 120).cast("double")
     windows = t.conversations.select(F.col("conv_id").alias("asset"), F.col("turn").alias("index"), start.alias("start_s"), (start + 120).alias("end_s"), F.col("role").alias("speaker"), "text")
-    captions = t.documents.where("doc_id % 50 = 0").select(F.col("doc_id").alias("asset"), F.when(F.col("doc_id") % 3 == 0, "image").otherwise("video").alias("kind"), F.concat(F.lit("A caption of "), "lang", F.lit(".")).alias("caption"), F.col("text").alias("description"))
+    captions = t.documents.where(F.trim(F.coalesce("text", F.lit(""))) != "").select(F.col("doc_id").alias("asset"), F.when(F.col("doc_id") % 3 == 0, "image").otherwise("video").alias("kind"), F.concat(F.lit("A caption of "), "lang", F.lit(".")).alias("caption"), F.col("text").alias("description"))
     packed = K.pack_documents(M.chunk_parts(windows, captions), ["asset"])
     return K.with_identity(packed.withColumn("case_key", F.lit("case")).withColumn("dataset_key", F.lit("set")), "asset", "case_key", "dataset_key")
 

@@ -111,3 +111,29 @@ def test_coverage_and_the_guard(spark):
     assert P.full_coverage(children.where("doc_id = 'e'"), seen).count() == 1
     with pytest.raises(Exception, match="no vector"):
         P.full_coverage(children, seen).collect()
+
+
+def test_small_column_functions(spark):
+    from loomwork.functions import ids
+    from loomwork.functions import media as FM
+    from loomwork.operators import geometry as G
+
+    one = spark.range(1)
+    assert one.select(ids.vector_ref(F.lit("doc/artifacts/p1-2.png"))).first()[0] == "doc/embeddings/p1-2.emb.json"
+    box = F.struct(*(F.lit(v).alias(k) for k, v in (("x0", 20.0), ("y0", 40.0), ("x1", 60.0), ("y1", 80.0))))
+    assert tuple(one.select(G.points(box, F.lit(2.0), F.lit(5.0), F.lit(1.0)).alias("b")).first()["b"]) == (15.0, 21.0, 35.0, 41.0)
+    answer = F.struct(F.array(F.lit("k")).alias("key_points"), F.array().alias("entities"), F.array(F.lit("t")).alias("topics"))
+    made = one.select(FM.summary_json(answer, F.lit(True), F.lit(False), F.lit(7), F.lit(3)).alias("s")).first()["s"].asDict()
+    assert made == {"key_points": ["k"], "entities": [], "topics": ["t"], "low_confidence": True, "truncated": False, "input_token_count": 7, "output_token_count": 3}
+
+
+def test_store_resolution(spark, tmp_path):
+    from loomwork.sources import discovery as D
+
+    root = str(tmp_path)
+    assert D.store_candidates("/d", ["IMAGES", "VOL1/IMAGES"], "/x", "/c") == ["/x", "/d/.embeddings", "/d/IMAGES/.embeddings", "/d/VOL1/IMAGES/.embeddings", "/c/.embeddings"]
+    candidates = D.store_candidates(f"{root}/set", ["IMAGES"], corpus_root=root)
+    assert D.first_existing(spark, candidates) is None
+    for made, found in ((f"{root}/.embeddings", f"{root}/.embeddings"), (f"{root}/set/IMAGES/.embeddings", f"{root}/set/IMAGES/.embeddings"), (f"{root}/set/.embeddings", f"{root}/set/.embeddings")):
+        (tmp_path / made).mkdir(parents=True)
+        assert D.first_existing(spark, candidates) == found
