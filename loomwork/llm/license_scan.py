@@ -207,3 +207,30 @@ class LicenseScan:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds))], names=["doc_id", *names])
 
         return docs.mapInArrow(run, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double")
+
+
+def oracle_sql(templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES, threshold: float = 0.8) -> str:
+    """The same scan as SQL: phrases by position, and for each template all windows that start at one of its words."""
+    quoted = lambda words: "[" + ", ".join("'" + w.decode() + "'" for w in words) + "]"
+    tokens = {label: sorted(set(words_of(text))) for label, text in templates.items()}
+    rows = [f"('{label}', {quoted(t)}, {len(t)}, {max(1, ceil(threshold * len(t) - 1e-9))}, {max(2 * len(t), len(words_of(templates[label])))})" for label, t in tokens.items()]
+    at = [f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1:i + {len(words_of(p))}] = {quoted(words_of(p))})) AS pos FROM words" for p, label in phrases.items()]
+    return rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+places AS ({" UNION ALL ".join(at)}),
+base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM places GROUP BY doc_id),
+templates(label, tokens, size, need, width) AS (VALUES {", ".join(rows)}),
+token AS (SELECT label, unnest(tokens) AS word, size, need, width FROM templates),
+hits AS (SELECT doc_id, label, pos, h.word, size, need, width FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM words) h JOIN token USING (word)),
+likely AS (SELECT doc_id, label FROM hits GROUP BY doc_id, label, need HAVING count(DISTINCT word) >= need),
+near AS (SELECT h.* FROM hits h JOIN likely USING (doc_id, label)),
+windows AS (SELECT a.doc_id, a.label, a.pos, a.size, a.need, count(DISTINCT b.word) AS shared FROM near a JOIN near b ON a.doc_id = b.doc_id AND a.label = b.label AND b.pos >= a.pos AND b.pos < a.pos + a.width GROUP BY ALL),
+found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(shared / size::DOUBLE) AS score FROM windows WHERE shared >= need GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, array_to_string(coalesce(b.labels, []), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ',') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(f.score, 0.0::DOUBLE) END AS score
+FROM words w LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
+
+
+ORACLE_SQL = oracle_sql()

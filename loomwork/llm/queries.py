@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import chat_format, source_mix, topk
+from loomwork.llm import chat_format, license_scan, near_dedup, source_mix, topk
 from loomwork.llm.byte_bpe import ByteBpe
 from loomwork.llm.chat_format import ChatFormat
 from loomwork.llm.fingerprint import Fingerprints
@@ -91,5 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": chat_format.ORACLE_SQL,
     "op4_topk": topk.ORACLE_SQL,
+    "op5_near_dedup": near_dedup.ORACLE_SQL,
+    "op6_license_scan": license_scan.ORACLE_SQL,
     "op7_source_mix": source_mix.ORACLE_SQL,
 }
