@@ -54,7 +54,9 @@ SIGN_IN_WORD = re.compile(r"[013457@$!]{1,2}(?=[a-z])|(?<=[a-z])[01345@](?![\w@$
 #: Digits that may be letters or numbers, in each further reading, where they touch a letter.
 UNSURE = re.compile(r"(?<=[^\W\d_])[2689]{1,2}|[2689]{1,2}(?=[^\W\d_])")
 READINGS = (str.maketrans("2689", "zgbg"), str.maketrans("2689", "zbbg"))
-NO_LETTER = regex.compile(r"[^\p{L}\p{M}]")
+NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
+#: What isn't a letter; the second, slower one for texts with marks (vowel signs and the like), which are parts of words, or with signs that count as digits.
+NO_LETTER, NO_LETTER_OR_MARK = re.compile(r"[\W\d_]"), regex.compile(r"[^\p{L}\p{M}]")
 
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "circus clown", "pathetic fallacy", "pond scum")
 
@@ -76,9 +78,12 @@ LETTERS = bytes(c if 97 <= c <= 122 else 32 for c in range(256)).replace(b"l", b
 def _letters(t: str) -> str:
     """Words of letters (l is written i) between single or repeated spaces, with a space at both ends."""
     t = SIGN_IN_WORD.sub(lambda m: m[0].translate(SIGN), t)
-    if t.isascii():
-        return " " + t.encode("ascii").translate(LETTERS).decode("ascii") + " "
-    return " " + NO_LETTER.sub(" ", t).replace("l", "i") + " "
+    if not t.isascii():
+        others = set("".join(NOT_ASCII.findall(t)))
+        marks = any(unicodedata.category(c)[0] == "M" or c.isalnum() and not c.isalpha() for c in others)
+        if marks or any(c.isalpha() for c in others):
+            return " " + (NO_LETTER_OR_MARK if marks else NO_LETTER).sub(" ", t).replace("l", "i") + " "
+    return " " + t.encode("ascii", "replace").translate(LETTERS).decode("ascii") + " "
 
 
 def readings(text: str | None) -> list[str]:
@@ -86,7 +91,7 @@ def readings(text: str | None) -> list[str]:
     t = (text or "").lower()
     if not t.isascii():
         t = t.translate(TO_LATIN)
-    if not UNSURE.search(t):
+    if not ("2" in t or "6" in t or "8" in t or "9" in t) or not UNSURE.search(t):
         return [_letters(t)]
     return list(dict.fromkeys([_letters(t), *(_letters(UNSURE.sub(lambda m: m[0].translate(r), t)) for r in READINGS)]))
 

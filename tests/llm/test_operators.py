@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from itertools import combinations
@@ -102,6 +103,9 @@ def test_readings():
     assert ["garbage"] in words("gar8age") and ["dumb"] in words("dum8") and ["disgusting"] in words("disgustin9")
     assert ["garbage"] in words("6arbage") and ["bad"] in words("6ad") and ["zap"] in words("2ap")
     assert words("page 26 of 98") == [["page", "of"]] and len({len(x) for x in toxicity.readings("a 6ad ma99ot, v2 é8")}) == 1
+    for text in ("m² ß", "½ß", "हिन्दी ß x٣", "ⅷ ß", "naïve ß·ß", "²"):
+        t = text.lower().translate(toxicity.TO_LATIN)
+        assert toxicity.fold(text) == " " + "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in t).replace("l", "i") + " ", text
     assert toxicity.fold("дурной, 悪い言葉! ok").split() == ["дyphoй", "悪い言葉", "ok"]
 
 
