@@ -21,7 +21,7 @@ def plan_of(df):
 
 
 @pytest.mark.parametrize(
-    "name", ["truncate_flag", "needs_vision_routing", "safety_verdict_ladder", "doc_safety_rollup", "blob_action_plan", "collector_digest_wide", "dataset_corpus_rollup", "plan_aggregation_status_histogram", "metadata_bag", "resume_anti_join", "store_membership"]
+    "name", ["truncate_flag", "needs_vision_routing", "safety_verdict_ladder", "doc_safety_rollup", "blob_action_plan", "collector_digest_wide", "dataset_corpus_rollup", "plan_aggregation_status_histogram", "metadata_bag", "resume_anti_join", "store_membership", "ingest_page_rows", "ingest_blobs", "ingest_plan", "vision_run", "summaries_run", "fusion_interleave", "blob_manifest_by_document"]
 )
 def test_no_text_is_shuffled_for_a_join(shuffled, name):
     lines = plan_of(catalogue.QUERIES[name](shuffled, SF)).split("\n")
@@ -32,6 +32,12 @@ def test_no_text_is_shuffled_for_a_join(shuffled, name):
             assert not made or not re.search(r"(^|, )(text|content)#\d+", made[1]), (name, below[:200])
 
 
+def test_chunks_are_numbered_without_a_shuffle(spark):
+    """One exchange at most, which deals a single-split input out before the packing; no window, no sort."""
+    plan = plan_of(catalogue.QUERIES["parent_child_chunks"](spark, SF))
+    assert plan.count("Exchange") <= 1 and not re.search("Window|Sort|Join", plan) and plan.count("MapInArrow") == 1
+
+
 def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan_of(catalogue.QUERIES["resume_anti_join"](spark, SF))
     assert "content_sha" not in plan_of(catalogue.QUERIES["vector_shard_histogram"](spark, SF)).split("FileScan")[1]
