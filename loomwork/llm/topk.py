@@ -217,6 +217,7 @@ class TopK:
         floors = first.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).select("query_id", F.get("s", F.lit(k - 1)).alias("floor"))
         floors = scratch.keep(one.join(floors, one["vec_id"] == F.col("query_id"), "left").select("dim", "vec_id", "v", F.coalesce("floor", low).alias("floor")), "floors")
         found = scratch.keep(self._grid(candidates, floors, columns, groups), "found")
+        scratch.drop("floors")
         # Equal rows of a query's own id are candidates too, but for the query itself.
         again = one.where("n > 1").select(F.col("vec_id").alias("query_id"), "vec_id", F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x * x).alias("score"), F.explode(F.sequence(F.lit(2), F.least("n", F.lit(k + 1).cast("bigint")).cast("int"))).alias("_"))
         rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
