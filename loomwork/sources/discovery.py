@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomwork.functions import ids
+from loomwork.storage import Scratch
 
 PDF = "*.[pP][dD][fF]"
 # Directories that never hold source documents.
@@ -103,3 +104,17 @@ def purge_plan(files: DataFrame, folder: str = "pages") -> DataFrame:
     """What a purge of page renders would delete, by directory: files and bytes.  Nothing is deleted."""
     inside = files.where(F.exists(F.split("path", "/"), lambda p: p == folder))
     return inside.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("directory")).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+
+
+def purge(files: DataFrame, folder: str = "pages", delete: bool = False) -> DataFrame:
+    """The purge plan with whether each directory was deleted.  Only with delete=True is anything deleted: the directories of that name, whole, one after the other from the driver; run again, it deletes what is left."""
+    plan = purge_plan(files, folder)
+    if not delete:
+        return plan.withColumn("deleted", F.lit(False))
+    spark = files.sparkSession
+    plan = Scratch(spark, "purge").keep(plan, "plan")
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for row in plan.select("directory").where(F.element_at(F.split("directory", "/"), -1) == folder).toLocalIterator():
+        p = path(row["directory"])
+        p.getFileSystem(conf).delete(p, True)
+    return plan.withColumn("deleted", F.element_at(F.split("directory", "/"), -1) == folder)

@@ -21,6 +21,11 @@ def read_records(spark: SparkSession, path: str, schema: StructType, pattern: st
     return rows.select("*", plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_modification_time").alias("modified"))
 
 
+def write_records(rows: DataFrame, order: list[str], path: str) -> None:
+    """Writes rows as JSON lines, fields in the order of the columns, rows in the order given, files one after the other; the files appear when all are written."""
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.option("ignoreNullFields", "false").json(path)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

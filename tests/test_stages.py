@@ -137,3 +137,30 @@ def test_store_resolution(spark, tmp_path):
     for made, found in ((f"{root}/.embeddings", f"{root}/.embeddings"), (f"{root}/set/IMAGES/.embeddings", f"{root}/set/IMAGES/.embeddings"), (f"{root}/set/.embeddings", f"{root}/set/.embeddings")):
         (tmp_path / made).mkdir(parents=True)
         assert D.first_existing(spark, candidates) == found
+
+
+def test_driven_rows(spark):
+    from loomwork.operators.drive import driven
+
+    def worker(x):
+        if x is None or "bad" in x:
+            raise KeyError(x)
+        return x.upper()
+
+    rows = spark.createDataFrame([(k, None if k == 3 else f"bad {k}" if k % 10 == 0 else f"text {k}") for k in range(200)], "id int, t string").repartition(3)
+    for workers in (1, 8):
+        got = {r["id"]: (r["result"], r["error"]) for r in driven(rows, ["id"], "t", worker, workers).collect()}
+        assert got == {k: (None, "KeyError: None") if k == 3 else (None, f"KeyError: 'bad {k}'") if k % 10 == 0 else (f"TEXT {k}", None) for k in range(200)}
+
+
+def test_purge_deletes_only_when_told(spark, tmp_path):
+    from loomwork.sources import discovery as D
+
+    for name in ("a/pages/1.png", "a/pages/2.png", "a/a.pdf", "b/pages/sub/x.png", "pages.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("12345")
+    files = lambda: D.listing(spark, str(tmp_path))
+    dry = {r["directory"].rsplit(tmp_path.name, 1)[1]: (r["n_files"], r["bytes"], r["deleted"]) for r in D.purge(files()).collect()}
+    assert dry == {"/a/pages": (2, 10, False), "/b/pages/sub": (1, 5, False)} and (tmp_path / "a/pages/1.png").exists()
+    done = {r["directory"].rsplit(tmp_path.name, 1)[1]: r["deleted"] for r in D.purge(files(), delete=True).collect()}
+    assert done == {"/a/pages": True, "/b/pages/sub": False} and not (tmp_path / "a/pages").exists() and (tmp_path / "a/a.pdf").exists() and (tmp_path / "b/pages/sub/x.png").exists()
