@@ -1,23 +1,14 @@
-"""Settings from KEY=VALUE lines, as a shell would read them: quotes are honoured, comments after unquoted values go."""
+"""Settings from KEY=VALUE lines, as a shell would read them: what stands in quotes is kept, comments after other values go."""
 
 from __future__ import annotations
 
 import re
 
-
-def env_value(raw: str) -> str:
-    v = raw.strip()
-    if len(v) >= 2 and v[0] in "\"'" and v[-1] == v[0]:
-        return v[1:-1].rstrip("\r")
-    return re.split(r"\s+#", v, maxsplit=1)[0].strip()
+#: A key, then a quoted value, or one that ends before a comment.
+SETTING = re.compile(r"""﻿?\s*(?P<key>[^#=\s][^=]*?)\s*=\s*(?:(?P<quote>["'])(?P<kept>.*)(?P=quote)|(?P<bare>.*?)(?:\s#.*)?)\s*""")
 
 
 def env_values(text: str) -> dict[str, str]:
     """Keys and values of a settings text; blank lines, comments and lines without = are left out, and later lines win."""
-    out: dict[str, str] = {}
-    for line in text.splitlines():
-        line = line.strip().lstrip("﻿").strip()
-        if line and not line.startswith("#") and "=" in line:
-            key, value = line.split("=", 1)
-            out[key.strip()] = env_value(value)
-    return out
+    found = filter(None, map(SETTING.fullmatch, text.splitlines()))
+    return {m["key"]: m["kept"] if m["quote"] else m["bare"].strip() for m in found}
