@@ -62,12 +62,14 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str = "text") -> DataFr
     terms = terms.select(*keys, "at", F.xxhash64("term.a", "term.b").alias("h"), weight.cast("bigint").alias("weight"))
     lane = lambda i: F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(LANES)) * F.col("weight")).alias(f"v{i}")
     votes = terms.groupBy(*keys).agg(F.sum("weight").alias("all"), F.count_if(F.col("at") == 0).alias("copies"), *(lane(i) for i in range(32)))
-    one = F.lit(0).cast("bigint")
+    bits = []
     for i in range(32):
         low, high = F.col(f"v{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"v{i}", 32)
-        for at, x in ((i, low), (i + 32, high)):
-            one = one.bitwiseOR(F.when(x * 2 > F.col("all"), F.shiftleft(F.lit(1).cast("bigint"), at)).otherwise(F.lit(0).cast("bigint")))
-    return votes.select(*keys, "copies", one.alias("fingerprint"))
+        # The sign bit of all - 2 * votes is the bit's value.
+        bits += [F.shiftleft(F.shiftrightunsigned(F.col("all") - x * 2, 63), at) for at, x in ((i, low), (i + 32, high))]
+    while len(bits) > 1:
+        bits = [a.bitwiseOR(b) for a, b in zip(bits[::2], bits[1::2])]
+    return votes.select(*keys, "copies", bits[0].alias("fingerprint"))
 
 
 def blocks_for(n: int, radius: int) -> int:
@@ -142,13 +144,18 @@ def edited(known: DataFrame, order: DataFrame) -> DataFrame:
 
 
 def both_fingerprints(rows: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, copies, own, new: fingerprints of the texts and of the edited texts; rows of one id with other texts are kept apart."""
-    keys = ["doc_id", "n_chars", "edited_sha256", "text_hash"]
+    """doc_id, n_chars, edited_sha256, copies, own, new: fingerprints of the texts and of the edited texts; rows of one id with other texts are kept apart.
+
+    Every term carries the keys to its counters, so the digest is carried as four numbers.
+    """
+    words = [F.conv(F.substring("edited_sha256", 1 + 16 * k, 16), 16, -10).cast("bigint").alias(f"sha{k}") for k in range(4)]
+    keys = ["doc_id", "n_chars", *(f"sha{k}" for k in range(4)), "text_hash"]
     kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited_text").alias("text")))
-    sides = rows.select("doc_id", "n_chars", "edited_sha256", F.xxhash64("text").alias("text_hash"), F.explode(kinds).alias("x")).select(*keys, "x.kind", "x.text")
+    sides = rows.select("doc_id", "n_chars", *words, F.xxhash64("text").alias("text_hash"), F.explode(kinds).alias("x")).select(*keys, "x.kind", "x.text")
     found = fingerprints(sides, [*keys, "kind"])
     side = lambda k: F.max(F.when(F.col("kind") == k, F.col("fingerprint")))
-    return found.groupBy(*keys).agg(F.max("copies").alias("copies"), side(0).alias("own"), side(1).alias("new")).drop("text_hash")
+    by = found.groupBy(*keys).agg(F.max("copies").alias("copies"), side(0).alias("own"), side(1).alias("new"))
+    return by.select("doc_id", "n_chars", F.concat(*(as_hex(F.col(f"sha{k}")) for k in range(4))).alias("edited_sha256"), "copies", "own", "new")
 
 
 class Fingerprints:
