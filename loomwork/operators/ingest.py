@@ -8,6 +8,7 @@ page_class, page_kind, content, has_visual_content, summary, flag, content_filte
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomwork.config import Ingest
@@ -181,22 +182,32 @@ def image_vectors(judged: DataFrame, vectors: DataFrame) -> DataFrame:
     return rows
 
 
+def first_of(items: DataFrame, key: str, order: list[str], value: str, most: int) -> DataFrame:
+    """key, value: an array of the first `most` values of each key in order.  The limit holds before the shuffle too, so a key of any number of items brings few rows."""
+    kept = items.withColumn("_at", F.row_number().over(W.partitionBy(key).orderBy(*order))).where(F.col("_at") <= most)
+    listed = F.sort_array(F.collect_list(F.struct("_at", F.col(value).alias("_v"))))
+    return kept.groupBy(key).agg(F.transform(listed, lambda x: x["_v"]).alias(value))
+
+
 def asset_context(pages: DataFrame, finals: DataFrame) -> DataFrame:
     """doc_id, summary_text, key_points (50), entities (100), topics (30, sorted and distinct), in page order; nothing for a document without either.
 
     pages: doc_id, page_number, key_points, entities, topics; finals: doc_id, text, source, no_content.
     """
-    at = F.coalesce("page_number", F.lit(2**31 - 1)).alias("at")
-    by = pages.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(at, F.to_json("key_points").alias("k"), F.to_json("entities").alias("e"), F.to_json("topics").alias("t")))).alias("p"))
-    flat = lambda f, kind: F.flatten(F.transform("p", lambda x: F.coalesce(F.from_json(x[f], kind), F.array().cast(kind))))
-    topics = F.slice(F.array_sort(F.array_distinct(F.filter(flat("t", "array<string>"), lambda t: t != ""))), 1, 30)
-    rows = by.select("doc_id", F.slice(flat("k", "array<string>"), 1, 50).alias("key_points"), F.slice(flat("e", "array<struct<name:string,type:string>>"), 1, 100).alias("entities"), topics.alias("topics"))
+    at = F.coalesce("page_number", F.lit(2**31 - 1)).alias("_page")
+    placed = lambda c: pages.select("doc_id", at, F.posexplode(c).alias("_place", c))
+    points = first_of(placed("key_points"), "doc_id", ["_page", "_place"], "key_points", 50)
+    entities = first_of(placed("entities"), "doc_id", ["_page", "_place"], "entities", 100)
+    topics = first_of(pages.select("doc_id", F.explode("topics").alias("topics")).where("topics <> ''").distinct(), "doc_id", ["topics"], "topics", 30)
     none = F.coalesce("no_content", F.lit(False)) | (F.coalesce("source", F.lit("")) == "no_content")
     # What stands beside the text: its source, the pages and assets it covers, the model.
     beside = [c for c in ("source", "covered_text_pages", "covered_vision_assets", "model") if c in finals.columns]
-    text = finals.select("doc_id", F.when(~none, F.col("text")).alias("summary_text"), *beside)
-    both = text.join(rows, "doc_id", "full_outer")
-    return both.where("summary_text IS NOT NULL OR size(key_points) + size(entities) + size(topics) > 0")
+    rows = finals.select("doc_id", F.when(~none, F.col("text")).alias("summary_text"), *beside)
+    for part in (points, entities, topics):
+        rows = rows.join(part, "doc_id", "full_outer")
+    kinds = {"key_points": "array<string>", "entities": "array<struct<name:string,type:string>>", "topics": "array<string>"}
+    rows = rows.select("doc_id", "summary_text", *beside, *(F.coalesce(c, F.array().cast(kind)).alias(c) for c, kind in kinds.items()))
+    return rows.where("summary_text IS NOT NULL OR size(key_points) + size(entities) + size(topics) > 0")
 
 
 def plan(docs: DataFrame, pages: DataFrame, judged: DataFrame, children: DataFrame, store: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -27,10 +27,6 @@ def status_histogram(rows: DataFrame, group: str, status: str, values: list[str]
     return rows.groupBy(group).agg(*(F.count_if(F.col(status) == v).alias(f"n_{v}") for v in values), F.count(F.lit(1)).alias("n"))
 
 
-def top_slice(values: Column, most: int) -> Column:
-    return F.slice(values, 1, most)
-
-
 def latest(*stamps: Column) -> Column:
     """Latest of ISO texts or times; nulls are skipped."""
     return F.greatest(*stamps)

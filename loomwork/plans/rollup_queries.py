@@ -13,6 +13,7 @@ from loomwork.operators import rollup as R
 from loomwork.operators import routing as L
 from loomwork.operators import safety as S
 from loomwork.operators.dedup import last_written, ordered_distinct
+from loomwork.operators.ingest import first_of
 from loomwork.plans.base import PAGES, Tables, big, judged, pages, query
 
 # -- tenancy and merges --------------------------------------------------------------------------
@@ -173,9 +174,9 @@ def asset_context_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 50 key points of each document in page order and its 30 first topics in order (the limits are the feature); parts of whole pages' digests stand for a model's points and topics."""
     sha = F.sha2("content", 256)
     told = pages(Tables(spark, sf_dir)).select("doc_id", "page_number", F.substring(sha, 1, 20).alias("point"), F.substring(sha, 1, 3).alias("topic"))
-    rows = told.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_number", "point"))).alias("p"), F.sort_array(F.collect_set("topic")).alias("t"))
-    points = R.top_slice(F.transform("p", lambda x: x["point"]), 50)
-    return rows.select("doc_id", big(F.size(points)).alias("n_points"), F.sha2(F.array_join(points, "|"), 256).alias("points_sha"), F.array_join(R.top_slice(F.col("t"), 30), "|").alias("topics"))
+    points = first_of(told, "doc_id", ["page_number"], "point", 50)
+    topics = first_of(told.select("doc_id", "topic").distinct(), "doc_id", ["topic"], "topic", 30)
+    return points.join(topics, "doc_id").select("doc_id", big(F.size("point")).alias("n_points"), F.sha2(F.array_join("point", "|"), 256).alias("points_sha"), F.array_join("topic", "|").alias("topics"))
 
 
 STATUS_SQL = """plan AS (SELECT d.source, CASE WHEN d.doc_id % 23 = 0 THEN 'skipped_csam' WHEN d.doc_id % 19 = 0 THEN 'no_chunks' WHEN l.toxic = 1 THEN 'withheld' ELSE 'ready' END AS status, CAST(length(d.text) // 500 + 1 AS BIGINT) AS vectors FROM documents d LEFT JOIN labels l USING (doc_id))"""
