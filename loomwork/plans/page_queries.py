@@ -10,6 +10,7 @@ from loomwork.functions import model_io as IO
 from loomwork.functions import parse as J
 from loomwork.operators import geometry as G
 from loomwork.operators import models as P
+from loomwork.operators import pixels as X
 from loomwork.operators import routing as R
 from loomwork.plans.base import PAGES, Tables, big, pages, query
 
@@ -122,6 +123,20 @@ def pixel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "c.ink", "c.dark", F.round("s.mean", 9).alias("mean"), F.round("s.stddev", 9).alias("stddev"), "box_dark")
 
 
+@query(
+    """WITH d AS (SELECT doc_id, [1, 3, 4][CAST(doc_id % 3 AS INTEGER) + 1] AS c, CAST(doc_id % 9 + 1 AS BIGINT) AS w, CAST(doc_id % 5 + 1 AS BIGINT) AS h, sha256(text) AS s FROM documents),
+b AS (SELECT *, CAST('0x' || substr(s, 1, 2) AS INTEGER) AS b1, CAST('0x' || substr(s, 3, 2) AS INTEGER) AS b2, CAST('0x' || substr(s, 5, 2) AS INTEGER) AS b3, CAST('0x' || substr(s, 7, 2) AS INTEGER) AS b4 FROM d)
+SELECT doc_id, CAST(w AS INTEGER) AS width, CAST(h AS INTEGER) AS height, CAST(CASE WHEN greatest(w, h) <= 4 THEN w ELSE greatest(1, w * 4 // greatest(w, h)) END AS INTEGER) AS small_width, CAST(CASE WHEN greatest(w, h) <= 4 THEN h ELSE greatest(1, h * 4 // greatest(w, h)) END AS INTEGER) AS small_height FROM b"""
+)
+def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of pictures brought to RGB and of their thumbnails; pixels are repeated digests in one, three or four components."""
+    d = F.col("doc_id")
+    rows = Tables(spark, sf_dir).documents.select("doc_id", F.element_at(F.array(F.lit(1), F.lit(3), F.lit(4)), (d % 3 + 1).cast("int")).alias("c"), (d % 9 + 1).cast("int").alias("w"), (d % 5 + 1).cast("int").alias("h"), F.sha2("text", 256).alias("s"))
+    pixels = F.unhex(F.substr(F.repeat("s", F.lit(6)), F.lit(1), F.col("c") * F.col("w") * F.col("h") * 2))
+    made = rows.select("doc_id", FM.png_size(X.normalised(pixels, F.col("w"), F.col("c"))).alias("p"), FM.png_size(X.thumbnail(pixels, F.col("w"), F.col("c"), 4)).alias("t"))
+    return made.select("doc_id", F.col("p.width").alias("width"), F.col("p.height").alias("height"), F.col("t.width").alias("small_width"), F.col("t.height").alias("small_height"))
+
+
 @query("SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN CAST(n_chars % 4096 AS INTEGER) END AS width, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 4096 AS INTEGER) END AS height FROM documents")
 def image_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Width and height of images from their headers; none for what isn't an image."""

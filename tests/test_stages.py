@@ -164,3 +164,79 @@ def test_purge_deletes_only_when_told(spark, tmp_path):
     assert dry == {"/a/pages": (2, 10, False), "/b/pages/sub": (1, 5, False)} and (tmp_path / "a/pages/1.png").exists()
     done = {r["directory"].rsplit(tmp_path.name, 1)[1]: r["deleted"] for r in D.purge(files(), delete=True).collect()}
     assert done == {"/a/pages": True, "/b/pages/sub": False} and not (tmp_path / "a/pages").exists() and (tmp_path / "a/a.pdf").exists() and (tmp_path / "b/pages/sub/x.png").exists()
+
+
+FAKE = """#!/usr/bin/env python3
+import json, os, sys
+a = sys.argv
+if "-show_format" in a:
+    print(json.dumps({"format": {"duration": "12.5"}, "streams": [{"codec_type": "audio", "codec_name": "mp3"}], "size": os.path.getsize(a[-1])}))
+elif "metadata=print" in " ".join(a):
+    print("pts_time:2.5\\npts_time:1.25")
+elif "silencedetect" in " ".join(a):
+    print("silence_start: 3.0 x silence_end: 4.5 x silence_start: 9", file=sys.stderr)
+elif "-segment_time" in a:
+    for k in range(3):
+        open(a[-1] % k, "w").write(a[a.index("-segment_time") + 1])
+elif "-ss" in a:
+    if float(a[a.index("-ss") + 1]) > 100:
+        sys.exit("no such second")
+    open(a[-1], "w").write(a[a.index("-ss") + 1])
+else:
+    for k in (1, 2):
+        open(a[-1] % k, "w").write("frame")
+"""
+
+
+def test_media_tools(spark, tmp_path):
+    import json
+
+    from loomwork.functions import media as FM
+    from loomwork.sources import media_tools as MT
+
+    program = tmp_path / "tool"
+    program.write_text(FAKE)
+    program.chmod(0o755)
+    tools, out = MT.Tools(str(program), str(program)), str(tmp_path / "out")
+    (tmp_path / "a.mp4").write_bytes(b"12345")
+    assets = spark.createDataFrame([("a", f"file://{tmp_path}/a.mp4", [1.0, 500.0, 2.0], 8, 10.0), ("gone", str(tmp_path / "gone.mp4"), [1.0], 8, None)], "asset string, path string, times array<double>, seconds int, duration_seconds double")
+    found = {r["asset"]: r for r in MT.probed(assets, tools).select("*", FM.typed_metadata(F.col("result")).alias("m")).collect()}
+    assert found["a"]["m"]["duration_seconds"] == 12.5 and found["a"]["m"]["audio_codec"] == "mp3" and json.loads(found["a"]["result"])["size"] == 5
+    assert found["gone"]["result"] is None and "FileNotFoundError" in found["gone"]["error"]
+    result = lambda df: json.loads({r["asset"]: r["result"] for r in df.collect()}["a"])
+    assert result(MT.frames(assets, out, tools=tools)) == [[f"{out}/a/frame_0001.webp", 1.0], [f"{out}/a/frame_0003.webp", 2.0]]
+    assert (tmp_path / "out/a/frame_0003.webp").read_text() == "2.000"
+    assert result(MT.posters(assets, out, tools=tools)) == [[f"{out}/a/poster_0001.webp", 5.0]]
+    assert result(MT.series(assets, out, "segments", tools=tools)) == [f"{out}/a/segment_{k:04d}.mp3" for k in range(3)] and (tmp_path / "out/a/segment_0002.mp3").read_text() == "8"
+    assert result(MT.series(assets, out, "frames", tools=tools)) == [f"{out}/a/frame_0001.webp", f"{out}/a/frame_0002.webp"]
+    row = MT.logged(assets.limit(1), "scene", tools).select(FM.scene_times(F.col("result")).alias("t")).first()
+    assert row["t"] == [1.25, 2.5]
+    row = MT.logged(assets.limit(1), "silence", tools).select(FM.silent_intervals(F.col("result")).alias("t")).first()
+    assert [tuple(x) for x in row["t"]] == [(3.0, 4.5), (9.0, None)]
+    missing = MT.probed(assets.limit(1), MT.Tools(str(tmp_path / "nowhere"))).first()
+    assert missing["result"] is None and missing["error"].startswith("ToolError") and "is missing" in missing["error"]
+
+
+def test_pixels():
+    import zlib
+
+    import numpy as np
+
+    from loomwork.operators import pixels as X
+
+    def decoded(data):
+        assert data[:8] == b"\x89PNG\r\n\x1a\n"
+        w, h = int.from_bytes(data[16:20], "big"), int.from_bytes(data[20:24], "big")
+        n = int.from_bytes(data[33:37], "big")
+        lines = np.frombuffer(zlib.decompress(data[41 : 41 + n]), np.uint8).reshape(h, 1 + 3 * w)
+        return lines[:, 1:].reshape(h, w, 3)
+
+    r = np.random.default_rng(0)
+    rgb = r.integers(0, 256, (5, 7, 3)).astype(np.uint8)
+    assert (decoded(X.png(X.as_rgb(rgb.tobytes(), 7, 3))) == rgb).all()
+    grey = r.integers(0, 256, (4, 3, 1)).astype(np.uint8)
+    assert (X.as_rgb(grey.tobytes(), 3, 1) == grey).all()
+    assert X.as_rgb(bytes([0, 0, 0, 0, 255, 0, 0, 0, 0, 0, 0, 255]), 3, 4).tolist() == [[[255, 255, 255], [0, 255, 255], [0, 0, 0]]]
+    big = r.integers(0, 256, (40, 60, 3)).astype(np.uint8)
+    small = X.smaller(big, 15)
+    assert small.shape == (10, 15, 3) and (small == big.reshape(10, 4, 15, 4, 3).astype(int).sum(axis=(1, 3)) // 16).all() and X.smaller(rgb, 7) is rgb
