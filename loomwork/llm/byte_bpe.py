@@ -191,7 +191,7 @@ class ByteBpe:
             for batch in batches:
                 for low in range(0, batch.num_rows, 512):
                     part = batch.slice(low, 512)
-                    yield row(codec, part.column(0), part.column(1))
+                    yield row(codec, *part.columns)
 
         return docs.mapInArrow(run, schema)
 
@@ -215,10 +215,10 @@ class ByteBpe:
         encoded = encoded.select(F.col(id_col), F.col(ids_col))
         return self._mapped(encoded, row, f"`{id_col}` {encoded.schema[0].dataType.simpleString()}, data binary")
 
-    def digests(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """doc_id, n_tokens, ids_sha256, decoded_sha256, n_chars: encodes, then decodes the ids, in one pass over the texts."""
+    def digests(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+        """doc_id, n_tokens, ids_sha256, decoded_sha256, n_chars and the columns of also: encodes, then decodes the ids, in one pass over the texts."""
 
-        def row(codec: Codec, key: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        def row(codec: Codec, key: pa.Array, texts: pa.Array, *rest: pa.Array) -> pa.RecordBatch:
             n, ids_sha, data_sha, chars = [], [], [], []
             for t in texts:
                 text = t.as_py() or ""
@@ -228,9 +228,10 @@ class ByteBpe:
                 data_sha.append(hashlib.sha256(codec.decode_text(ids)).hexdigest())
                 chars.append(len(text))
             return pa.RecordBatch.from_arrays(
-                [key, pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(data_sha), pa.array(chars, pa.int64())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_chars"],
+                [key, pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(data_sha), pa.array(chars, pa.int64()), *rest],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_chars", *also],
             )
 
-        docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        return self._mapped(docs, row, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_chars bigint")
+        docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *also)
+        carried = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.schema[2:])
+        return self._mapped(docs, row, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_chars bigint" + carried)

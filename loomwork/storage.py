@@ -11,6 +11,8 @@ from contextlib import AbstractContextManager, contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 
 @lru_cache(maxsize=1)
@@ -109,6 +111,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def lies_in_files(df: DataFrame) -> bool:
+    """Whether df is a table as it was read, nothing done to it."""
+    return df._jdf.queryExecution().analyzed().children().isEmpty() and bool(df.inputFiles())
+
+
+def with_written_place(df: DataFrame, file: str = "__file", row: str = "__row") -> tuple[DataFrame, DataFrame, int]:
+    """A Parquet table as it was read with each row's file and place in it; file, before (rows in the files before it) of its files; its number of rows.
+
+    Spark reads files by size, so the order in which rows were written is lost to what reads them; before + row gives it back.
+    A window sees one row for each file; the table of files is written first, so that a join knows how small it is.
+    """
+    meta = df.metadataColumn("_metadata")
+    placed = df.select("*", meta["file_name"].alias(file), meta["row_index"].alias(row))
+    number = lambda pattern: F.expr(f"try_cast(regexp_extract(`{file}`, '{pattern}', 1) AS bigint)")
+    upto = F.sum("n").over(W.orderBy(number("^part-([0-9]+)"), number("-c([0-9]+)"), file))
+    files = Scratch(df.sparkSession, "places").keep(placed.groupBy(file).agg(F.count(F.lit(1)).alias("n")).select(file, "n", (upto - F.col("n")).alias("before")), "files")
+    return placed, files.select(file, "before"), files.agg(F.sum("n")).first()[0] or 0
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deals the rows of an input with fewer splits than the session has cores out by a key, before costly work on each row.
 

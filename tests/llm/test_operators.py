@@ -994,3 +994,24 @@ def test_pipeline_odd_rows(spark, odd, labels, tmp_path):
     for name, stage in C.STAGES:
         none = stage(spark, none, str(tmp_path))
         assert none.count() == 0, name
+
+
+def test_pipeline_is_encoded_in_the_order_of_the_mix(spark, tmp_path):
+    """Through a table that is written and read again, as in run(), and without one."""
+    import corpus_pipeline as C
+    from loomwork.storage import Scratch
+
+    r = random.Random(12)
+    rows = [(i, " ".join("w" * r.randint(1, 9) + str(r.random())[2:] if i % 3 else "same" for _ in range(r.randint(50, 300))), "en", "abc"[i % 3], None) for i in range(300)]
+    docs = spark.createDataFrame(rows, DOCS)
+    copies, _ = C.SourceMix().copies(docs)
+    want = [x["doc_id"] for x in copies.sort("slot", "start").collect()]
+    assert len(set(want)) < len(rows) < len(want)  # some go, some are there twice
+    mixed = C.mix_sources(spark, docs, "")
+    for d in (Scratch(spark, "mixed").keep(mixed), mixed):
+        got = C.encode(spark, d, "").collect()
+        assert [x["doc_id"] for x in got] == want
+        assert [x["place"] for x in got] == list(range(len(want)))
+    text = {x[0]: x[1] for x in rows}
+    assert all(x["decoded_sha256"] == hashlib.sha256(text[x["doc_id"]].encode()).hexdigest() and x["n_chars"] == len(text[x["doc_id"]]) for x in got)
+    assert mixed.columns == docs.columns
