@@ -8,9 +8,13 @@ Packing is an ordered scan, so it runs in Arrow batches, one page a row; pages a
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
+from operator import sub
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +22,10 @@ from loomwork.config import Chunk, Embed
 from loomwork.functions import text as T
 
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
+#: Those of the same breaks that aren't one plain space, with the sign before them, by which they are found faster.
+WIDE_BREAK = re.compile(r"([.!?])(?:[^\S ]|\s\s)\s*")
+#: Characters of children in an Arrow batch before it is sent on.
+BATCH_CHARS = 1 << 20
 
 
 def pack(parts: list[str], target: int, most: int) -> list[str]:
@@ -36,11 +44,58 @@ def pack(parts: list[str], target: int, most: int) -> list[str]:
     return out
 
 
-def chunked(text: str | None, cfg: Chunk = Chunk()) -> list[tuple[str, list[str]]]:
+def chunked_plainly(text: str | None, cfg: Chunk = Chunk()) -> list[tuple[str, list[str]]]:
+    """chunked, sentence by sentence; for any targets."""
     sentences = [s for s in SENTENCE.split((text or "").strip()) if s]
     return [(p, pack([s for s in SENTENCE.split(p) if s], cfg.child_target, cfg.child_max)) for p in pack(sentences, cfg.parent_target, cfg.parent_max)]
 
 
+def _cut(starts: list[int], ends: list[int], width: int) -> tuple[list[int], list[int]]:
+    """Spans of `width` at most."""
+    if max(map(sub, ends, starts)) <= width:
+        return starts, ends
+    cut = [(k, min(k + width, e)) for s, e in zip(starts, ends) for k in range(s, e, width)]
+    return [s for s, _ in cut], [e for _, e in cut]
+
+
+def _packed(starts: list[int], ends: list[int], first: int, last: int, target: int, most: int) -> Iterator[tuple[int, int]]:
+    """pack over the spans from first to before last, as ranges of spans; each chunk's end is searched, not walked to."""
+    while first < last:
+        at = starts[first]
+        full = bisect_left(ends, at + 4 * target, first, last) + 1
+        over = bisect_left(ends, at + 4 * most + 4, first, last)
+        end = max(first + 1, min(full, over, last))
+        yield first, end
+        first = end
+
+
+def chunked(text: str | None, cfg: Chunk = Chunk()) -> list[tuple[str, list[str]]]:
+    """Parents of a text with their children.
+
+    Each break between sentences is made one space, so chunks are slices of the text.  A cut sentence's full piece
+    reaches the target, so it ends its chunk, and no chunk holds two pieces of a sentence; a parent's sentences are
+    therefore those of the text.
+    """
+    if not (0 < cfg.parent_target <= cfg.parent_max and 0 < cfg.child_target <= cfg.child_max):
+        return chunked_plainly(text, cfg)
+    text = (text or "").strip()
+    if not text:
+        return []
+    text = WIDE_BREAK.sub(r"\1 ", text)
+    bare = text.replace("! ", ". ").replace("? ", ". ").split(". ")  # without their signs and spaces
+    starts = [0, *accumulate(map((2).__add__, map(len, bare)))]
+    starts.pop()
+    starts, ends = _cut(starts, [s - 1 for s in starts[1:]] + [len(text)], 4 * cfg.parent_max)
+    child_starts, child_ends = _cut(starts, ends, 4 * cfg.child_max)
+    out, child = [], 0
+    for first, end in _packed(starts, ends, 0, len(starts), cfg.parent_target, cfg.parent_max):
+        after = bisect_left(child_starts, ends[end - 1], child)
+        children = [text[child_starts[i] : child_ends[j - 1]] for i, j in _packed(child_starts, child_ends, child, after, cfg.child_target, cfg.child_max)]
+        out.append((text[starts[first] : ends[end - 1]], children))
+        child = after
+    return out
+
+
 SCHEMA = "array<struct<text:string,children:array<string>>>"
 
 
@@ -72,6 +127,44 @@ def children_of(pages: DataFrame, document: str, case: str, dataset: str, page:
 
 
 PARTS = "array<struct<section:string,kind:string,page:bigint,start_ms:bigint,end_ms:bigint,speaker:string,text:string>>"
+TOLD = {"section": pa.string(), "kind": pa.string(), "page": pa.int64(), "start_ms": pa.int64(), "end_ms": pa.int64(), "speaker": pa.string()}
+PLACES = ("parent_index", "chunk_index", "parent_in_part", "child_index", "parent_chars")
+
+
+def packed_batches(batches: Iterator[pa.RecordBatch], keys: list[str], cfg: Chunk = Chunk()) -> Iterator[pa.RecordBatch]:
+    """Batches of keys and parts to batches of children, BATCH_CHARS and a parent long at most; what is told of a part is taken from the input's columns."""
+    for batch in batches:
+        lists = batch.column(len(keys))
+        parts = lists.flatten()
+        fields = dict(zip((f.name for f in parts.type), parts.flatten()))
+        texts = fields["text"]
+
+        def made() -> pa.RecordBatch:
+            own = [batch.column(k).take(pa.array(row_of, pa.int64())) for k in range(len(keys))]
+            of_part = [fields[c].take(pa.array(part_of, pa.int64())).cast(kind) for c, kind in TOLD.items()]
+            return pa.RecordBatch.from_arrays([*own, *of_part, *(pa.array(c, pa.int64()) for c in places), pa.array(children, pa.string())], names=[*keys, *TOLD, *PLACES, "text"])
+
+        row_of, part_of, children, places, chars = [], [], [], [[] for _ in PLACES], 0
+        first = 0
+        for row, n_parts in enumerate(pc.fill_null(pc.list_value_length(lists), 0).to_pylist()):
+            parent_index = chunk_index = 0
+            for at in range(first, first + n_parts):
+                for p, (parent, own_children) in enumerate(chunked(texts[at].as_py(), cfg)):
+                    n = len(own_children)
+                    row_of.extend([row] * n)
+                    part_of.extend([at] * n)
+                    children.extend(own_children)
+                    for column, values in zip(places, ([parent_index] * n, range(chunk_index, chunk_index + n), [p] * n, range(n), [len(parent)] * n)):
+                        column.extend(values)
+                    chunk_index += n
+                    parent_index += 1
+                    chars += len(parent)
+                    if chars >= BATCH_CHARS:
+                        yield made()
+                        row_of, part_of, children, places, chars = [], [], [], [[] for _ in PLACES], 0
+            first += n_parts
+        if children:
+            yield made()
 
 
 def pack_documents(rows: DataFrame, keys: list[str], cfg: Chunk = Chunk()) -> DataFrame:
@@ -82,29 +175,11 @@ def pack_documents(rows: DataFrame, keys: list[str], cfg: Chunk = Chunk()) -> Da
     texts aren't shuffled for it.
     """
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    told = {"section": pa.string(), "kind": pa.string(), "page": pa.int64(), "start_ms": pa.int64(), "end_ms": pa.int64(), "speaker": pa.string()}
-    places = ("parent_index", "chunk_index", "parent_in_part", "child_index", "parent_chars")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                columns: dict[str, list] = {c: [] for c in (*told, *places, "text")}
-                parent_index = chunk_index = 0
-                for part in batch.column(len(keys))[at].as_py() or []:
-                    for p, (parent, children) in enumerate(chunked(part["text"], cfg)):
-                        for c, text in enumerate(children):
-                            for name in told:
-                                columns[name].append(part[name])
-                            for name, value in zip((*places, "text"), (parent_index, chunk_index, p, c, len(parent), text)):
-                                columns[name].append(value)
-                            chunk_index += 1
-                        parent_index += 1
-                n = chunk_index
-                own = [batch.column(k).take(pa.array([at] * n, pa.int64())) for k in range(len(keys))]
-                made = [pa.array(columns[c], told[c]) for c in told] + [pa.array(columns[c], pa.int64()) for c in places] + [pa.array(columns["text"], pa.string())]
-                yield pa.RecordBatch.from_arrays([*own, *made], names=[*keys, *told, *places, "text"])
-
-    schema = [f"`{k}` {kinds[k]}" for k in keys] + ["section string, kind string, page bigint, start_ms bigint, end_ms bigint, speaker string"] + [f"{c} bigint" for c in places] + ["text string"]
+        return packed_batches(batches, keys, cfg)
+
+    schema = [f"`{k}` {kinds[k]}" for k in keys] + ["section string, kind string, page bigint, start_ms bigint, end_ms bigint, speaker string"] + [f"{c} bigint" for c in PLACES] + ["text string"]
     return rows.select(*keys, F.col("parts").cast(PARTS).alias("parts")).mapInArrow(run, ", ".join(schema)).withColumnRenamed("kind", "chunk_kind")
 
 

@@ -1,8 +1,12 @@
 """Batch jobs, settings, ranks, packing, media chunks, vision gates, manifests and ingest rows on hand-checked fixtures."""
 
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from loomwork.config import Chunk
 from loomwork.functions.envfile import env_values
 from loomwork.operators import chunk as K
 from loomwork.operators import ingest as I
@@ -62,6 +66,33 @@ def test_packing_numbers_through_a_document(spark):
     assert {r["doc"] for r in got} == {"d1", "d4"} and sum(len(r["text"]) for r in got if r["doc"] == "d4") >= 9000
 
 
+def test_children_of_many_documents_share_batches(spark, monkeypatch):
+    rows = spark.createDataFrame([], f"doc bigint, parts {K.PARTS}")
+    caught = []
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, run, schema: caught.append(run) or self.withColumn("kind", F.lit("")))
+    K.pack_documents(rows, ["doc"])
+    told = {"section": "s", "kind": "text", "page": 1, "start_ms": None, "end_ms": None, "speaker": None}
+    parts = [None, []] + [[{**told, "page": k, "text": "One. Two!"}, {**told, "text": None}, {**told, "text": "Three?\n"}] for k in range(2, 300)] + [[{**told, "text": "x" * 1_200_000}], [{**told, "text": "Last."}]]
+    element = pa.struct([("section", pa.string()), ("kind", pa.string()), ("page", pa.int64()), ("start_ms", pa.int64()), ("end_ms", pa.int64()), ("speaker", pa.string()), ("text", pa.string())])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(parts))), pa.array(parts, pa.list_(element))], names=["doc", "parts"])
+    for cut, first in ((batch, 0), (batch.slice(5), 5)):
+        made = list(caught[0](iter([cut])))
+        assert len(made) == 2 and max(sum(map(len, b["text"].to_pylist())) for b in made) <= K.BATCH_CHARS + 4 * Chunk.parent_max
+        got = [r for b in made for r in b.to_pylist()]
+        assert [(r["doc"], r["page"], r["parent_index"], r["chunk_index"], r["text"], r["parent_chars"]) for r in got if r["doc"] < 300] == [x for k in range(max(2, first), 300) for x in ((k, k, 0, 0, "One. Two!", 9), (k, 1, 1, 1, "Three?", 6))]
+        assert "".join(r["text"] for r in got if r["doc"] == 300) == "x" * 1_200_000 and [r["chunk_index"] for r in got if r["doc"] == 300] == list(range(sum(r["doc"] == 300 for r in got)))
+        assert [(r["doc"], r["chunk_index"], r["text"]) for r in got if r["doc"] > 300] == [(301, 0, "Last.")]
+
+
+def test_chunks_are_those_of_packing_sentence_by_sentence():
+    rng = random.Random(3)
+    drawn = ["".join(rng.choice(signs) for _ in range(rng.randrange(400))) for signs in ("ab. ", "a.!? \n\t\x1c", "aé𝒳.?\u2003\u3000\u0085", "abcdefghijklmn. ", ". ") for _ in range(60)]
+    long = ["w" * n + tail for n in (599, 600, 601, 2599, 2600, 2601, 2602, 5200, 7000) for tail in ("", ".", ". b.", ".\n\nc", " d. e" * 300)]
+    for text in [*drawn, *long, *("A. " + x for x in long), " ", ".", "a.  ", " .\n"]:
+        for cfg in (Chunk(), Chunk(5, 6, 2, 3), Chunk(3, 3, 1, 1), Chunk(1, 9, 1, 4), Chunk(9, 5, 2, 3), Chunk(5, 6, 4, 3)):
+            assert K.chunked(text, cfg) == K.chunked_plainly(text, cfg)
+
+
 def test_media_chunk_parts(spark):
     windows = spark.createDataFrame([("a", 1, 120.0, 200.5, "s", "Second."), ("a", 0, 0.0, 120.0, "s", " First. "), ("a", 2, 200.5, None, None, "  "), ("b", 0, 0.0, 60.0, None, None)], "asset string, index int, start_s double, end_s double, speaker string, text string")
     captions = spark.createDataFrame([("a", "video", "A film", "of a street"), ("c", "image", "A photo", None), ("b", "audio", " ", "")], "asset string, kind string, caption string, description string")
